@@ -68,3 +68,13 @@ def persisted(*frames: DataFrame) -> Iterator[tuple[DataFrame, ...]]:
     finally:
         for df in kept:
             df.unpersist()
+
+
+def use_all_cores(scan: DataFrame) -> DataFrame:
+    """Spread a file scan over all cores when its files give work to fewer than half.
+
+    For costly per-row work on few row groups. A large table has far more parts than there
+    are cores and is left as it is, without a shuffle.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() * 2 <= cores else scan
