@@ -8,13 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.feature import (
-    ElementwiseProduct,
-    OneHotEncoder,
-    StandardScaler,
-    StringIndexer,
-    VectorAssembler,
-)
+from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.stat import Summarizer
@@ -80,14 +74,20 @@ def standardise(df: DataFrame, vector: str = "features", out: str = "features")
 def fit_standardiser(
     df: DataFrame, vector: str = "features", out: str = "features"
 ) -> Callable[[DataFrame], DataFrame]:
-    """The scaling learned from `df`, to be used on other rows as well."""
+    """The scaling learned from `df` in one pass, to be used on other rows as well."""
     moments = vector_moments(df, vector).orderBy("dim").collect()
-    scale = [1 / m.stdev if m.stdev and m.stdev > 0 else 1.0 for m in moments]
-    centre = StandardScaler(inputCol=vector, outputCol="_centred", withMean=True, withStd=False).fit(df)
-    stretch = ElementwiseProduct(scalingVec=Vectors.dense(scale), inputCol="_centred", outputCol="_scaled")
+    mean = np.array([m["mean"] for m in moments])
+    spread = np.array([m["stdev"] if m["stdev"] > 0 else 1.0 for m in moments])
+    # Two points at this distance around the mean have exactly these sample moments, so a
+    # scaler fitted on them scales by the population deviation of `df`.
+    half = spread / np.sqrt(2)
+    points = df.sparkSession.createDataFrame(
+        [(Vectors.dense(mean - half),), (Vectors.dense(mean + half),)], [vector]
+    )
+    scaler = StandardScaler(inputCol=vector, outputCol="_scaled", withMean=True, withStd=True).fit(points)
 
     def apply(rows: DataFrame) -> DataFrame:
-        scaled = stretch.transform(centre.transform(rows)).drop("_centred")
+        scaled = scaler.transform(rows)
         return (scaled.drop(vector) if vector == out else scaled).withColumnRenamed("_scaled", out)
 
     return apply
@@ -160,8 +160,13 @@ def outliers(df: DataFrame, column: str, k: int) -> DataFrame:
 
 
 def train_kmeans(df: DataFrame, k: int = 2, tol: float = 1e-4, iterations: int = 20, seed: int = 7) -> KMeansModel:
-    """k-means of the `features` vectors."""
-    return KMeans(k=k, tol=tol, maxIter=iterations, seed=seed, featuresCol="features", predictionCol="cluster").fit(df)
+    """k-means of the `features` vectors.
+
+    The selection makes the input a new plan even if `df` is cached, so the solver keeps its
+    own rows with their norms and does not decode the cached columns in every iteration.
+    """
+    kmeans = KMeans(k=k, tol=tol, maxIter=iterations, seed=seed, featuresCol="features", predictionCol="cluster")
+    return kmeans.fit(df.select("features"))
 
 
 def with_distance(model: KMeansModel, df: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from datamill.functions.buckets import topic_id
 from datamill.operators.pairs import pair_counts, record_pairs
+from datamill.operators.ranking import number_keys
 from datamill.operators.skew import every_slice, hot_keys, lookup, slice_of
 from datamill.session import cut
 
@@ -22,13 +23,18 @@ def topic_counts(rows: DataFrame) -> DataFrame:
 
 
 def graph_vertices(rows: DataFrame) -> DataFrame:
+    """Different topics with their hashed ids, written out so that no later filter on the id
+    moves the hashing below the distinct."""
     names = rows.select("topic").distinct()
-    return names.select(topic_id(F.col("topic")).alias("id"), F.col("topic").alias("name"))
+    return cut(names.select(topic_id(F.col("topic")).alias("id"), F.col("topic").alias("name")))
 
 
 def graph_edges(rows: DataFrame) -> DataFrame:
-    """Edges between hashed topics, lower id first, with the number of shared records."""
-    ids = rows.select("record", topic_id(F.col("topic")).alias("id"))
+    """Edges between hashed topics, lower id first, with the number of shared records.
+
+    The narrow id table is written out, so each topic name is hashed once.
+    """
+    ids = cut(rows.select("record", topic_id(F.col("topic")).alias("id")))
     counts = pair_counts(record_pairs(ids, "record", "id"))
     return counts.select(F.col("first").alias("src"), F.col("second").alias("dst"), F.col("n").alias("cnt"))
 
@@ -129,9 +135,11 @@ def chi_square(both: Column, second: Column, first: Column, total: Column) -> Co
 
 def chi_square_edges(edges: DataFrame, counts: DataFrame, num_records: int) -> DataFrame:
     """Edges with their chi-square value; `counts` holds (id, n) per topic."""
+    edges, counts = cut(edges), cut(counts)
+    total = edges.count()
     at_src = counts.select(F.col("id").alias("src"), F.col("n").alias("n_src"))
     at_dst = counts.select(F.col("id").alias("dst"), F.col("n").alias("n_dst"))
-    triplets = lookup(lookup(edges, at_src, "src", how="inner"), at_dst, "dst", how="inner")
+    triplets = lookup(lookup(edges, at_src, "src", "inner", total=total), at_dst, "dst", "inner", total=total)
     value = chi_square(F.col("cnt"), F.col("n_src"), F.col("n_dst"), F.lit(num_records))
     return triplets.select("src", "dst", value.alias("chi2"))
 
@@ -159,7 +167,8 @@ def triangle_counts(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     degree = degrees(plain)
     at_src = degree.select(F.col("id").alias("src"), F.col("degree").alias("d_src"))
     at_dst = degree.select(F.col("id").alias("dst"), F.col("degree").alias("d_dst"))
-    known = lookup(lookup(plain, at_src, "src", how="inner"), at_dst, "dst", how="inner")
+    total = plain.count()
+    known = lookup(lookup(plain, at_src, "src", "inner", total=total), at_dst, "dst", "inner", total=total)
     forward = F.struct("d_src", "src") < F.struct("d_dst", "dst")
     pointed = cut(
         known.select(
@@ -172,8 +181,10 @@ def triangle_counts(vertices: DataFrame, edges: DataFrame) -> DataFrame:
         .join(pointed.select("a", F.col("b").alias("high")), "a")
         .filter("low < high")
     )
+    # Each edge is one row of the hash table, spread evenly by both ends; the many wedges
+    # then stream past it unsorted.
     closing = plain.select(F.col("src").alias("low"), F.col("dst").alias("high"))
-    corners = wedges.join(closing, ["low", "high"]).select(F.explode(F.array("a", "low", "high")).alias("id"))
+    corners = wedges.join(closing.hint("shuffle_hash"), ["low", "high"]).select(F.explode(F.array("a", "low", "high")).alias("id"))
     counts = corners.groupBy("id").agg(F.count(F.lit(1)).alias("triangles"))
     joined = vertices.select("id").join(counts, "id", "left")
     return joined.select("id", F.coalesce("triangles", F.lit(0)).alias("triangles"))
@@ -196,9 +207,11 @@ def sample_path_lengths(edges: DataFrame, sources: DataFrame, max_hops: int = 10
     """Hops between each source vertex (id) and every vertex it reaches, as unordered pairs
     (src, dst, hops), each source with itself at 0.
 
-    Breadth first, one checkpointed job per hop. A neighbour of a vertex at hop h lies at
-    h-1, h or h+1, so a new front is held against the last two fronts only. Edges of hub
-    vertices are dealt into slices once before the loop.
+    Breadth first, one checkpointed job per hop. Sources are numbered, and the ones that
+    reach a vertex travel as 64-bit sets, one row per vertex and 64 sources, so an edge
+    carries 64 sources in one message and messages to a vertex merge before the shuffle.
+    A neighbour of a vertex at hop h lies at h-1, h or h+1, so a new front is held against
+    the last two fronts only. Edges of hub vertices are dealt into slices before the loop.
     """
     plain = cut(simple_edges(edges))
     both = plain.unionByName(plain.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
@@ -206,19 +219,43 @@ def sample_path_lengths(edges: DataFrame, sources: DataFrame, max_hops: int = 10
     hot = hot_keys(both, "at")
     is_hot = F.col("at").isin(hot) if hot else F.lit(False)
     both = cut(both.withColumn("_slice", slice_of(is_hot, ["next"])))
-    front = cut(sources.select(F.col("id").alias("source"), F.col("id").alias("at")))
+    numbers = cut(number_keys(sources, "id", "no"))
+    one = F.lit(1).cast("bigint")
+    front = cut(
+        numbers.select(
+            F.col("id").alias("at"),
+            F.floor(F.col("no") / 64).alias("word"),
+            F.call_function("shiftleft", one, (F.col("no") % 64).cast("int")).alias("bits"),
+        )
+    )
     before = front.limit(0)
     reached = front.withColumn("hops", F.lit(0))
     for hops in range(1, max_hops + 1):
-        step = front.withColumn("_slice", every_slice(is_hot)) if hot else front.withColumn("_slice", F.lit(0))
-        found = step.join(both, ["at", "_slice"]).select("source", F.col("next").alias("at")).distinct()
-        known = front.unionByName(before)
-        new = cut(found.join(known, ["source", "at"], "left_anti"))
+        step = front.withColumn("_slice", every_slice(is_hot) if hot else F.lit(0))
+        found = step.join(both, ["at", "_slice"]).groupBy(F.col("next").alias("at"), "word")
+        known = front.unionByName(before).groupBy("at", "word").agg(F.bit_or("bits").alias("known"))
+        fresh = F.col("bits").bitwiseAND(F.bitwise_not(F.coalesce("known", F.lit(0).cast("bigint"))))
+        new = found.agg(F.bit_or("bits").alias("bits")).join(known, ["at", "word"], "left")
+        new = cut(new.select("at", "word", fresh.alias("bits")).filter("bits <> 0"))
         if new.isEmpty():
-            pairs = reached.select(
-                F.least("source", "at").alias("src"), F.greatest("source", "at").alias("dst"), "hops"
-            )
-            return pairs.distinct()
+            return _path_pairs(reached, numbers)
         reached = reached.unionByName(new.withColumn("hops", F.lit(hops)))
         before, front = front, new
     raise RuntimeError(f"paths are longer than {max_hops} hops")
+
+
+def _path_pairs(reached: DataFrame, numbers: DataFrame) -> DataFrame:
+    """Open the source sets into unordered pairs, each once.
+
+    A pair of two sources is reached from both ends; it is kept from its lower end only, so
+    the opened rows need no shuffle to become distinct.
+    """
+    ends = numbers.select(F.col("id").alias("at"), F.lit(True).alias("is_source"))
+    opened = reached.join(ends, "at", "left").select(
+        "at", "is_source", "word", "bits", "hops", F.explode(F.sequence(F.lit(0), F.lit(63))).alias("bit")
+    )
+    is_set = F.call_function("shiftright", F.col("bits"), F.col("bit")).bitwiseAND(F.lit(1)) == 1
+    rows = opened.filter(is_set).withColumn("no", F.col("word") * 64 + F.col("bit"))
+    named = rows.join(numbers.withColumnRenamed("id", "source"), "no")
+    once = named.filter("is_source is null or source <= at")
+    return once.select(F.least("source", "at").alias("src"), F.greatest("source", "at").alias("dst"), "hops")

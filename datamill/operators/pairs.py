@@ -19,7 +19,8 @@ def record_pairs(rows: DataFrame, record: str, item: str, cell_items: int = CELL
     into slots, and each two slots meet in a cell of their own, so that no task ever holds
     a whole big record; every pair still comes out once.
     """
-    rows = rows.select(F.col(record).alias("record"), F.col(item).alias("item"))
+    # Without NULLs from the start, all branches below read one and the same shuffle.
+    rows = rows.select(F.col(record).alias("record"), F.col(item).alias("item")).dropna()
     big = rows.groupBy("record").agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > cell_items)
     n_big = big.count()
     if n_big == 0:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from datamill.functions.buckets import bucket
+from datamill.session import cut
 
 
 def running_total(
@@ -39,9 +40,9 @@ def number_keys(keys: DataFrame, key: str, out: str, salt: str = "number", block
     """Number the distinct values of `key` 0, 1, 2, … in the order of (hash block, key).
 
     Each hash block is numbered on its own and moved up by the rows of the blocks before
-    it; only the `blocks` block sizes meet in one task.
+    it; only the `blocks` block sizes meet in one task. The keys are written out first.
     """
-    rows = keys.select(key).distinct().select(
+    rows = cut(keys.select(key).distinct()).select(
         key,
         F.lit(0).alias("_all"),
         F.pmod(bucket(F.col(key), salt), F.lit(blocks)).alias("_block"),

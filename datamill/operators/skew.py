@@ -9,28 +9,30 @@ from pyspark.sql import functions as F
 
 HOT_SHARE = 1 / 256
 # Below this many rows in all, no single group can overload a task.
-SMALL_TABLE = 1_000_000
+SMALL_TABLE = 10_000_000
+SAMPLE_ROWS = 1_000_000
 SLICES = 256
 
 
 def hot_keys(
     df: DataFrame, key: str, total: int | None = None, small_table: int = SMALL_TABLE
 ) -> list[Any]:
-    """Keys that hold more than 1/256 of the rows: at most 255 values, so safe to collect.
+    """Keys that hold more than about 1/256 of the rows: some hundred values at most.
 
-    `freqItems` gives a superset in one pass without a shuffle; a second pass counts those
-    candidates exactly. Small tables are not searched. Pass `total` when it is known.
+    Taken from a sample of about a million keys, where such a key shows up thousands of
+    times. Callers use the keys to spread work, never to choose rows, so a key that the
+    sample judges wrongly costs time and not correctness. Small tables are not searched;
+    pass `total` when the number of rows is known.
     """
     keys = df.select(key)
     if total is None:
         total = keys.count()
     if total <= small_table:
         return []
-    candidates = keys.stat.freqItems([key], HOT_SHARE).first()[0] or []
-    if not candidates:
-        return []
-    counts = keys.filter(F.col(key).isin(candidates)).groupBy(key).count()
-    return [row[key] for row in counts.filter(F.col("count") > total * HOT_SHARE).collect()]
+    sample = keys.sample(min(1.0, SAMPLE_ROWS / total), seed=1) if total > SAMPLE_ROWS else keys
+    most = sample.groupBy(key).count().orderBy(F.desc("count")).limit(int(1 / HOT_SHARE))
+    least = min(total, SAMPLE_ROWS) * HOT_SHARE
+    return [row[key] for row in most.collect() if row["count"] > least and row[key] is not None]
 
 
 def slice_of(is_hot: Column, spread: list[str], slices: int = SLICES) -> Column:

@@ -113,7 +113,7 @@ def latent_concepts(
     spark = terms.sparkSession
     num_concepts = min(num_concepts or k, k)
     terms = cut(terms)
-    frequencies = term_frequency(terms)
+    frequencies = cut(term_frequency(terms))
     vocab = term_ids(vocabulary(doc_frequency(frequencies), num_terms))
     idf = cut(inverse_doc_frequency(vocab, terms.count()))
     table = idf.select("term", "term_id", "idf").orderBy("term_id").toPandas()

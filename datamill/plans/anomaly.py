@@ -68,7 +68,7 @@ MOMENTS_SQL = f"""
     entries as ({sql_one_hot()}),
     total as (select count(*)::double as n from {RECORDS_SQL})
     select dim, (select cast(n as bigint) from total) as n,
-           round(sum(value) / (select n from total), 9) as mean,
+           round(sum(value) / (select n from total), 8) as mean,
            round(sqrt(sum(power(value - m, 2)) / (select n from total)
                  + power(any_value(m), 2) * ((select n from total) - count(*)) / (select n from total)), 6) as stdev
     from entries join (select dim, sum(value) / (select n from total) as m from entries group by dim) using (dim)
@@ -79,7 +79,7 @@ MOMENTS_SQL = f"""
 @query("vector_moments", f"with {MOMENTS_SQL}")
 def vector_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
     moments = clu.vector_moments(one_hot(spark, sf_dir))
-    return moments.withColumns({"mean": F.round("mean", 9), "stdev": F.round("stdev", 6)})
+    return moments.withColumns({"mean": F.round("mean", 8), "stdev": F.round("stdev", 6)})
 
 
 @query(

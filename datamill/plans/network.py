@@ -211,6 +211,7 @@ def rounded(stats: DataFrame) -> DataFrame:
 
 
 def chi_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All edges with their chi-square; topics and edges are each hashed and counted once."""
     counts = topic_counts(spark, sf_dir).select(topic_id(F.col("topic")).alias("id"), "n")
     n_records = table(spark, sf_dir, "orders").count()
     return net.chi_square_edges(graph_edges(spark, sf_dir), counts, n_records)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from datamill.functions.buckets import bucket, share
+from datamill.session import use_all_cores
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -149,10 +150,10 @@ SYMBOLIC = ["l_returnflag", "l_linestatus", "o_orderpriority"]
 
 def connection_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First numeric column, three symbolic columns, further numerics, a text label."""
-    lines = table(spark, sf_dir, "lineitem").select(
+    lines = use_all_cores(table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus",
         "l_extendedprice", "l_discount", "l_tax",
-    )
+    ))
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), "o_orderpriority", "o_orderstatus"
     )
@@ -163,9 +164,8 @@ def connection_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "embeddings").select(
-        "vec_id", F.col("embedding").cast("array<double>").alias("point"), "label"
-    )
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    return use_all_cores(rows).select("vec_id", F.col("embedding").cast("array<double>").alias("point"), "label")
 
 
 # --- topics ----------------------------------------------------------------------------------
@@ -174,7 +174,8 @@ def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def topic_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per topic named in a record: the record is an order, the topic a part."""
     topic = F.concat(F.lit("part_"), F.col("l_partkey").cast("string"))
-    return table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("record"), topic.alias("topic"))
+    rows = use_all_cores(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey"))
+    return rows.select(F.col("l_orderkey").alias("record"), topic.alias("topic"))
 
 
 TOPICS_SQL = "select l_orderkey as record, 'part_' || l_partkey as topic from lineitem"
