@@ -65,7 +65,7 @@ def test_trees_learn_a_category(spark):
     train, held_out, test = sampling.hash_split(data, F.col("id"), [0.6, 0.2, 0.2])
     grid = trees.tree_grid(train, held_out, [trees.TreeSetting("gini", 1, 10), trees.TreeSetting("entropy", 4, 40)])
     assert grid.first().accuracy == 1.0
-    best = trees.best_tree(train, held_out, test, trees.TreeSetting("entropy", 4, 40)).first()
-    assert best.test_accuracy == 1.0 and best.fit_accuracy == 1.0
+    best = trees.best_tree(train, held_out, test, setting=trees.TreeSetting("entropy", 4, 40)).first()
+    assert best.test_accuracy == 1.0 and best.known_accuracy == 1.0
     forest = trees.train_forest(train, 5, trees.TreeSetting("entropy", 5, 40))
     assert trees.accuracy(forest.transform(test)) > 0.9
