@@ -12,7 +12,7 @@ from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from datamill.session import persisted
+from datamill.session import ensure_checkpoint_dir, persisted
 
 
 def labelled_features(df: DataFrame, features: Sequence[str], class_number: str, *keep: str) -> DataFrame:
@@ -114,17 +114,26 @@ def categorical_features(categories: Sequence[str], numeric: Sequence[str], inva
     return Pipeline(stages=[indexer, VectorAssembler(inputCols=[*numeric, *indexed], outputCol="features")])
 
 
+# Deeper trees keep each row's node, checkpointed now and then, and do not walk down again.
+DEEP = 10
+
+
 def train_tree(train: DataFrame, setting: TreeSetting = TreeSetting("gini", 4, 100), seed: int = 7) -> Model:
-    tree = DecisionTreeClassifier(impurity=setting.impurity, maxDepth=setting.depth, maxBins=setting.bins, seed=seed)
+    ensure_checkpoint_dir(train.sparkSession)
+    tree = DecisionTreeClassifier(
+        impurity=setting.impurity, maxDepth=setting.depth, maxBins=setting.bins, seed=seed,
+        cacheNodeIds=setting.depth > DEEP,
+    )
     return tree.fit(train)
 
 
 def train_forest(
     train: DataFrame, trees: int = 20, setting: TreeSetting = TreeSetting("entropy", 30, 300), seed: int = 7
 ) -> Model:
+    ensure_checkpoint_dir(train.sparkSession)
     forest = RandomForestClassifier(
         numTrees=trees, featureSubsetStrategy="auto", impurity=setting.impurity,
-        maxDepth=setting.depth, maxBins=setting.bins, seed=seed,
+        maxDepth=setting.depth, maxBins=setting.bins, seed=seed, cacheNodeIds=setting.depth > DEEP,
     )
     return forest.fit(train)
 

@@ -14,7 +14,7 @@ from datamill.functions.buckets import bucket
 from datamill.functions.numbers import score_block
 from datamill.operators.ranking import number_keys, running_total
 from datamill.operators.skew import SMALL_TABLE, hot_keys, lookup
-from datamill.session import cut, persisted
+from datamill.session import cut, ensure_checkpoint_dir, persisted
 
 # Draws of one user are ranked in blocks of this many.
 DRAW_BLOCK = 4096
@@ -22,10 +22,10 @@ DRAW_BLOCK = 4096
 Predictor = Callable[[DataFrame], DataFrame]
 
 
-def canonical_ratings(ratings: DataFrame, alias: DataFrame) -> DataFrame:
+def canonical_ratings(ratings: DataFrame, alias: DataFrame, probe: DataFrame | None = None) -> DataFrame:
     """Replace aliased items (bad_id → good_id), one level only; rows are kept as read."""
     table = alias.select(F.col("bad_id").alias("item"), "good_id")
-    joined = lookup(ratings, table, "item")
+    joined = lookup(ratings, table, "item", probe=probe)
     return joined.withColumn("item", F.coalesce("good_id", "item")).drop("good_id")
 
 
@@ -193,10 +193,13 @@ def int_ids(ratings: DataFrame) -> DataFrame:
 def train_factors(
     ratings: DataFrame, rank: int = 10, iterations: int = 5, reg: float = 0.01, alpha: float = 1.0, seed: int = 7
 ) -> ALSModel:
-    """Implicit-feedback factors of summed ratings."""
+    """Implicit-feedback factors of summed ratings, in as many blocks as there are cores."""
+    ensure_checkpoint_dir(ratings.sparkSession)
+    blocks = max(10, ratings.sparkSession.sparkContext.defaultParallelism)
     als = ALS(
         userCol="user", itemCol="item", ratingCol="rating", implicitPrefs=True, coldStartStrategy="drop",
         rank=rank, maxIter=iterations, regParam=reg, alpha=alpha, seed=seed,
+        numUserBlocks=blocks, numItemBlocks=blocks,
     )
     return als.fit(int_ids(sum_ratings(ratings)))
 

@@ -53,14 +53,18 @@ def lookup(
     spread: list[str] | None = None,
     total: int | None = None,
     small_table: int = SMALL_TABLE,
+    probe: DataFrame | None = None,
 ) -> DataFrame:
     """Join `table`, which has one row per `key`, to `rows`.
 
     Rows of hot keys are cut into 256 slices by the `spread` columns (all columns if not
     named) and only the table rows of those few keys are copied once per slice. Without hot
     keys this is the plain join, where Catalyst picks broadcast or shuffle by size.
+
+    Where `rows` are costly to make, `probe` may name a cheaper frame, such as the scan
+    below them, that holds the key in like shares.
     """
-    hot = hot_keys(rows, key, total, small_table)
+    hot = hot_keys(rows if probe is None else probe, key, total, small_table)
     if not hot:
         return rows.join(table, key, how)
     is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))

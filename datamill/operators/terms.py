@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Interaction
 from pyspark.ml.linalg import Vectors
-from pyspark.mllib.linalg.distributed import IndexedRowMatrix
+from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -119,10 +119,9 @@ def latent_concepts(
     table = idf.select("term", "term_id", "idf").orderBy("term_id").toPandas()
     vectors = MLUtils.convertVectorColumnsFromML(
         doc_vectors(terms, list(table.term), list(table.idf)), "vector"
-    ).select(F.monotonically_increasing_id().alias("index"), "vector")
+    ).select("vector")
     with persisted(vectors) as (rows,):
-        matrix = IndexedRowMatrix(rows)
-        svd = matrix.computeSVD(k, computeU=False)
+        svd = RowMatrix(rows).computeSVD(k, computeU=False)
         values, loadings = svd.s.toArray(), svd.V.toArray()
     # The sign of a singular pair is free: make the largest entry of each concept positive.
     largest = np.abs(loadings).argmax(axis=0)

@@ -16,7 +16,9 @@ from datamill.plans.standins import (
     name_lines,
     raw_ratings,
     sql_bucket,
+    table,
 )
+from datamill.session import cut
 from datamill.sources.text_files import parse_alias_lines, parse_name_lines
 
 NAMES_SQL = "select p_partkey as item, trim(p_name) as name from part where p_partkey % 50 <> 0 and p_partkey % 70 <> 0"
@@ -31,17 +33,16 @@ def names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rec.canonical_ratings(raw_ratings(spark, sf_dir), aliases(spark, sf_dir))
+    probe = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("item"))
+    return rec.canonical_ratings(raw_ratings(spark, sf_dir), aliases(spark, sf_dir), probe)
 
 
-def splits(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Training ratings (0.9) and held-out ratings (0.1)."""
-    train, held_out = sampling.hash_split(ratings(spark, sf_dir), F.col("row_key"), [0.9, 0.1])
-    return train, held_out
-
-
-def items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ratings(spark, sf_dir).select("item").distinct()
+def splits(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Training ratings (0.9), held-out ratings (0.1) and the different items of both, all
+    from one written table: joined, renamed and hashed once."""
+    tagged = sampling.with_split(ratings(spark, sf_dir), F.col("row_key"), [0.9, 0.1])
+    rows = cut(tagged.select("user", "item", "rating", "split"))
+    return rows.filter("split = 0"), rows.filter("split = 1"), rows.select("item").distinct()
 
 
 @query("alias_table", ALIAS_SQL)
@@ -95,7 +96,7 @@ POPULARITY_SQL = "pop as (select item, sum(rating) as popularity from r where sp
     select "user", item, coalesce(popularity, 0.0) as score from r left join pop using (item) where split = 1""",
 )
 def popularity_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, held_out = splits(spark, sf_dir)
+    train, held_out, _ = splits(spark, sf_dir)
     return rec.popularity_scores(held_out.select("user", "item"), train)
 
 
@@ -136,8 +137,8 @@ NEGATIVES_SQL = f"""
 
 @query("negative_samples", f'with {NEGATIVES_SQL} select "user", draw, item from negatives')
 def negative_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    held_out = splits(spark, sf_dir)[1]
-    return rec.negative_samples(held_out, items(spark, sf_dir))
+    _, held_out, items = splits(spark, sf_dir)
+    return rec.negative_samples(held_out, items)
 
 
 @query(
@@ -151,17 +152,17 @@ def negative_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     select round(avg(auc), 6) as mean_auc, count(*) as n_users from per_user""",
 )
 def mean_auc_popularity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, held_out = splits(spark, sf_dir)
+    train, held_out, items = splits(spark, sf_dir)
     predict = lambda pairs: rec.popularity_scores(pairs, train)
-    result = rec.mean_auc(held_out, items(spark, sf_dir), predict)
+    result = rec.mean_auc(held_out, items, predict)
     return result.withColumn("mean_auc", F.round("mean_auc", 6))
 
 
 @query("mean_auc_als")
 def mean_auc_als(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, held_out = splits(spark, sf_dir)
+    train, held_out, items = splits(spark, sf_dir)
     model = rec.train_factors(train)
-    return rec.mean_auc(held_out, items(spark, sf_dir), rec.factor_scores(model))
+    return rec.mean_auc(held_out, items, rec.factor_scores(model))
 
 
 @query("als_train_factors")
@@ -173,7 +174,7 @@ def als_train_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("als_predict")
 def als_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, held_out = splits(spark, sf_dir)
+    train, held_out, _ = splits(spark, sf_dir)
     return rec.factor_scores(rec.train_factors(train))(held_out.select("user", "item"))
 
 
@@ -199,6 +200,6 @@ def als_recommend_many(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("als_grid")
 def als_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, held_out = splits(spark, sf_dir)
+    train, held_out, items = splits(spark, sf_dir)
     settings = [rec.Setting(5, 1.0, 1.0), rec.Setting(5, 1.0, 40.0)]
-    return rec.factor_grid(train, held_out, items(spark, sf_dir), settings, iterations=3)
+    return rec.factor_grid(train, held_out, items, settings, iterations=3)

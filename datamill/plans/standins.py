@@ -57,7 +57,8 @@ ROW_KEY = "concat_ws(':', l_orderkey, l_linenumber)"
 
 def raw_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order line: its own key, the customer, the part and the quantity."""
-    lines = table(spark, sf_dir, "lineitem").select(
+    scan = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    lines = use_all_cores(scan).select(
         "l_orderkey",
         F.expr(ROW_KEY).alias("row_key"),
         F.col("l_partkey").alias("item"),
@@ -118,7 +119,10 @@ NUMERIC = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 def labelled_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines with a 1-based class number made from the return flag."""
     number = F.when(F.col("l_returnflag") == "A", 1).when(F.col("l_returnflag") == "N", 2).otherwise(3)
-    return table(spark, sf_dir, "lineitem").select(
+    scan = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", *NUMERIC, "l_linestatus", "l_returnflag"
+    )
+    return use_all_cores(scan).select(
         F.expr(ROW_KEY).alias("row_key"),
         *NUMERIC,
         "l_linestatus",
