@@ -20,7 +20,8 @@ def record_pairs(rows: DataFrame, record: str, item: str, cell_items: int = CELL
     a whole big record; every pair still comes out once.
     """
     # Without NULLs from the start, all branches below read one and the same shuffle.
-    rows = rows.select(F.col(record).alias("record"), F.col(item).alias("item")).dropna()
+    rows = rows.select(F.col(record).alias("record"), F.col(item).alias("item"))
+    rows = rows.filter("record is not null and item is not null")
     big = rows.groupBy("record").agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > cell_items)
     n_big = big.count()
     if n_big == 0:
