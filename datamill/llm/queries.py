@@ -29,25 +29,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 OP10_SQL = r"""
 with words as (
   select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents
+), levels as (
+  select (13 * 2 ** unnest(range(0, 12)))::bigint as size
 ), starts as (
-  select doc_id, w, unnest(range(1, len(w) - 11)) as i from words where len(w) >= 13
+  select doc_id, w, size, unnest(range(1, len(w) - size + 2)) as i from words, levels where len(w) >= size
 ), windows as (
-  select doc_id, i, array_to_string(w[i:i + 12], ' ') as t from starts
-), later as (
-  select doc_id, i from (select doc_id, i, min(doc_id) over (partition by t) as least from windows) where least < doc_id
+  select doc_id, size, i, md5(array_to_string(w[i:i + size - 1], ' ')) as t from starts
+), spread as (
+  select *, min(doc_id) over (partition by size, t) as least, max(doc_id) over (partition by size, t) as most from windows
 ), gone as (
-  select doc_id, list(distinct p) as gone from (select doc_id, unnest(range(i, i + 13)) as p from later) group by doc_id
+  select doc_id, list(distinct p) as gone from (
+    select doc_id, unnest(range(i, i + 13)) as p from spread where size = 13 and least < doc_id) group by doc_id
+), longest as (
+  select doc_id, max(size) as longest from spread where least < most group by doc_id
 ), kept as (
-  select words.doc_id, len(w) as n_words, coalesce(len(gone), 0) as n_removed,
+  select words.doc_id, len(w) as n_words, coalesce(len(gone), 0) as n_removed, longest,
     case when gone is null then w
-      else [x.word for x in list_zip(w, range(1, len(w) + 1)) if not list_contains(gone, x.place)] end as kept
-  from words left join gone using (doc_id)
+      else [w[p] for p in range(1, len(w) + 1) if not list_contains(gone, p)] end as kept
+  from words left join gone using (doc_id) left join longest using (doc_id)
 )
-select doc_id, n_words::bigint as n_words, n_removed::bigint as n_removed, sha256(array_to_string(kept, ' ')) as kept_sha256 from kept
+select doc_id, n_words::bigint as n_words, n_removed::bigint as n_removed,
+  sha256(array_to_string(kept, ' ')) as kept_sha256, coalesce(longest, 0)::bigint as longest
+from kept
 """
 
 
-@query("op10_substring_dedup")
+@query("op10_substring_dedup", OP10_SQL)
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from datamill.llm.substrings import repeated_passages
 
@@ -83,3 +90,92 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from datamill.llm.jaccard import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=90)
+
+
+@query("op1_toxicity")
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from datamill.llm.toxicity import toxicity_scores
+
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+OP2_SQL = r"""
+with rows as (
+  select page_id, strlen(coalesce(html, '')) as n, sha256(coalesce(html, '')) as digest from pages
+), first as (
+  select *, min(page_id) over (partition by digest) as least from rows
+)
+select page_id, n::bigint as payload_bytes, digest as payload_digest,
+  case when n >= 100 and page_id > least then 'revisit' else 'response' end as record_type,
+  case when n >= 100 and page_id > least then least end as refers_to
+from first
+"""
+
+
+@query("op2_warc", OP2_SQL)
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from datamill.llm.warc import archive_pages
+
+    return archive_pages(table(spark, sf_dir, "pages")).drop("archive")
+
+
+OP4_SQL = r"""
+with rows as (
+  select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as size,
+    md5(coalesce(doc_id::varchar, '')) as key from documents
+), sizes as (
+  select source, sum(size)::bigint as source_size,
+    (row_number() over (order by source nulls last) - 1) % 3 + 1 as weight from rows group by source
+), levels as (
+  select *, (sum(source_size) over () - coalesce(sum(3.0 * source_size) over (
+      order by 3.0 * source_size / weight, source nulls last rows between unbounded preceding and 1 preceding), 0))::double
+    / (sum(weight) over (order by 3.0 * source_size / weight, source nulls last
+      rows between current row and unbounded following))::double as level
+  from sizes
+), plan as (
+  select source, source_size, case when shared is null or 3.0 * source_size <= weight * shared
+    then (3.0 * source_size)::double else (weight * shared)::double end as target
+  from levels, (select arg_min(level, 3.0 * source_size / weight) as shared from levels
+    where 3.0 * source_size / weight > level)
+), budgets as (
+  select *, floor(target + 1e-6)::bigint as budget from plan
+), ends as (
+  select *, sum(size) over (partition by source order by key, doc_id, size rows unbounded preceding) as stop from rows
+)
+select doc_id, e.source, size, source_size, target, (case when source_size = 0 then 0 else
+    (budget // source_size) * size + greatest(0, least(size, budget % source_size - (stop - size))) end)::bigint as taken
+from ends e join budgets b on e.source is not distinct from b.source
+"""
+
+
+@query("op4_mix_sources", OP4_SQL)
+def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from datamill.llm.mixing import mix_sources
+
+    return mix_sources(table(spark, sf_dir, "documents"))
+
+
+@query("op7_nearest_neighbours")
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from datamill.llm.neighbours import nearest_neighbours
+
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+SHARDS = {f"shard-{i:02d}": 1.0 + (i % 4 == 0) for i in range(32)}
+
+
+@query("op8_sharding")
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from datamill.llm.sharding import place
+
+    return place(table(spark, sf_dir, "documents").select("doc_id"), "doc_id", SHARDS)
+
+
+@query("op9_best_fit_packing")
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from datamill.llm.packing import pack_documents
+
+    return pack_documents(table(spark, sf_dir, "documents"))
