@@ -27,6 +27,8 @@ BLOCK = 128
 # Chance alone reaches this chi-square in about one of a million terms.
 LEAST_CHI = 24.0
 LEAST_EXAMPLES = 8
+BEGINNINGS = (4, 5, 6)
+KNOWN_WORDS = 300_000
 
 
 def held_out(doc_id: Column) -> Column:
@@ -34,8 +36,17 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string")), F.lit(4)) == 2, F.lit(False))
 
 
-def _terms(text: str | None) -> Counter:
-    return Counter(TERM.findall(text.lower())) if text else Counter()
+def _parts(word: str) -> Iterator[str]:
+    """Terms of a word: itself and, as inflected forms differ, its beginnings."""
+    yield word
+    for n in BEGINNINGS:
+        if len(word) > n:
+            yield "^" + word[:n]
+
+
+def _terms(text: str | None) -> set[str]:
+    words = set(TERM.findall(text.lower())) if text else ()
+    return {part for word in words for part in _parts(word)}
 
 
 def _example_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -51,12 +62,22 @@ VECTORS = "doc_id long, held_out boolean, terms binary, times binary"
 
 def _vectors(vocabulary: dict[str, int]):
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, tuple[int, ...]] = {}
         for batch in batches:
             terms, times = [], []
             for text in batch["text"].to_pylist():
-                found = sorted(Counter(vocabulary[t] for t in TERM.findall(text.lower()) if t in vocabulary).items()) if text else []
-                terms.append(np.array([t for t, _ in found], np.int32).tobytes())
-                times.append(np.array([n for _, n in found], np.int32).tobytes())
+                found: Counter = Counter()
+                for word in TERM.findall(text.lower()) if text else ():
+                    own = known.get(word)
+                    if own is None:
+                        if len(known) > KNOWN_WORDS:
+                            known.clear()
+                        own = known[word] = tuple(vocabulary[p] for p in _parts(word) if p in vocabulary)
+                    if own:
+                        found.update(own)
+                ordered = sorted(found.items())
+                terms.append(np.array([t for t, _ in ordered], np.int32).tobytes())
+                times.append(np.array([n for _, n in ordered], np.int32).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], batch["held_out"], pa.array(terms, pa.binary()), pa.array(times, pa.binary())],
                 names=["doc_id", "held_out", "terms", "times"],
@@ -84,6 +105,7 @@ class Index:
         self.toxic = np.array([e[1] for e in examples], np.float64)
         # An example of a class that was sampled stands for 1 / rate documents.
         self.stands = np.array([1 / rates[int(e[1])] for e in examples])
+        self.prior = float((self.stands * self.toxic).sum() / self.stands.sum()) if len(examples) else 0.0
         n_blocks = -(-len(examples) // BLOCK)
         self.most = np.zeros((len(idf), n_blocks))
         rows, terms, weights = [], [], []
@@ -131,8 +153,9 @@ class Index:
         return rows, cosines
 
     def vote(self, rows: np.ndarray, cosines: np.ndarray) -> float:
-        near = self.stands[rows] / (0.1 + np.sqrt(np.maximum(0, 2 - 2 * cosines)))
-        return float((near * self.toxic[rows]).sum() / near.sum())
+        """Toxic share of the neighbours by nearness; far ones leave it near the prior."""
+        near = self.stands[rows] * cosines**2 / (0.1 + np.sqrt(np.maximum(0, 2 - 2 * cosines)))
+        return float(((near * self.toxic[rows]).sum() + self.prior) / (near.sum() + 1))
 
     def calibrate(self, examples) -> None:
         """Fit the rising curve from left-out votes to shares of toxic examples."""
@@ -147,8 +170,7 @@ class Index:
             else:
                 none += self.stands[i]
                 none_toxic += self.stands[i] * y
-        prior = float((self.stands * self.toxic).sum() / self.stands.sum()) if len(self.ids) else 0.0
-        self.unknown = (none_toxic + prior) / (none + 1)
+        self.unknown = (none_toxic + self.prior) / (none + 1)
         if not votes:
             return
         order = np.argsort(votes, kind="stable")
@@ -162,7 +184,7 @@ class Index:
                 pools[-1] = [a + b for a, b in zip(pools[-1], last)]
         self.curve = (
             np.array([p[0] / p[2] for p in pools]),
-            np.array([(p[1] + prior) / (p[2] + 1) for p in pools]),
+            np.array([(p[1] + self.prior) / (p[2] + 1) for p in pools]),
         )
 
     def score(self, terms: np.ndarray, times: np.ndarray) -> tuple[float, list[int], list[float]]:
