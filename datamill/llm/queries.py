@@ -179,3 +179,46 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from datamill.llm.packing import pack_documents
 
     return pack_documents(table(spark, sf_dir, "documents"))
+
+
+OP3_SQL = r"""
+with docs as (
+  select doc_id, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents
+), windows as (
+  select doc_id, i, array_to_string(w[i:i + 4], ' ') as t
+  from (select doc_id, w, unnest(range(1, len(w) - 3)) as i from docs where len(w) >= 5)
+), again as (
+  select doc_id, i from (select *, count(*) over (partition by doc_id, t) as n from windows) where n > 1
+), repeats as (
+  select doc_id, count(distinct p) as n from (select doc_id, unnest(range(i, i + 5)) as p from again) group by doc_id
+), lines as (
+  select doc_id, count(*) as n_lines, count(*) - count(distinct line) as n_dup
+  from (select doc_id, unnest(string_split(text, chr(10))) as line from docs)
+  where regexp_matches(line, '[^\x20\x09-\x0D]') group by doc_id
+), measured as (
+  select doc_id, len(w)::bigint as n_words, length(array_to_string(w, ''))::bigint as word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g'))::bigint as n_symbols,
+    coalesce(n_dup, 0)::bigint as n_dup_lines, coalesce(n_lines, 0)::bigint as n_lines,
+    coalesce(r.n, 0)::bigint as n_repeat_words
+  from docs left join repeats r using (doc_id) left join lines using (doc_id)
+), ledger as (
+  select *, (n_words < 10 or 100 * n_repeat_words > 20 * n_words) as base_failed,
+    (case when n_words < 10 then 1 else 0 end + case when 100 * n_repeat_words > 20 * n_words then 2 else 0 end
+    + case when 10 * n_symbols > n_words then 4 else 0 end
+    + case when word_chars < 2 * n_words or word_chars > 15 * n_words then 8 else 0 end
+    + case when 100 * n_dup_lines > 30 * n_lines then 16 else 0 end)::bigint as failed
+  from measured
+)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, failed = 0 as kept, failed
+from ledger
+"""
+
+
+@query("op3_rule_ledger", OP3_SQL)
+def op3_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from datamill.llm.rules import BASE, POLICIES, ledger, passes
+    from datamill.llm.tables import written
+
+    rows = written(ledger(table(spark, sf_dir, "documents")))
+    counted = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return rows.select(*counted, (~passes(BASE)).alias("base_failed"), passes(POLICIES[-1]).alias("kept"), "failed")
