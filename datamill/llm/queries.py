@@ -209,16 +209,23 @@ with docs as (
     + case when 100 * n_dup_lines > 30 * n_lines then 16 else 0 end)::bigint as failed
   from measured
 )
-select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, failed = 0 as kept, failed
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, failed & 7 = 0 as kept, failed
 from ledger
 """
 
 
 @query("op3_rule_ledger", OP3_SQL)
 def op3_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from datamill.llm.rules import BASE, POLICIES, ledger, passes
+    from datamill.llm.rules import BASE, CURRENT, ledger, passes
     from datamill.llm.tables import written
 
     rows = written(ledger(table(spark, sf_dir, "documents")))
     counted = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    return rows.select(*counted, (~passes(BASE)).alias("base_failed"), passes(POLICIES[-1]).alias("kept"), "failed")
+    return rows.select(*counted, (~passes(BASE)).alias("base_failed"), passes(CURRENT).alias("kept"), "failed")
+
+
+@query("op5_pii")
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from datamill.llm.pii import digest, personal_data
+
+    return digest(personal_data(table(spark, sf_dir, "documents")))

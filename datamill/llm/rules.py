@@ -52,6 +52,8 @@ POLICIES = (
     Policy("v1", (*BASE.rules, "symbols")),
     Policy("v2", RULE_NAMES),
 )
+# Repeated lines alone also hit good prose, so the strictest version is not the current one.
+CURRENT = POLICIES[1]
 
 
 def _repeated(words: Column, hashes: Column) -> Column:
