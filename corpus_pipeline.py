@@ -1,9 +1,80 @@
-"""Stages from raw documents to packed training sequences."""
+"""From raw documents to packed sequences: every stage works on all that the last one kept.
 
-STAGES = []
+`STAGES` lists (name, function); a function takes (spark, docs, sf_dir) and returns the
+documents it leaves, in their own columns. The last returns the packed pieces.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from datamill.llm.jaccard import near_duplicates
+from datamill.llm.mixing import copies, mix_sources
+from datamill.llm.packing import pack_documents
+from datamill.llm.pii import personal_data, redacted
+from datamill.llm.tables import written
+from datamill.llm.toxicity import without_toxic
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score below the threshold of toxicity."""
+    return without_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates, that with the smallest id.
+
+    Five-word shingles, similarity 0.8. Of rows that share an id the one with the smallest
+    text stays, a null text last. A row without an id gives way to one with an id.
+    """
+    # A row without an id is named by its text, above all ids.
+    by_text = F.lit(1 << 62) + F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(1 << 62))
+    named = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("bigint"), by_text))
+    groups = near_duplicates(named, k=5, percent=80, id_column="_id")
+    kept = groups.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_id")).distinct()
+    first = Window.partitionBy("_id").orderBy(F.col("text").asc_nulls_last())
+    rows = named.join(kept, "_id", "left_semi").withColumn("_nth", F.row_number().over(first))
+    return rows.filter("_nth = 1").select(*docs.columns)
+
+
+def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with personal data replaced by its kind; n_chars follows the text."""
+    found = personal_data(docs).filter(F.size("spans") > 0)
+    found = found.groupBy(F.col("doc_id").alias("_id"), F.col("print").alias("_print")).agg(F.first("spans").alias("_spans"))
+    mine = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_print"))
+    joined = docs.join(found, mine, "left")
+    text = F.when(F.col("_spans").isNotNull(), redacted(F.col("text"), F.col("_spans"))).otherwise(F.col("text"))
+    rows = joined.withColumn("text", text)
+    n_chars = F.when(F.col("_spans").isNotNull(), F.length("text")).otherwise(F.col("n_chars"))
+    return rows.withColumn("n_chars", n_chars.cast("bigint")).select(*docs.columns)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents of each source up to its target, repeated where it is above the source."""
+    return copies(docs, mix_sources(docs))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents in bins of one sequence length."""
+    return pack_documents(docs)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near duplicates", drop_near_duplicates),
+    ("personal data", redact),
+    ("mixing", mix),
+    ("packing", pack),
+]
+
+# The trained stages have no SQL twin; tests hold each stage against a plain version.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents; each result is written before the next reads it."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return docs
+    for _, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

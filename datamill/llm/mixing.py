@@ -93,17 +93,22 @@ def _by_source(rows: DataFrame, plan: DataFrame) -> DataFrame:
     return rows.join(plan, same).drop(plan["source"])
 
 
-def copies(documents: DataFrame, mixed: DataFrame, columns: list[str]) -> DataFrame:
-    """The mix itself: a row per epoch of each document, the cut one with its first words.
+def copies(documents: DataFrame, mixed: DataFrame) -> DataFrame:
+    """The mix itself, in the columns of `documents`: a row per epoch of each document, the
+    cut one with the words it gives, joined by one space; n_chars follows the text.
 
     `mixed` is joined by doc_id and size, so both must come from the same rows.
     """
-    docs = documents.select(*columns).withColumn("size", word_count(F.col("text")))
-    plan = mixed.filter("taken > 0").groupBy("doc_id", "size").agg(F.max("taken").alias("taken"))
-    joined = docs.join(plan, ["doc_id", "size"])
-    rows = joined.withColumn("epoch", F.explode(F.sequence(F.lit(1), F.ceil(F.col("taken") / F.col("size")).cast("int"))))
-    words = F.least(F.col("size"), F.col("taken") - (F.col("epoch") - 1) * F.col("size"))
-    kept = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.lit(1), words.cast("int")), " ")
-    shown = F.when(words < F.col("size"), kept).otherwise(F.col("text"))
-    chosen = {"text": shown, "n_chars": F.length(shown).cast("bigint")}
-    return rows.select(*[chosen[c].alias(c) if c in chosen else F.col(c) for c in columns])
+    docs = documents.withColumn("_size", word_count(F.col("text")))
+    plan = mixed.filter("taken > 0").groupBy(F.col("doc_id").alias("_id"), F.col("size").alias("_words"))
+    plan = plan.agg(F.max("taken").alias("_taken"))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_size") == F.col("_words"))
+    rows = docs.join(plan, same).withColumn(
+        "_epoch", F.explode(F.sequence(F.lit(1), F.ceil(F.col("_taken") / F.col("_size")).cast("int")))
+    )
+    words = F.least(F.col("_size"), F.col("_taken") - (F.col("_epoch") - 1) * F.col("_size"))
+    first = F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.lit(1), words.cast("int"))
+    rows = rows.withColumn("text", F.when(words < F.col("_size"), F.array_join(first, " ")).otherwise(F.col("text")))
+    if "n_chars" in documents.columns:
+        rows = rows.withColumn("n_chars", F.length("text").cast(documents.schema["n_chars"].dataType))
+    return rows.select(*documents.columns)

@@ -219,24 +219,24 @@ def _scores(index: Index, threshold: float):
     return score
 
 
-def toxicity_scores(
+class Model:
+    """A vocabulary and the index of the examples; a few megabytes at most."""
+
+    def __init__(self, vocabulary: dict[str, int], index: Index) -> None:
+        self.vocabulary, self.index = vocabulary, index
+
+
+def train(
     documents: DataFrame,
     labels: DataFrame,
     per_class: int = 4096,
     vocabulary_size: int = 1024,
     neighbours: int = 15,
-    threshold: float = 0.3,
-) -> DataFrame:
-    """One row per document: doc_id, held_out, score, predicted, evidence, cosines.
+) -> tuple[Model, DataFrame]:
+    """A model, and the vectors of all documents that its document frequencies come from.
 
     Trains on labelled documents that are not held out, at most about `per_class` of each
-    class, taken by a hash of the id; all of a smaller class. `evidence` has the ids of the
-    nearest examples and `cosines` their nearness. Document frequencies cover all documents.
-
-    A null or empty text, or one without any vocabulary term, gets the toxic share among
-    examples like it. Without any usable label every score is 0. Null labels and ids are no
-    examples; a document with both labels counts as two; rows that repeat are each scored.
-    An empty table gives no rows. Other columns are ignored.
+    class, taken by a hash of the id; all of a smaller class.
     """
     ship(documents.sparkSession)
     docs = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
@@ -280,5 +280,44 @@ def toxicity_scores(
     examples = [(d, y, np.frombuffer(t, np.int32), np.frombuffer(n, np.int32)) for d, y, t, n in examples]
     index = Index(examples, idf, rates, neighbours)
     index.calibrate(examples)
+    return Model(vocabulary, index), vectors
+
+
+def toxicity_scores(documents: DataFrame, labels: DataFrame, threshold: float = 0.3, **settings: int) -> DataFrame:
+    """One row per document: doc_id, held_out, score, predicted, evidence, cosines.
+
+    `evidence` has the ids of the nearest examples and `cosines` their nearness. Document
+    frequencies cover all documents; `settings` are those of `train`.
+
+    A null or empty text, or one without any vocabulary term, gets the toxic share among
+    examples like it. Without any usable label every score is 0. Null labels and ids are no
+    examples; a document with both labels counts as two; rows that repeat are each scored.
+    An empty table gives no rows. Other columns are ignored.
+    """
+    model, vectors = train(documents, labels, **settings)
     schema = "doc_id long, held_out boolean, score double, predicted int, evidence array<bigint>, cosines array<double>"
-    return vectors.mapInArrow(_scores(index, threshold), schema)
+    return vectors.mapInArrow(_scores(model.index, threshold), schema)
+
+
+def without_toxic(documents: DataFrame, labels: DataFrame, threshold: float = 0.3, **settings: int) -> DataFrame:
+    """`documents`, all their columns, without those that score the threshold or more.
+
+    Defined for nulls, repeats and empty tables as `toxicity_scores`.
+    """
+    model, _ = train(documents, labels, **settings)
+    vector, index = _vectors(model.vocabulary), model.index
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = pa.RecordBatch.from_arrays(
+                [batch["text"], pa.nulls(len(batch), pa.int64()), pa.nulls(len(batch), pa.bool_())],
+                names=["text", "doc_id", "held_out"],
+            )
+            found = next(vector(iter([texts])))
+            scores = [
+                index.score(np.frombuffer(t, np.int32), np.frombuffer(n, np.int32))[0]
+                for t, n in zip(found["terms"].to_pylist(), found["times"].to_pylist())
+            ]
+            yield batch.filter(pa.array([s < threshold for s in scores], pa.bool_()))
+
+    return documents.mapInArrow(keep, documents.schema)
