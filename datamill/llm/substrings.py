@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from datamill.llm.tables import parts, ship, written
+from datamill.llm.tables import discard, parts, ship, written
 from datamill.llm.words import blocks, grams, mix, sequence_hash, word_hashes
 
 LENGTH = 13
@@ -147,11 +147,11 @@ def _judge(table: pa.Table) -> pa.Table:
     """One bucket: which of its windows do documents of several ids hold? What a block
     settled by itself passes through."""
     rows = table.to_pylist()
-    out: list[dict] = []
 
     def column(of: list[dict], name: str, kind: type) -> np.ndarray:
         return np.concatenate([np.frombuffer(r[name], kind) for r in of])
 
+    answers = []
     for of in ([r for r in rows if r["bucket"] < 0], [r for r in rows if r["bucket"] >= 0]):
         if not of:
             continue
@@ -171,7 +171,12 @@ def _judge(table: pa.Table) -> pa.Table:
             least, most = owner[head], owner[np.append(head[1:], len(h)) - 1]
             hit = (most > least)[run]
             codes, doc = _codes(h[hit], (owner > least[run])[hit]), doc[hit]
-        out += _answer(homes, ids, prints, doc, codes)
+        answers.append((homes, ids, prints, doc, codes))
+    if len(answers) == 2:  # one packet per home, whoever answers
+        first, second = answers
+        shift = len(first[0])
+        answers = [(*map(np.concatenate, zip(first[:3], second[:3])), np.append(first[3], second[3] + shift), np.append(first[4], second[4]))]
+    out = [row for answer in answers for row in _answer(*answer)]
     return pa.Table.from_batches([_pack(out, FLAGS_SCHEMA)])
 
 
@@ -242,8 +247,14 @@ def _signed(number: int) -> int:
     return number - 2**64 if number >= 2**63 else number
 
 
+def _steps(starts: np.ndarray) -> bytes:
+    """Places as differences, which compress to little: windows survive in runs."""
+    return np.diff(starts, prepend=0).astype(np.int32).tobytes()
+
+
 def _doubled(row: dict, span: int) -> tuple[np.ndarray, np.ndarray]:
-    starts, hashes = np.frombuffer(row["starts"], np.int32), np.frombuffer(row["hashes"], np.uint64)
+    starts = np.cumsum(np.frombuffer(row["starts"], np.int32), dtype=np.int64)
+    hashes = np.frombuffer(row["hashes"], np.uint64)
     at = np.searchsorted(starts, starts + span)
     both = np.flatnonzero(starts[np.minimum(at, len(starts) - 1)] == starts + span)
     second = hashes[at[both]]
@@ -293,7 +304,7 @@ def _mark_texts(length: int, keep_text: bool):
                         "doc_id": ids[row], "n_words": n, "n_removed": n - len(kept),
                         "kept_text": text.decode() if keep_text else None,
                         "kept_sha256": hashlib.sha256(text).hexdigest(),
-                        "starts": survive.astype(np.int32).tobytes(), "hashes": hashes[survive].tobytes(),
+                        "starts": _steps(survive), "hashes": hashes[survive].tobytes(),
                     }
                 )
         return pa.Table.from_pylist(out, schema=schema)
@@ -314,7 +325,7 @@ def _mark_survivors(span: int):
             starts, hashes = _doubled(r, span)
             repeated, _ = told.of(r["_id"], _unsigned(r["_print"]), hashes)
             if repeated.any():
-                r["starts"], r["hashes"] = starts[repeated].tobytes(), hashes[repeated].tobytes()
+                r["starts"], r["hashes"] = _steps(starts[repeated]), hashes[repeated].tobytes()
                 out.append(r)
         return pa.Table.from_pylist(out, schema=schema)
 
@@ -351,35 +362,28 @@ def repeated_passages(
     """
     spark = documents.sparkSession
     ship(spark)
-    buckets = parts(spark)
-    homes = parts(spark, 4)
+    buckets = homes = parts(spark)
+    few = max(1, buckets // 4)  # for the deeper levels, which hold far less
     rows = documents.select(F.col(id_column).cast("bigint").alias("_id"), F.col(text_column).alias("_text"))
     rows = rows.withColumn("_home", F.pmod(F.xxhash64("_id", "_text"), F.lit(homes)).cast("int"))
-    flags = _judged(rows.mapInArrow(_send_texts(length, buckets), SENT), buckets)
-    marked = written(
-        rows.groupBy("_home")
-        .cogroup(written(flags).groupBy("home"))
-        .applyInArrow(_mark_texts(length, keep_text), MARKED)
-    )
-    levels = []
+    flags = written(_judged(rows.mapInArrow(_send_texts(length, buckets), SENT), buckets))
+    marked = rows.groupBy("_home").cogroup(flags.groupBy("home")).applyInArrow(_mark_texts(length, keep_text), MARKED)
+    marked = written(marked)
+    discard(flags)
     alive = marked.filter(F.octet_length("starts") > 0).select("_id", "_print", "_home", "starts", "hashes")
     span = length
-    reached = alive.select("_id", "_print", F.lit(span).alias("level"))
-    while True:
-        levels.append(reached)
-        if not deeper or alive.isEmpty():
-            break
-        flags = written(_judged(alive.mapInArrow(_send_survivors(span, buckets), SENT), buckets))
-        if flags.isEmpty():
-            break
-        alive = written(
+    longest = alive.select("_id", "_print", F.lit(span).alias("level"))
+    while deeper:
+        flags = _judged(alive.mapInArrow(_send_survivors(span, few), SENT), few)
+        above = written(
             alive.groupBy("_home").cogroup(flags.groupBy("home")).applyInArrow(_mark_survivors(span), SURVIVORS)
         )
-        span *= 2
-        reached = alive.select("_id", "_print", F.lit(span).alias("level"))
-    longest = levels[0]
-    for level in levels[1:]:
-        longest = longest.unionByName(level)
+        if hasattr(alive, "written_to"):
+            discard(alive)
+        alive, span = above, 2 * span
+        if alive.isEmpty():
+            break
+        longest = longest.unionByName(written(alive.select("_id", "_print", F.lit(span).alias("level"))))
     longest = longest.groupBy("_id", "_print").agg(F.max("level").cast("bigint").alias("longest"))
     return marked.join(longest, ["_id", "_print"], "left").select(
         "doc_id", "n_words", "n_removed", "kept_text", "kept_sha256", F.coalesce("longest", F.lit(0)).alias("longest")

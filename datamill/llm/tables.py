@@ -63,7 +63,17 @@ def written(df: DataFrame) -> DataFrame:
     path = shared_folder(spark)
     with _tidy(spark):
         df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.written_to = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables made by `written` that nothing will read again."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table.written_to)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def parts(spark: SparkSession, times: int = 1) -> int:
