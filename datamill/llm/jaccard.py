@@ -1,8 +1,9 @@
 """Near duplicates: documents whose shingle sets have a Jaccard similarity of at least a
 threshold, found by a grouped prefix join.
 
-Every pair over the threshold shares a shingle among the first few of both sets, once all
-sets are put in one order. Rare shingles come first, by counts over the whole corpus in a
+Every pair over the threshold shares shingles among the first few of both sets, once all
+sets are put in one order; with each shingle that the prefixes are longer than they must be,
+one more is shared, which keeps long documents from meeting by chance. Rare shingles come first, by counts over the whole corpus in a
 table of fixed size. Documents with the same set are one class; classes with the same
 prefix and size are one group, and only groups are joined on prefix shingles.
 
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from datamill.llm.tables import ship, written
+from datamill.llm.tables import discard, ship, written
 from datamill.llm.words import blocks, grams, mix, sequence_hash, word_hashes
 from datamill.operators.network import connected_components
 
@@ -98,7 +99,7 @@ def _prefixes(k: int, percent: int, counts: np.ndarray):
             prints: list[tuple[int, ...]] = []
             for row, own in _sets(batch, k):
                 n = len(own)
-                keep = n - -(-percent * n // 100) + 1 if n else 0
+                keep = n - -(-percent * n // 100) + _extra(n) if n else 0
                 order = np.lexsort((own, ranks[(own % COUNTERS).astype(np.int64)]))[:keep]
                 first = own[order]
                 parity = np.packbits((np.bincount((own & np.uint64(127)).astype(np.int64), minlength=128) & 1).astype(np.uint8))
@@ -119,6 +120,11 @@ def _prefixes(k: int, percent: int, counts: np.ndarray):
     return make
 
 
+def _extra(n):
+    """Shingles that two prefixes must share, by the smaller set: one for each 64 members."""
+    return 1 + n // 64 if isinstance(n, int) else F.lit(1) + F.floor(n / 64)
+
+
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per prefix shingle of a group."""
     for batch in batches:
@@ -164,7 +170,9 @@ def _verified(documents: DataFrame, pairs: DataFrame, k: int, percent: int) -> D
     sets = written(texts.mapInArrow(_set_rows(k), "id long, members binary"))
     both = pairs.join(sets.select(F.col("id").alias("a"), F.col("members").alias("set_a")), "a")
     both = both.join(sets.select(F.col("id").alias("b"), F.col("members").alias("set_b")), "b")
-    return written(both.select("a", "b", "set_a", "set_b").mapInArrow(_linked(percent), "a long, b long"))
+    links = written(both.select("a", "b", "set_a", "set_b").mapInArrow(_linked(percent), "a long, b long"))
+    discard(sets)
+    return links
 
 
 def _fits(n: Column, m: Column, percent: int) -> Column:
@@ -199,14 +207,16 @@ def near_duplicates(
     filled = found.filter("n > 0")
     classes = written(
         filled.groupBy("print_a", "print_b").agg(
-            F.min("doc_id").alias("id"), *[F.first(c).alias(c) for c in ("n", "group_a", "group_b", "map_a", "map_b", "prefix")]
+            F.min("doc_id").alias("id"), *[F.first(c).alias(c) for c in ("n", "group_a", "group_b", "map_a", "map_b")]
         )
     )
     groups = written(
-        classes.groupBy("group_a", "group_b").agg(
-            F.min("id").alias("rep"), F.first("n").alias("n"), F.first("prefix").alias("prefix")
+        filled.groupBy("group_a", "group_b").agg(
+            F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("prefix").alias("prefix")
         )
     )
+    rows = written(found.select("doc_id", "n", "print_a", "print_b"))
+    discard(found)
     tokens = groups.select("rep", "n", "prefix").mapInArrow(_tokens, "token long, rep long, n long")
 
     # One partner per group: where its shingles lead most often.
@@ -235,8 +245,10 @@ def near_duplicates(
     group_pairs = (
         left.join(right, "token")
         .filter((F.col("component_a") < F.col("component_b")) & _fits(F.col("n_a"), F.col("n_b"), percent))
-        .select("rep_a", "component_a", "rep_b", "component_b")
-        .distinct()
+        .groupBy("rep_a", "component_a", "rep_b", "component_b")
+        .agg(F.count(F.lit(1)).alias("shared"), F.first(F.least("n_a", "n_b")).alias("least"))
+        .filter(F.col("shared") >= _extra(F.col("least")))
+        .drop("shared", "least")
     )
     one = cells.select(*[F.col(c).alias(f"{c}_a") for c in cells.columns])
     two = cells.select(*[F.col(c).alias(f"{c}_b") for c in cells.columns])
@@ -261,8 +273,7 @@ def near_duplicates(
         merged = _components(roots, bridges).select(F.col("id").alias("component"), F.col("component").alias("root"))
         joined = joined.join(merged, "component").select("id", F.col("root").alias("component"))
     class_of = classes.select("print_a", "print_b", "id").join(joined, "id").select("print_a", "print_b", "component")
-    rows = found.select("doc_id", "n", "print_a", "print_b").join(class_of.distinct(), ["print_a", "print_b"], "left")
-    return rows.select(
+    return rows.join(class_of.distinct(), ["print_a", "print_b"], "left").select(
         F.nullif("doc_id", none).alias("doc_id"),
         F.col("n").alias("n_shingles"),
         F.nullif(F.coalesce("component", "doc_id"), none).alias("component_id"),
