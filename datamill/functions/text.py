@@ -32,15 +32,23 @@ which while who who's whom why why's with won't would wouldn't
 you you'd you'll you're you've your yours yourself yourselves
 """.split()
 
-# A run of at least three letters that touches no other letter or digit.
-LETTER_WORD = r"(?<![\p{L}\p{N}])\p{L}{3,}(?![\p{L}\p{N}])"
+# A run of letters and digits, with apostrophes inside, so that contractions stay whole.
+TOKEN = r"[\p{L}\p{N}]+(?:'[\p{L}\p{N}]+)*"
 
 
 def kept_terms(text: Column, stop_words: Iterable[str] = STOP_WORDS) -> Column:
-    """Lower-case words of the text that are longer than two, all letters, no stop words."""
-    words = F.regexp_extract_all(F.lower(text), F.lit(LETTER_WORD), F.lit(0))
+    """Lower-case words of the text that are longer than two, all letters, no stop words.
+
+    A contraction is held against the stop words whole, and is no term of its own.
+    """
+    words = F.regexp_extract_all(F.replace(F.lower(text), F.lit("’"), F.lit("'")), F.lit(TOKEN), F.lit(0))
     stops = sorted(set(stop_words))
-    return F.filter(words, lambda word: ~word.isin(stops)) if stops else words
+
+    def is_term(word: Column) -> Column:
+        letters = word.rlike(r"^\p{L}{3,}$")
+        return letters & ~word.isin(stops) if stops else letters
+
+    return F.filter(words, is_term)
 
 
 def strip_tags(markup: Column) -> Column:

@@ -8,9 +8,8 @@ from concurrent.futures import ThreadPoolExecutor
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.linalg import Vectors
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
@@ -78,17 +77,11 @@ def fit_standardiser(
     moments = vector_moments(df, vector).orderBy("dim").collect()
     mean = np.array([m["mean"] for m in moments])
     spread = np.array([m["stdev"] if m["stdev"] > 0 else 1.0 for m in moments])
-    # Two points at this distance around the mean have exactly these sample moments, so a
-    # scaler fitted on them scales by the population deviation of `df`.
-    half = spread / np.sqrt(2)
-    points = df.sparkSession.createDataFrame(
-        [(Vectors.dense(mean - half),), (Vectors.dense(mean + half),)], [vector]
-    )
-    scaler = StandardScaler(inputCol=vector, outputCol="_scaled", withMean=True, withStd=True).fit(points)
-
     def apply(rows: DataFrame) -> DataFrame:
-        scaled = scaler.transform(rows)
-        return (scaled.drop(vector) if vector == out else scaled).withColumnRenamed("_scaled", out)
+        values = vector_to_array(vector)
+        centre, by = (F.array(*map(F.lit, row.tolist())) for row in (mean, spread))
+        scaled = F.transform(values, lambda x, i: (x - F.get(centre, i)) / F.get(by, i))
+        return rows.withColumn(out, array_to_vector(scaled))
 
     return apply
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from datamill.functions.buckets import topic_id
-from datamill.operators.pairs import pair_counts, record_pairs
+from datamill.operators.pairs import CELL_ITEMS, pair_counts, record_pairs
 from datamill.operators.ranking import number_keys
 from datamill.operators.skew import every_slice, hot_keys, lookup, slice_of
 from datamill.session import cut
@@ -69,7 +71,7 @@ def _small_star(edges: DataFrame, n_edges: int) -> DataFrame:
     return moved.unionByName(own).distinct()
 
 
-def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int = 100) -> DataFrame:
+def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """Component of each vertex (id, component), named by its lowest vertex id.
 
     Alternating large-star and small-star steps: a logarithmic number of rounds, edges only
@@ -79,7 +81,7 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
     stars = edges.select(F.greatest("src", "dst").alias("high"), F.least("src", "dst").alias("low"))
     stars = cut(stars.filter("high <> low").distinct())
     seen = _signature(stars)
-    for _ in range(max_rounds):
+    while True:
         wide = cut(_large_star(stars, seen[0]))
         stars = cut(_small_star(wide, seen[0]))
         now = _signature(stars)
@@ -88,7 +90,6 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
             joined = vertices.select("id").join(roots, "id", "left")
             return joined.select("id", F.coalesce("root", "id").alias("component"))
         seen = now
-    raise RuntimeError(f"components still change after {max_rounds} rounds")
 
 
 def component_sizes(components: DataFrame) -> DataFrame:
@@ -114,23 +115,25 @@ def degrees(edges: DataFrame) -> DataFrame:
 
 
 def top_degree_names(degree: DataFrame, vertices: DataFrame, n: int) -> DataFrame:
-    """The `n` vertices of highest degree with their names. Degrees are ranked first, so
-    the names are joined to `n` rows only."""
-    named = degree.join(vertices, "id").select("id", "name", "degree")
+    """The `n` vertices of highest degree with their names. The n-th degree is found first;
+    only vertices of at least that degree meet their names."""
+    degree = cut(degree)
+    least = degree.orderBy(F.desc("degree")).limit(n).agg(F.min("degree")).first()[0]
+    high = degree.filter(F.col("degree") >= F.lit(least or 0))
+    named = high.join(vertices, "id").select("id", "name", "degree")
     return named.orderBy(F.desc("degree"), "name").limit(n)
 
 
-def chi_square(both: Column, second: Column, first: Column, total: Column) -> Column:
-    """Yates-corrected chi-square of the 2×2 table of two topics; NULL when a margin is 0.
+def chi_square(both: Column, first: Column, second: Column, total: Column) -> Column:
+    """Chi-square with continuity correction for two topics; NULL when a margin is 0.
 
-    `both` counts records with both topics, `second` and `first` those with each one.
+    `both` counts records with both topics, `first` and `second` those with each one. The
+    determinant of their 2×2 table is total · both − first · second.
     """
-    yy, yb, ya, t = (value.cast("double") for value in (both, second, first, total))
-    nb, na = t - yb, t - ya
-    yn, ny = ya - yy, yb - yy
-    nn = t - ny - yn - yy
-    inner = F.abs(yy * nn - yn * ny) - t / 2
-    return t * inner * inner / F.nullif(ya * na * yb * nb, F.lit(0.0))
+    both, first, second, total = (value.cast("double") for value in (both, first, second, total))
+    distance = F.abs(total * both - first * second) - total / 2
+    spread = first * (total - first) * second * (total - second)
+    return total * distance * distance / F.nullif(spread, F.lit(0.0))
 
 
 def chi_square_edges(edges: DataFrame, counts: DataFrame, num_records: int) -> DataFrame:
@@ -156,7 +159,7 @@ def simple_edges(edges: DataFrame) -> DataFrame:
     )
 
 
-def triangle_counts(vertices: DataFrame, edges: DataFrame) -> DataFrame:
+def triangle_counts(vertices: DataFrame, edges: DataFrame, cell_items: int = CELL_ITEMS) -> DataFrame:
     """Triangles through each vertex (id, triangles), 0 where there are none.
 
     Every edge points from the end of lower degree to the one of higher degree. A vertex
@@ -176,10 +179,9 @@ def triangle_counts(vertices: DataFrame, edges: DataFrame) -> DataFrame:
             F.when(forward, F.col("dst")).otherwise(F.col("src")).alias("b"),
         )
     )
-    wedges = (
-        pointed.select("a", F.col("b").alias("low"))
-        .join(pointed.select("a", F.col("b").alias("high")), "a")
-        .filter("low < high")
+    # A vertex of many outgoing edges is dealt into cells, so its pairs have many tasks.
+    wedges = record_pairs(pointed, "a", "b", cell_items).select(
+        F.col("record").alias("a"), F.col("first").alias("low"), F.col("second").alias("high")
     )
     # Each edge is one row of the hash table, spread evenly by both ends; the many wedges
     # then stream past it unsorted.
@@ -203,9 +205,34 @@ def average_clustering(vertices: DataFrame, edges: DataFrame) -> DataFrame:
 # --- path lengths ---------------------------------------------------------------------------
 
 
-def sample_path_lengths(edges: DataFrame, sources: DataFrame, max_hops: int = 1000) -> DataFrame:
+# So many hops of a search are united in one plan before they are written out.
+HOPS_PER_WRITE = 16
+
+
+def sample_path_lengths(edges: DataFrame, sources: DataFrame) -> DataFrame:
     """Hops between each source vertex (id) and every vertex it reaches, as unordered pairs
-    (src, dst, hops), each source with itself at 0.
+    (src, dst, hops), each source with itself at 0."""
+    return _path_pairs(*reached_sets(edges, sources))
+
+
+def path_length_counts(edges: DataFrame, sources: DataFrame) -> DataFrame:
+    """Number of such pairs per length (hops, n), counted from the bit sets.
+
+    A pair of two sources is reached from both ends at the same hop, so half of those count;
+    at hop 0 each source meets itself once.
+    """
+    reached, numbers = reached_sets(edges, sources)
+    size = F.sum(F.bit_count("bits"))
+    every = reached.groupBy("hops").agg(size.alias("n"))
+    among = reached.join(numbers.select(F.col("id").alias("at")), "at", "left_semi")
+    twice = among.filter("hops > 0").groupBy("hops").agg(size.alias("twice"))
+    once = F.col("n") - F.coalesce("twice", F.lit(0)) / 2
+    return every.join(twice, "hops", "left").select("hops", once.cast("bigint").alias("n"))
+
+
+def reached_sets(edges: DataFrame, sources: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Which sources reach each vertex at which hop (at, word, bits, hops), and the numbers
+    of the sources (id, no).
 
     Breadth first, one checkpointed job per hop. Sources are numbered, and the ones that
     reach a vertex travel as 64-bit sets, one row per vertex and 64 sources, so an edge
@@ -230,7 +257,7 @@ def sample_path_lengths(edges: DataFrame, sources: DataFrame, max_hops: int = 10
     )
     before = front.limit(0)
     reached = front.withColumn("hops", F.lit(0))
-    for hops in range(1, max_hops + 1):
+    for hops in itertools.count(1):
         step = front.withColumn("_slice", every_slice(is_hot) if hot else F.lit(0))
         found = step.join(both, ["at", "_slice"]).groupBy(F.col("next").alias("at"), "word")
         known = front.unionByName(before).groupBy("at", "word").agg(F.bit_or("bits").alias("known"))
@@ -238,10 +265,11 @@ def sample_path_lengths(edges: DataFrame, sources: DataFrame, max_hops: int = 10
         new = found.agg(F.bit_or("bits").alias("bits")).join(known, ["at", "word"], "left")
         new = cut(new.select("at", "word", fresh.alias("bits")).filter("bits <> 0"))
         if new.isEmpty():
-            return _path_pairs(reached, numbers)
+            return reached, numbers
         reached = reached.unionByName(new.withColumn("hops", F.lit(hops)))
+        if hops % HOPS_PER_WRITE == 0:
+            reached = cut(reached)
         before, front = front, new
-    raise RuntimeError(f"paths are longer than {max_hops} hops")
 
 
 def _path_pairs(reached: DataFrame, numbers: DataFrame) -> DataFrame:
@@ -256,6 +284,6 @@ def _path_pairs(reached: DataFrame, numbers: DataFrame) -> DataFrame:
     )
     is_set = F.call_function("shiftright", F.col("bits"), F.col("bit")).bitwiseAND(F.lit(1)) == 1
     rows = opened.filter(is_set).withColumn("no", F.col("word") * 64 + F.col("bit"))
-    named = rows.join(numbers.withColumnRenamed("id", "source"), "no")
+    named = lookup(rows, numbers.withColumnRenamed("id", "source"), "no", how="inner", spread=["at"])
     once = named.filter("is_source is null or source <= at")
     return once.select(F.least("source", "at").alias("src"), F.greatest("source", "at").alias("dst"), "hops")

@@ -110,7 +110,8 @@ def negative_samples(positives: DataFrame, items: DataFrame) -> DataFrame:
     needs = cut(needs.select("user", "need", F.lit(0).cast("bigint").alias("start"), enough.alias("stop")))
 
     def accepted(part: DataFrame) -> DataFrame:
-        drawn = lookup(_draws(part, num_items), numbers, "item_no", how="inner", spread=["user", "draw"])
+        # Item numbers are drawn by hash, so no number is hot.
+        drawn = _draws(part, num_items).join(numbers, "item_no")
         return drawn.join(own, ["user", "item"], "left_anti")
 
     kept = cut(accepted(needs))

@@ -61,8 +61,22 @@ def doc_frequency(frequencies: DataFrame) -> DataFrame:
 
 
 def vocabulary(doc_frequencies: DataFrame, num_terms: int) -> DataFrame:
-    """The `num_terms` terms found in most documents, ties in term order."""
-    return doc_frequencies.orderBy(F.desc("df"), "term").limit(num_terms)
+    """The `num_terms` terms found in most documents, ties in term order.
+
+    The frequency of the last one is found from the number of terms per frequency, so only
+    terms that tie with it are ordered.
+    """
+    sizes = doc_frequencies.groupBy("df").agg(F.count(F.lit(1)).alias("n"))
+    above = F.sum("n").over(Window.orderBy(F.desc("df")).rowsBetween(Window.unboundedPreceding, -1))
+    sizes = sizes.withColumn("above", F.coalesce(above, F.lit(0))).filter(F.col("above") < num_terms)
+    last = sizes.orderBy("df").first()
+    if last is None:
+        return doc_frequencies
+    more = doc_frequencies.filter(F.col("df") > last.df)
+    ties = doc_frequencies.filter(F.col("df") == last.df)
+    if last.above + last.n > num_terms:
+        ties = ties.orderBy("term").limit(num_terms - last.above)
+    return more.unionByName(ties)
 
 
 def term_ids(vocab: DataFrame) -> DataFrame:
@@ -102,7 +116,8 @@ def doc_vectors(terms: DataFrame, vocab: list[str], idf: list[float]) -> DataFra
 
 
 def latent_concepts(
-    terms: DataFrame, num_terms: int = 50_000, k: int = 100, num_concepts: int | None = None
+    terms: DataFrame, num_terms: int = 50_000, k: int = 100, num_concepts: int | None = None,
+    place_docs: bool = True,
 ) -> Concepts:
     """Truncated singular value decomposition of the document-term weights.
 
@@ -143,12 +158,14 @@ def latent_concepts(
         ),
         "term string, concept bigint, weight double",
     )
+    if not place_docs:
+        return Concepts(singular, term_weights, None)
     scaled = loadings[:, :num_concepts] / values[:num_concepts]
     projection = spark.createDataFrame(
-        pd.DataFrame({"term": table.term, "row": list(scaled)}), "term string, row array<double>"
+        pd.DataFrame({"term": table.term, "row": scaled.tolist()}), "term string, row array<double>"
     )
     weights = tf_idf(frequencies, idf)
-    placed = lookup(weights.select("doc", "term", "weight"), projection, "term", how="inner", spread=["doc"])
+    placed = lookup(weights.select("doc", "term", "weight"), projection, "term", how="inner", spread=["doc"], probe=frequencies)
     sums = [F.sum(F.col("weight") * F.col("row")[c]).alias(f"c{c}") for c in range(num_concepts)]
     wide = placed.groupBy("doc").agg(*sums)
     packed = F.array(*[

@@ -197,14 +197,14 @@ def kmeans_centers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("kmeans_k_scan")
 def kmeans_k_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clu.distance_scan(vector_features(spark, sf_dir), [5, 10, 15])
+    return clu.distance_scan(vector_features(spark, sf_dir))
 
 
 @query("kmeans_entropy_scan")
 def kmeans_entropy_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Entropy of clusters over the scaled one-hot records."""
     records = one_hot(spark, sf_dir).select("features", F.col("o_orderstatus").alias("label"))
-    return clu.entropy_scan(clu.standardise(records), [10, 20])
+    return clu.entropy_scan(clu.standardise(records))
 
 
 @query("cluster_sample_export")

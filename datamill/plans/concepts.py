@@ -11,8 +11,7 @@ from datamill.plans.registry import query
 from datamill.plans.standins import table
 from datamill.session import cut, use_all_cores
 
-NUM_TERMS = 50_000
-LSA_TERMS, LSA_CONCEPTS = 500, 5
+NUM_TERMS, NUM_CONCEPTS = 50_000, 100
 
 
 @query(
@@ -76,7 +75,8 @@ TERMS_SQL = rf"""
     terms as materialized (
         select doc, terms, len(terms) as doc_total
         from (select doc_id as doc,
-                     list_filter(string_split_regex(lower(text), '[^\p{{L}}\p{{N}}]+'),
+                     list_filter(regexp_extract_all(replace(lower(text), '’', chr(39)),
+                                                    '[\p{{L}}\p{{N}}]+(?:''[\p{{L}}\p{{N}}]+)*'),
                                  lambda t: length(t) > 2 and regexp_full_match(t, '\p{{L}}+')
                                            and t not in ({STOP_SQL})) as terms
               from documents)
@@ -155,8 +155,8 @@ def tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weights.select("doc", "term", F.round("weight", 6).alias("weight"))
 
 
-def concepts(spark: SparkSession, sf_dir: str) -> ops.Concepts:
-    return ops.latent_concepts(kept(spark, sf_dir), LSA_TERMS, LSA_CONCEPTS)
+def concepts(spark: SparkSession, sf_dir: str, place_docs: bool = False) -> ops.Concepts:
+    return ops.latent_concepts(kept(spark, sf_dir), NUM_TERMS, NUM_CONCEPTS, place_docs=place_docs)
 
 
 @query("lsa_singular_values")
@@ -171,4 +171,4 @@ def lsa_top_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("lsa_top_docs")
 def lsa_top_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.top_docs(concepts(spark, sf_dir), 10)
+    return ops.top_docs(concepts(spark, sf_dir, place_docs=True), 10)

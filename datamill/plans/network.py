@@ -40,14 +40,17 @@ CHI_SQL = f"""
     {GRAPH_SQL},
     counts as (select {sql_topic_id('topic')} as id, count(*)::double as n from rows group by 1),
     margins as (
-        select e.src, e.dst, e.cnt::double as yy, b.n as yb, a.n as ya,
+        select e.src, e.dst, e.cnt::double as seen, f.n as f, s.n as s,
                (select count(*) from orders)::double as t
-        from edges e join counts a on e.dst = a.id join counts b on e.src = b.id),
-    chi as materialized (
-        select src, dst,
-               t * pow(abs(yy * (t - (yb - yy) - (ya - yy) - yy) - (ya - yy) * (yb - yy)) - t / 2, 2)
-                 / nullif(ya * (t - ya) * yb * (t - yb), 0) as chi2
+        from edges e join counts f on e.src = f.id join counts s on e.dst = s.id),
+    cells as (
+        select src, dst, unnest([seen, f - seen, s - seen, t - f - s + seen]) as observed,
+               unnest([f * s, f * (t - s), (t - f) * s, (t - f) * (t - s)]) / t as expected
         from margins),
+    chi as materialized (
+        select src, dst, case when min(expected) > 0
+            then sum(pow(abs(observed - expected) - 0.5, 2) / nullif(expected, 0)) end as chi2
+        from cells group by src, dst),
     strong as materialized (select src, dst, chi2 from chi where chi2 > {CHI_SQUARE_LIMIT})
 """
 
@@ -304,6 +307,11 @@ def paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return net.sample_path_lengths(strong_edges(spark, sf_dir), sources)
 
 
+def path_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sources = topic_hash_ids(spark, sf_dir).filter(in_bucket(F.col("id"), "paths", SAMPLE_PARTS))
+    return net.path_length_counts(strong_edges(spark, sf_dir), sources)
+
+
 @query("sampled_paths", f"{PATHS_SQL} select src, dst, hops from paths")
 def sampled_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paths(spark, sf_dir)
@@ -316,9 +324,17 @@ def sampled_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     from paths where hops > 0""",
 )
 def path_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(profile.column_stats(paths(spark, sf_dir).filter("hops > 0"), "hops"))
+    counts = path_counts(spark, sf_dir).filter("hops > 0")
+    mean = F.sum(F.col("hops") * F.col("n")) / F.sum("n")
+    square = F.sum(F.col("hops") * F.col("hops") * F.col("n")) / F.sum("n")
+    stats = counts.agg(
+        F.lit("hops").alias("dim"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"), mean.alias("mean"),
+        F.sqrt(square - mean * mean).alias("stdev"),
+        F.min("hops").cast("double").alias("min"), F.max("hops").cast("double").alias("max"),
+    )
+    return rounded(stats)
 
 
 @query("path_length_histogram", f"{PATHS_SQL} select hops, count(*) as n from paths group by hops")
 def path_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.value_counts(paths(spark, sf_dir), "hops")
+    return path_counts(spark, sf_dir)

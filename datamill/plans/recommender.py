@@ -69,7 +69,7 @@ HEAVIEST_SQL = 'select "user" from r group by "user" order by sum(rating) desc,
 )
 def user_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Items of the heaviest user."""
-    rows = ratings(spark, sf_dir)
+    rows = cut(ratings(spark, sf_dir))
     return rec.user_history(rows, rec.heaviest_users(rows, 1))
 
 
@@ -181,7 +181,7 @@ def als_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("als_recommend_user")
 def als_recommend_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five items for the heaviest user with their names, beside the names of its history."""
-    rows = ratings(spark, sf_dir)
+    rows = cut(ratings(spark, sf_dir))
     users = rec.heaviest_users(rows, 1)
     picks = rec.recommend(rec.train_factors(rows), users, 5)
     known = names(spark, sf_dir)
@@ -193,7 +193,7 @@ def als_recommend_user(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("als_recommend_many")
 def als_recommend_many(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five items as one line for each of the 100 heaviest users."""
-    rows = ratings(spark, sf_dir)
+    rows = cut(ratings(spark, sf_dir))
     model = rec.train_factors(rows)
     return rec.recommendation_lines(rec.recommend(model, rec.heaviest_users(rows, 100), 5))
 
@@ -201,5 +201,4 @@ def als_recommend_many(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("als_grid")
 def als_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, held_out, items = splits(spark, sf_dir)
-    settings = [rec.Setting(5, 1.0, 1.0), rec.Setting(5, 1.0, 40.0)]
-    return rec.factor_grid(train, held_out, items, settings, iterations=3)
+    return rec.factor_grid(train, held_out, items)

@@ -155,8 +155,7 @@ def tree_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("tree_grid")
 def tree_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, validation, _ = vector_parts(spark, sf_dir)
-    settings = [trees.TreeSetting("gini", 1, 10), trees.TreeSetting("entropy", 5, 32)]
-    return trees.tree_grid(train, validation, settings)
+    return trees.tree_grid(train, validation)
 
 
 @query("tree_grid_categorical")
@@ -164,15 +163,14 @@ def tree_grid_categorical(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines with the line status as a category."""
     train, validation, _ = parts(spark, sf_dir)
     stages = trees.categorical_features(["l_linestatus"], NUMERIC).fit(train)
-    settings = [trees.TreeSetting("gini", 5, 40), trees.TreeSetting("entropy", 5, 40)]
     return trees.tree_grid(
         stages.transform(train).select("features", "label"),
         stages.transform(validation).select("features", "label"),
-        settings,
+        trees.FULL_CATEGORY_GRID,
     )
 
 
-FOREST = trees.TreeSetting("entropy", 10, 100)
+FOREST = trees.TreeSetting("entropy", 30, 300)
 
 
 @query("forest_predictions")

@@ -91,3 +91,15 @@ def test_sample_lines(spark, blobs):
     model = clu.train_kmeans(blobs, 3)
     lines = clu.sample_lines(blobs, model, 0.5).collect()
     assert 20 < len(lines) < 100 and all(len(r.value.split(",")) == 3 for r in lines)
+
+
+def test_scaling_keeps_digits_far_from_zero(spark):
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+
+    values = [1e9, 1e9 + 1, 1e9 + 5]
+    rows = spark.createDataFrame([([v],) for v in values], "v array<double>")
+    rows = rows.select(array_to_vector("v").alias("features"))
+    got = [r[0] for r in clu.standardise(rows).select(vector_to_array("features")[0].alias("x")).orderBy("x").collect()]
+    mean = sum(v - 1e9 for v in values) / 3
+    spread = (sum((v - 1e9 - mean) ** 2 for v in values) / 3) ** 0.5
+    assert all(abs(g - (v - 1e9 - mean) / spread) < 1e-7 for g, v in zip(got, values))

@@ -111,7 +111,25 @@ def test_chi_square_by_hand_and_zero_margin(spark):
     _, frame = graph(spark, 3, [(0, 1), (1, 2)])
     counts = spark.createDataFrame([(0, 4), (1, 5), (2, 20)], "id bigint, n bigint")
     rows = {(r.src, r.dst): r.chi2 for r in net.chi_square_edges(frame, counts, 20).collect()}
-    yy, ya, yb, t = 1, 4, 5, 20
-    inner = abs(yy * (t - (yb - yy) - (ya - yy) - yy) - (ya - yy) * (yb - yy)) - t / 2
-    assert abs(rows[(0, 1)] - t * inner**2 / (ya * (t - ya) * yb * (t - yb))) < 1e-12
+    # Cells of the table of 20 records: both, only one, only the other, neither.
+    observed, expected = [1, 3, 4, 12], [1.0, 3.0, 4.0, 12.0]
+    by_cells = sum((abs(o - e) - 0.5) ** 2 / e for o, e in zip(observed, expected))
+    assert abs(rows[(0, 1)] - by_cells) < 1e-12
     assert rows[(1, 2)] is None
+
+
+def test_triangles_of_a_clique_in_cells(spark):
+    edges = [(i, j) for i in range(24) for j in range(i + 1, 24)]
+    vertices, frame = graph(spark, 24, edges)
+    got = {r.id: r.triangles for r in net.triangle_counts(vertices, frame, cell_items=4).collect()}
+    assert got == {i: 23 * 22 // 2 for i in range(24)}
+
+
+def test_counts_along_a_chain_equal_the_paths(spark):
+    edges = [(i, i + 1) for i in range(39)]
+    vertices, frame = graph(spark, 40, edges)
+    sources = vertices.filter("id in (0, 7, 39)")
+    paths = net.sample_path_lengths(frame, sources).groupBy("hops").count()
+    counts = net.path_length_counts(frame, sources)
+    assert {tuple(r) for r in counts.collect()} == {tuple(r) for r in paths.collect()}
+    assert counts.agg({"hops": "max"}).first()[0] == 39
