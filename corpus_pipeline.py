@@ -30,23 +30,23 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """
     # A row without an id is named by its text, above all ids.
     by_text = F.lit(1 << 62) + F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(1 << 62))
-    named = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("bigint"), by_text))
-    groups = near_duplicates(named, k=5, percent=80, id_column="_id")
-    kept = groups.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_id")).distinct()
-    first = Window.partitionBy("_id").orderBy(F.col("text").asc_nulls_last())
-    rows = named.join(kept, "_id", "left_semi").withColumn("_nth", F.row_number().over(first))
-    return rows.filter("_nth = 1").select(*docs.columns)
+    named = docs.withColumn("__id", F.coalesce(F.col("doc_id").cast("bigint"), by_text))
+    groups = near_duplicates(named, k=5, percent=80, id_column="__id")
+    kept = groups.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("__id")).distinct()
+    first = Window.partitionBy("__id").orderBy(F.col("text").asc_nulls_last())
+    rows = named.join(kept, "__id", "left_semi").withColumn("__nth", F.row_number().over(first))
+    return rows.filter("__nth = 1").select(*docs.columns)
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with personal data replaced by its kind; n_chars follows the text."""
     found = personal_data(docs).filter(F.size("spans") > 0)
-    found = found.groupBy(F.col("doc_id").alias("_id"), F.col("print").alias("_print")).agg(F.first("spans").alias("_spans"))
-    mine = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_print"))
+    found = found.groupBy(F.col("doc_id").alias("__id"), F.col("print").alias("__print")).agg(F.first("spans").alias("__spans"))
+    mine = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("__print"))
     joined = docs.join(found, mine, "left")
-    text = F.when(F.col("_spans").isNotNull(), redacted(F.col("text"), F.col("_spans"))).otherwise(F.col("text"))
+    text = F.when(F.col("__spans").isNotNull(), redacted(F.col("text"), F.col("__spans"))).otherwise(F.col("text"))
     rows = joined.withColumn("text", text)
-    n_chars = F.when(F.col("_spans").isNotNull(), F.length("text")).otherwise(F.col("n_chars"))
+    n_chars = F.when(F.col("__spans").isNotNull(), F.length("text")).otherwise(F.col("n_chars"))
     return rows.withColumn("n_chars", n_chars.cast("bigint")).select(*docs.columns)
 
 

@@ -99,16 +99,16 @@ def copies(documents: DataFrame, mixed: DataFrame) -> DataFrame:
 
     `mixed` is joined by doc_id and size, so both must come from the same rows.
     """
-    docs = documents.withColumn("_size", word_count(F.col("text")))
-    plan = mixed.filter("taken > 0").groupBy(F.col("doc_id").alias("_id"), F.col("size").alias("_words"))
-    plan = plan.agg(F.max("taken").alias("_taken"))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_size") == F.col("_words"))
+    docs = documents.withColumn("__size", word_count(F.col("text")))
+    plan = mixed.filter("taken > 0").groupBy(F.col("doc_id").alias("__id"), F.col("size").alias("__words"))
+    plan = plan.agg(F.max("taken").alias("__taken"))
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__size") == F.col("__words"))
     rows = docs.join(plan, same).withColumn(
-        "_epoch", F.explode(F.sequence(F.lit(1), F.ceil(F.col("_taken") / F.col("_size")).cast("int")))
+        "__epoch", F.explode(F.sequence(F.lit(1), F.ceil(F.col("__taken") / F.col("__size")).cast("int")))
     )
-    words = F.least(F.col("_size"), F.col("_taken") - (F.col("_epoch") - 1) * F.col("_size"))
+    words = F.least(F.col("__size"), F.col("__taken") - (F.col("__epoch") - 1) * F.col("__size"))
     first = F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.lit(1), words.cast("int"))
-    rows = rows.withColumn("text", F.when(words < F.col("_size"), F.array_join(first, " ")).otherwise(F.col("text")))
+    rows = rows.withColumn("text", F.when(words < F.col("__size"), F.array_join(first, " ")).otherwise(F.col("text")))
     if "n_chars" in documents.columns:
         rows = rows.withColumn("n_chars", F.length("text").cast(documents.schema["n_chars"].dataType))
     return rows.select(*documents.columns)

@@ -170,7 +170,8 @@ class Index:
             else:
                 none += self.stands[i]
                 none_toxic += self.stands[i] * y
-        self.unknown = (none_toxic + self.prior) / (none + 1)
+        # A few examples without any term are no ground to reject what has none.
+        self.unknown = none_toxic / (none + LEAST_EXAMPLES)
         if not votes:
             return
         order = np.argsort(votes, kind="stable")
@@ -290,7 +291,7 @@ def toxicity_scores(documents: DataFrame, labels: DataFrame, threshold: float =
     frequencies cover all documents; `settings` are those of `train`.
 
     A null or empty text, or one without any vocabulary term, gets the toxic share among
-    examples like it. Without any usable label every score is 0. Null labels and ids are no
+    examples like it, held low where those are few. Without any usable label every score is 0. Null labels and ids are no
     examples; a document with both labels counts as two; rows that repeat are each scored.
     An empty table gives no rows. Other columns are ignored.
     """
