@@ -126,14 +126,13 @@ def _extra(n):
 
 
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per prefix shingle of a group."""
+    """One row per prefix shingle of a group, with the group's other columns."""
     for batch in batches:
         prefix = [np.frombuffer(p, np.int64) for p in batch["prefix"].to_pylist()]
-        place = np.repeat(np.arange(len(prefix)), [len(p) for p in prefix])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate(prefix) if prefix else np.empty(0, np.int64)), *(batch[c].take(pa.array(place)) for c in ("rep", "n"))],
-            names=["token", "rep", "n"],
-        )
+        place = pa.array(np.repeat(np.arange(len(prefix)), [len(p) for p in prefix]))
+        rest = [c for c in batch.schema.names if c != "prefix"]
+        token = pa.array(np.concatenate(prefix) if prefix else np.empty(0, np.int64))
+        yield pa.RecordBatch.from_arrays([token, *(batch[c].take(place) for c in rest)], names=["token", *rest])
 
 
 def _set_rows(k: int):
@@ -180,6 +179,26 @@ def _fits(n: Column, m: Column, percent: int) -> Column:
     return F.lit(100) * F.least(n, m) >= F.lit(percent) * F.greatest(n, m)
 
 
+def _near_enough(percent: int) -> Column:
+    """An exact bound on sets a and b: a bit that differs between their parity maps stands
+    for a shingle that only one of them has."""
+    apart = F.bit_count(F.col("map_a_a").bitwiseXOR(F.col("map_a_b"))) + F.bit_count(
+        F.col("map_b_a").bitwiseXOR(F.col("map_b_b"))
+    )
+    both = F.col("n_a") + F.col("n_b")
+    return F.lit(100) * (both - apart) >= F.lit(percent) * (both + apart)
+
+
+def _plausible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Those pairs (a, b) of ids that sizes and parity maps leave possible."""
+    known = classes.select("id", "n", "map_a", "map_b")
+    for side in "ab":
+        own = [F.col("id").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ("n", "map_a", "map_b")]]
+        pairs = pairs.join(known.select(*own), side)
+    fits = _fits(F.col("n_a"), F.col("n_b"), percent) & _near_enough(percent)
+    return pairs.filter(fits).select("a", "b").distinct()
+
+
 def near_duplicates(
     documents: DataFrame, k: int = 5, percent: int = 80, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
@@ -223,28 +242,38 @@ def near_duplicates(
     least = tokens.groupBy("token").agg(F.min(F.struct("rep", "n")).alias("least"), F.count(F.lit(1)).alias("m"))
     least = least.filter("m > 1").select("token", F.col("least.rep").alias("pivot"), F.col("least.n").alias("pivot_n"))
     near = tokens.join(least, "token").filter(F.col("pivot") < F.col("rep")).filter(_fits(F.col("n"), F.col("pivot_n"), percent))
-    near = near.groupBy("rep", "pivot").agg(F.count(F.lit(1)).alias("shared"))
+    least_n = F.first(F.least("n", "pivot_n")).alias("least")
+    near = near.groupBy("rep", "pivot").agg(F.count(F.lit(1)).alias("shared"), least_n)
+    near = near.filter(F.col("shared") >= _extra(F.col("least")))
     near = near.groupBy("rep").agg(F.max_by("pivot", F.struct("shared", -F.col("pivot"))).alias("pivot"))
     group_of = classes.select("id", "group_a", "group_b").join(groups.select("group_a", "group_b", "rep"), ["group_a", "group_b"])
     pairs = near.select(F.col("pivot").alias("a"), F.col("rep").alias("b")).union(
         group_of.filter("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
     )
-    links = _verified(docs, written(pairs.distinct()), k, percent)
+    pairs = _plausible(pairs.distinct(), classes, percent)
+    links = _verified(docs, written(pairs), k, percent)
     vertices = classes.select("id").distinct()
     joined = written(_components(vertices, links))
 
     # Every other pair of groups that share a shingle and lie in different components.
     cells = classes.join(joined, "id").join(groups.select("group_a", "group_b", "rep"), ["group_a", "group_b"])
     cells = written(cells.select("id", "rep", "component", "n", "map_a", "map_b"))
-    spread = cells.groupBy("rep", "component").agg(F.first("n").alias("n"))
-    placed = tokens.select("token", "rep").join(spread, "rep")
+    spread = cells.groupBy("rep", "component").agg(
+        F.first("n").alias("n"), F.first("map_a").alias("map_a"), F.first("map_b").alias("map_b"),
+        (F.count(F.lit(1)) == 1).alias("single"),
+    )
+    placed = spread.join(groups.select("rep", "prefix"), "rep").select(*spread.columns, "prefix")
+    placed = written(placed.mapInArrow(_tokens, "token long, rep long, component long, n long, map_a long, map_b long, single boolean"))
     mixed = placed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    placed = written(placed.join(mixed.filter("low < high").select("token"), "token"))
-    left = placed.select("token", *[F.col(c).alias(f"{c}_a") for c in ("rep", "component", "n")])
-    right = placed.select("token", *[F.col(c).alias(f"{c}_b") for c in ("rep", "component", "n")])
+    mixed = mixed.filter("low < high").select("token")
+    placed = placed.join(mixed, "token")
+    left = placed.select("token", *[F.col(c).alias(f"{c}_a") for c in spread.columns])
+    right = placed.select("token", *[F.col(c).alias(f"{c}_b") for c in spread.columns])
+    # Two groups of one member each are held against the members' bound at once.
+    hopeful = ~F.col("single_a") | ~F.col("single_b") | _near_enough(percent)
     group_pairs = (
         left.join(right, "token")
-        .filter((F.col("component_a") < F.col("component_b")) & _fits(F.col("n_a"), F.col("n_b"), percent))
+        .filter((F.col("component_a") < F.col("component_b")) & _fits(F.col("n_a"), F.col("n_b"), percent) & hopeful)
         .groupBy("rep_a", "component_a", "rep_b", "component_b")
         .agg(F.count(F.lit(1)).alias("shared"), F.first(F.least("n_a", "n_b")).alias("least"))
         .filter(F.col("shared") >= _extra(F.col("least")))
@@ -252,15 +281,10 @@ def near_duplicates(
     )
     one = cells.select(*[F.col(c).alias(f"{c}_a") for c in cells.columns])
     two = cells.select(*[F.col(c).alias(f"{c}_b") for c in cells.columns])
-    # A bit that differs between the maps stands for a shingle that only one set has.
-    apart = F.bit_count(F.col("map_a_a").bitwiseXOR(F.col("map_a_b"))) + F.bit_count(
-        F.col("map_b_a").bitwiseXOR(F.col("map_b_b"))
-    )
-    both = F.col("n_a") + F.col("n_b")
     members = (
         group_pairs.join(one, ["rep_a", "component_a"])
         .join(two, ["rep_b", "component_b"])
-        .filter(F.lit(100) * (both - apart) >= F.lit(percent) * (both + apart))
+        .filter(_near_enough(percent))
         .select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
     )
     more = written(members.distinct())
