@@ -309,16 +309,23 @@ def without_toxic(documents: DataFrame, labels: DataFrame, threshold: float = 0.
     vector, index = _vectors(model.vocabulary), model.index
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = pa.RecordBatch.from_arrays(
-                [batch["text"], pa.nulls(len(batch), pa.int64()), pa.nulls(len(batch), pa.bool_())],
-                names=["text", "doc_id", "held_out"],
-            )
-            found = next(vector(iter([texts])))
-            scores = [
-                index.score(np.frombuffer(t, np.int32), np.frombuffer(n, np.int32))[0]
-                for t, n in zip(found["terms"].to_pylist(), found["times"].to_pylist())
-            ]
-            yield batch.filter(pa.array([s < threshold for s in scores], pa.bool_()))
+        waiting: list[pa.RecordBatch] = []
+        known: dict[tuple[bytes, bytes], float] = {}
+
+        def texts() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                waiting.append(batch)
+                none = [pa.nulls(len(batch), pa.int64()), pa.nulls(len(batch), pa.bool_())]
+                yield pa.RecordBatch.from_arrays([batch["text"], *none], names=["text", "doc_id", "held_out"])
+
+        for found in vector(texts()):
+            scores = []
+            for key in zip(found["terms"].to_pylist(), found["times"].to_pylist()):
+                if key not in known:
+                    if len(known) > 50_000:
+                        known.clear()
+                    known[key] = index.score(np.frombuffer(key[0], np.int32), np.frombuffer(key[1], np.int32))[0]
+                scores.append(known[key])
+            yield waiting.pop().filter(pa.array([s < threshold for s in scores], pa.bool_()))
 
     return documents.mapInArrow(keep, documents.schema)
