@@ -7,13 +7,13 @@ from collections.abc import Callable, Sequence
 from typing import NamedTuple
 
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from datamill.functions.buckets import bucket
 from datamill.functions.numbers import score_block
 from datamill.operators.ranking import number_keys, running_total
-from datamill.operators.skew import SMALL_TABLE, hot_keys, lookup
+from datamill.operators.skew import hot_keys, lookup
 from datamill.session import cut, ensure_checkpoint_dir, persisted
 
 # Draws of one user are ranked in blocks of this many.
@@ -131,7 +131,7 @@ def negative_samples(positives: DataFrame, items: DataFrame) -> DataFrame:
     return ranked.filter("place <= need").select("user", "draw", "item")
 
 
-def user_auc(positives: DataFrame, negatives: DataFrame, small_table: int = SMALL_TABLE) -> DataFrame:
+def user_auc(positives: DataFrame, negatives: DataFrame, small_table: int | None = None) -> DataFrame:
     """Per user, the share of (positive, negative) pairs where the positive scores higher.
 
     Scores are first counted per (user, score); a positive then beats the running total of
@@ -173,7 +173,8 @@ def mean_auc(positives: DataFrame, items: DataFrame, predict: Predictor) -> Data
 
 # --- factor models ------------------------------------------------------------------------
 
-INT_MAX = 2**31 - 1
+# One block of the solver for so many ratings.
+BLOCK_RATINGS = 4_000_000
 
 
 class Setting(NamedTuple):
@@ -182,46 +183,84 @@ class Setting(NamedTuple):
     alpha: float
 
 
-def int_ids(ratings: DataFrame) -> DataFrame:
-    """User and item ids as the integers that the solver needs; a wider id fails the job."""
-    def checked(name: str) -> Column:
-        fits = F.col(name).between(-INT_MAX - 1, INT_MAX)
-        return F.when(fits, F.col(name)).otherwise(F.raise_error(F.lit(f"{name} is no 32-bit id"))).cast("int")
+class DenseRatings(NamedTuple):
+    """Summed ratings (user_no, item_no, rating) and the ids that the numbers stand for."""
 
-    return ratings.withColumns({"user": checked("user"), "item": checked("item")})
+    rows: DataFrame
+    users: DataFrame
+    items: DataFrame
 
 
-def train_factors(
-    ratings: DataFrame, rank: int = 10, iterations: int = 5, reg: float = 0.01, alpha: float = 1.0, seed: int = 7
-) -> ALSModel:
-    """Implicit-feedback factors of summed ratings, in as many blocks as there are cores."""
-    ensure_checkpoint_dir(ratings.sparkSession)
-    blocks = max(10, ratings.sparkSession.sparkContext.defaultParallelism)
+class Factors(NamedTuple):
+    """A model over user and item numbers and the ids that they stand for."""
+
+    model: ALSModel
+    users: DataFrame
+    items: DataFrame
+
+
+def dense_ratings(ratings: DataFrame) -> DenseRatings:
+    """Ratings with users and items numbered 0, 1, …, as the solver takes 32-bit numbers
+    only. Rows without a user or an item drop out."""
+    known = cut(sum_ratings(ratings.filter("user is not null and item is not null")))
+    users, items = (cut(number_keys(known, side, f"{side}_no")) for side in ("user", "item"))
+    rows = lookup(known, users, "user", "inner", spread=["item"])
+    rows = lookup(rows, items, "item", "inner", spread=["user"], probe=known)
+    return DenseRatings(rows.select("user_no", "item_no", "rating"), users, items)
+
+
+def fit_factors(
+    dense: DenseRatings, rank: int, iterations: int, reg: float, alpha: float, seed: int, blocks: int | None = None
+) -> Factors:
+    """Implicit-feedback factors in `blocks` blocks, by default by the number of ratings."""
+    ensure_checkpoint_dir(dense.rows.sparkSession)
+    if blocks is None:
+        blocks = max(10, -(-dense.rows.count() // BLOCK_RATINGS))
     als = ALS(
-        userCol="user", itemCol="item", ratingCol="rating", implicitPrefs=True, coldStartStrategy="drop",
+        userCol="user_no", itemCol="item_no", ratingCol="rating", implicitPrefs=True, coldStartStrategy="drop",
         rank=rank, maxIter=iterations, regParam=reg, alpha=alpha, seed=seed,
         numUserBlocks=blocks, numItemBlocks=blocks,
     )
-    return als.fit(int_ids(sum_ratings(ratings)))
+    return Factors(als.fit(dense.rows), dense.users, dense.items)
+
 
+def train_factors(
+    ratings: DataFrame, rank: int = 10, iterations: int = 5, reg: float = 0.01, alpha: float = 1.0, seed: int = 7,
+    blocks: int | None = None,
+) -> Factors:
+    """Implicit-feedback factors of summed ratings; ids may have any type and width."""
+    with persisted(*dense_ratings(ratings)) as kept:
+        return fit_factors(DenseRatings(*kept), rank, iterations, reg, alpha, seed, blocks)
+
+
+def factor_table(factors: Factors) -> DataFrame:
+    """Factors of both sides under their own ids: (id, features, side)."""
+    def named(vectors: DataFrame, numbers: DataFrame, side: str) -> DataFrame:
+        joined = vectors.withColumnRenamed("id", f"{side}_no").join(numbers, f"{side}_no")
+        return joined.select(F.col(side).alias("id"), "features", F.lit(side).alias("side"))
+
+    users = named(factors.model.userFactors, factors.users, "user")
+    return users.unionByName(named(factors.model.itemFactors, factors.items, "item"))
 
-def factor_scores(model: ALSModel) -> Predictor:
+
+def factor_scores(factors: Factors) -> Predictor:
     """A predictor over the model; pairs with an unknown user or item drop out."""
     def predict(pairs: DataFrame) -> DataFrame:
-        return model.transform(int_ids(pairs)).withColumn("score", F.col("prediction").cast("double")).drop("prediction")
+        known = pairs.join(factors.users, "user").join(factors.items, "item")
+        scored = factors.model.transform(known)
+        return scored.select(*pairs.columns, F.col("prediction").cast("double").alias("score"))
 
     return predict
 
 
-def recommend(model: ALSModel, users: DataFrame, n: int) -> DataFrame:
+def recommend(factors: Factors, users: DataFrame, n: int) -> DataFrame:
     """The `n` best items of each given user: (user, place, item, score)."""
-    chosen = model.recommendForUserSubset(int_ids_of(users), n)
-    rows = chosen.select("user", F.posexplode("recommendations").alias("place", "pick"))
-    return rows.select("user", (F.col("place") + 1).alias("place"), "pick.item", F.col("pick.rating").alias("score"))
-
-
-def int_ids_of(users: DataFrame) -> DataFrame:
-    return users.select(F.col("user").cast("int").alias("user"))
+    chosen = factors.users.join(users.select("user"), "user", "left_semi").select("user_no")
+    picks = factors.model.recommendForUserSubset(chosen, n)
+    rows = picks.select("user_no", F.posexplode("recommendations").alias("place", "pick"))
+    rows = rows.select("user_no", (F.col("place") + 1).alias("place"), "pick.item_no", F.col("pick.rating").alias("score"))
+    named = rows.join(factors.users, "user_no").join(factors.items, "item_no")
+    return named.select("user", "place", "item", "score")
 
 
 def recommendation_lines(picks: DataFrame) -> DataFrame:
@@ -242,11 +281,12 @@ def factor_grid(
     spark = train.sparkSession
     pairs = held_out.select("user", "item")
     results = []
-    with persisted(int_ids(sum_ratings(train)), pairs) as (ratings, positive):
+    dense = dense_ratings(train)
+    with persisted(dense.rows, pairs) as (rows, positive):
+        dense = dense._replace(rows=rows)
         negative = cut(negative_samples(positive, items).select("user", "item"))
         for setting in settings:
-            model = train_factors(ratings, setting.rank, iterations, setting.reg, setting.alpha, seed)
-            predict = factor_scores(model)
+            predict = factor_scores(fit_factors(dense, setting.rank, iterations, setting.reg, setting.alpha, seed))
             auc = user_auc(predict(positive), predict(negative)).agg(F.avg("auc")).first()[0]
             results.append(Row(**setting._asdict(), mean_auc=auc))
     schema = "rank int, reg double, alpha double, mean_auc double"

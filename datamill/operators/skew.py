@@ -15,19 +15,19 @@ SLICES = 256
 
 
 def hot_keys(
-    df: DataFrame, key: str, total: int | None = None, small_table: int = SMALL_TABLE
+    df: DataFrame, key: str, total: int | None = None, small_table: int | None = None
 ) -> list[Any]:
     """Keys that hold more than about 1/256 of the rows: some hundred values at most.
 
     Taken from a sample of about a million keys, where such a key shows up thousands of
     times. Callers use the keys to spread work, never to choose rows, so a key that the
-    sample judges wrongly costs time and not correctness. Small tables are not searched;
-    pass `total` when the number of rows is known.
+    sample judges wrongly costs time and not correctness. Tables of up to `small_table` rows
+    (SMALL_TABLE if not given) are not searched; pass `total` when the number is known.
     """
     keys = df.select(key)
     if total is None:
         total = keys.count()
-    if total <= small_table:
+    if total <= (SMALL_TABLE if small_table is None else small_table):
         return []
     sample = keys.sample(min(1.0, SAMPLE_ROWS / total), seed=1) if total > SAMPLE_ROWS else keys
     most = sample.groupBy(key).count().orderBy(F.desc("count")).limit(int(1 / HOT_SHARE))
@@ -52,7 +52,7 @@ def lookup(
     how: str = "left",
     spread: list[str] | None = None,
     total: int | None = None,
-    small_table: int = SMALL_TABLE,
+    small_table: int | None = None,
     probe: DataFrame | None = None,
 ) -> DataFrame:
     """Join `table`, which has one row per `key`, to `rows`.

@@ -167,9 +167,7 @@ def mean_auc_als(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("als_train_factors")
 def als_train_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = rec.train_factors(ratings(spark, sf_dir))
-    users = model.userFactors.withColumn("side", F.lit("user"))
-    return users.unionByName(model.itemFactors.withColumn("side", F.lit("item")))
+    return rec.factor_table(rec.train_factors(ratings(spark, sf_dir)))
 
 
 @query("als_predict")

@@ -81,7 +81,24 @@ def test_factor_grid_is_sorted(spark, taste):
     assert values == sorted(values, reverse=True) and all(0 <= v <= 1 for v in values)
 
 
-def test_wide_ids_fail(spark):
-    wide = spark.createDataFrame([(2**40, 1, 1.0)], "user bigint, item bigint, rating double")
-    with pytest.raises(Exception, match="32-bit"):
-        rec.int_ids(wide).collect()
+def test_wide_ids_work_like_narrow_ones(spark, taste):
+    def wide(name):
+        return (F.col(name) + F.lit(2**40)).alias(name)
+
+    model = rec.train_factors(taste.select(wide("user"), wide("item"), "rating"), rank=4, iterations=5)
+    users = spark.createDataFrame([(2**40,), (2**40 + 45,), (7,)], "user bigint")
+    picks = [(r.user - 2**40, r.item - 2**40) for r in rec.recommend(model, users, 3).collect()]
+    assert len(picks) == 6 and all((item < 20) == (user == 0) for user, item in picks)
+    assert {r.side: r.n for r in rec.factor_table(model).groupBy("side").agg(F.count(F.lit(1)).alias("n")).collect()} == {
+        "user": 60, "item": 40
+    }
+    pairs = taste.select(wide("user"), wide("item")).distinct()
+    scored = rec.factor_scores(model)(pairs.unionByName(users.select("user", F.lit(1).cast("bigint").alias("item"))))
+    assert scored.columns == ["user", "item", "score"] and scored.count() == pairs.count()
+
+
+def test_ratings_without_a_user_or_an_item_drop_out(spark, taste):
+    odd = spark.createDataFrame([(None, 1, 1.0), (1, None, 1.0)], taste.select("user", "item", "rating").schema)
+    dense = rec.dense_ratings(taste.unionByName(odd))
+    assert dense.users.count() == 60 and dense.items.count() == 40
+    assert dense.rows.count() == taste.select("user", "item").distinct().count()
