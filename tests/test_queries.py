@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pytest
 
+from datamill.operators import skew
 from datamill.plans import catalog
 from tools.check import database, differences
 
@@ -22,6 +23,17 @@ def test_same_rows_as_sql(spark, connection, name):
     assert problem is None or problem.startswith("OK"), problem
 
 
+SPLIT_JOINS = [
+    "alias_ratings", "chi_square_stats", "connected_components", "mean_auc_popularity", "path_length_histogram", "tfidf"
+]
+
+
+@pytest.mark.parametrize("name", SPLIT_JOINS)
+def test_same_rows_when_hot_keys_are_split(spark, connection, monkeypatch, name):
+    monkeypatch.setattr(skew, "SMALL_TABLE", 100)
+    test_same_rows_as_sql(spark, connection, name)
+
+
 @pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - set(catalog.ORACLES)))
 def test_trained_query_gives_rows(spark, name):
     assert catalog.QUERIES[name](spark, SF_DIR).count() > 0
