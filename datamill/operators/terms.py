@@ -6,7 +6,6 @@ from collections.abc import Iterable
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Interaction
 from pyspark.ml.linalg import Vectors
 from pyspark.mllib.linalg.distributed import RowMatrix
@@ -99,11 +98,12 @@ def tf_idf(frequencies: DataFrame, idf: DataFrame) -> DataFrame:
 
 class Concepts(NamedTuple):
     """Singular values, term weights (term, concept, weight) and document weights
-    (doc, concept, weight); concepts count from 0 by falling singular value."""
+    (doc, concept, weight), each where asked for; concepts count from 0 by falling
+    singular value."""
 
     singular_values: DataFrame
-    terms: DataFrame
-    docs: DataFrame
+    terms: DataFrame | None
+    docs: DataFrame | None
 
 
 def doc_vectors(terms: DataFrame, vocab: list[str], idf: list[float]) -> DataFrame:
@@ -115,15 +115,20 @@ def doc_vectors(terms: DataFrame, vocab: list[str], idf: list[float]) -> DataFra
     return weighted.transform(scaled.transform(counts.transform(rows))).select("doc", "vector")
 
 
+# A task of the decomposition takes about so many document-term entries in every pass.
+ENTRIES_PER_TASK = 2_000_000
+
+
 def latent_concepts(
     terms: DataFrame, num_terms: int = 50_000, k: int = 100, num_concepts: int | None = None,
-    place_docs: bool = True,
+    place_terms: bool = True, place_docs: bool = True,
 ) -> Concepts:
     """Truncated singular value decomposition of the document-term weights.
 
     Only the vocabulary and the k term vectors reach the driver; their size is set by the
     parameters. Document weights U = A·V/s come from the distributed rows. The terms are
-    written out once, since frequencies, weights and vectors all read them.
+    written out once, since frequencies, weights and vectors all read them. The solver passes
+    over the rows hundreds of times, so they are kept in as many parts as their entries fill.
     """
     spark = terms.sparkSession
     num_concepts = min(num_concepts or k, k)
@@ -132,44 +137,35 @@ def latent_concepts(
     vocab = term_ids(vocabulary(doc_frequency(frequencies), num_terms))
     idf = cut(inverse_doc_frequency(vocab, terms.count()))
     table = idf.select("term", "term_id", "idf").orderBy("term_id").toPandas()
+    parts = -(-frequencies.count() // ENTRIES_PER_TASK)
     vectors = MLUtils.convertVectorColumnsFromML(
         doc_vectors(terms, list(table.term), list(table.idf)), "vector"
     ).select("vector")
-    with persisted(vectors) as (rows,):
+    with persisted(vectors.coalesce(max(parts, 1))) as (rows,):
         svd = RowMatrix(rows).computeSVD(k, computeU=False)
         values, loadings = svd.s.toArray(), svd.V.toArray()
     # The sign of a singular pair is free: make the largest entry of each concept positive.
     largest = np.abs(loadings).argmax(axis=0)
     loadings = loadings * np.sign(loadings[largest, np.arange(loadings.shape[1])])
-    found = len(values)
-    num_concepts = min(num_concepts, found)
+    num_concepts = min(num_concepts, len(values))
 
-    singular = spark.createDataFrame(
-        pd.DataFrame({"concept": np.arange(found), "singular_value": values}),
-        "concept bigint, singular_value double",
-    )
-    term_weights = spark.createDataFrame(
-        pd.DataFrame(
-            {
-                "term": np.repeat(table.term.to_numpy(), num_concepts),
-                "concept": np.tile(np.arange(num_concepts), len(table)),
-                "weight": loadings[:, :num_concepts].reshape(-1),
-            }
-        ),
-        "term string, concept bigint, weight double",
+    singular = spark.createDataFrame(list(enumerate(values.tolist())), "concept bigint, singular_value double")
+    if not (place_terms or place_docs):
+        return Concepts(singular, None, None)
+    # One row per term, so the session needs no Arrow to take it in.
+    projection = spark.createDataFrame(
+        list(zip(table.term, loadings[:, :num_concepts].tolist())), "term string, row array<double>"
     )
+    opened = projection.select("term", F.posexplode("row").alias("concept", "weight"))
+    term_weights = opened.withColumn("concept", F.col("concept").cast("bigint")) if place_terms else None
     if not place_docs:
         return Concepts(singular, term_weights, None)
-    scaled = loadings[:, :num_concepts] / values[:num_concepts]
-    projection = spark.createDataFrame(
-        pd.DataFrame({"term": table.term, "row": scaled.tolist()}), "term string, row array<double>"
-    )
     weights = tf_idf(frequencies, idf)
     placed = lookup(weights.select("doc", "term", "weight"), projection, "term", how="inner", spread=["doc"], probe=frequencies)
     sums = [F.sum(F.col("weight") * F.col("row")[c]).alias(f"c{c}") for c in range(num_concepts)]
     wide = placed.groupBy("doc").agg(*sums)
     packed = F.array(*[
-        F.struct(F.lit(c).cast("bigint").alias("concept"), F.col(f"c{c}").alias("weight"))
+        F.struct(F.lit(c).cast("bigint").alias("concept"), (F.col(f"c{c}") / F.lit(float(values[c]))).alias("weight"))
         for c in range(num_concepts)
     ])
     return Concepts(singular, term_weights, wide.select("doc", F.inline(packed)))

@@ -155,20 +155,20 @@ def tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weights.select("doc", "term", F.round("weight", 6).alias("weight"))
 
 
-def concepts(spark: SparkSession, sf_dir: str, place_docs: bool = False) -> ops.Concepts:
-    return ops.latent_concepts(kept(spark, sf_dir), NUM_TERMS, NUM_CONCEPTS, place_docs=place_docs)
+def concepts(spark: SparkSession, sf_dir: str, **wanted: bool) -> ops.Concepts:
+    return ops.latent_concepts(kept(spark, sf_dir), NUM_TERMS, NUM_CONCEPTS, **wanted)
 
 
 @query("lsa_singular_values")
 def lsa_singular_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return concepts(spark, sf_dir).singular_values
+    return concepts(spark, sf_dir, place_terms=False, place_docs=False).singular_values
 
 
 @query("lsa_top_terms")
 def lsa_top_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.top_terms(concepts(spark, sf_dir), 10)
+    return ops.top_terms(concepts(spark, sf_dir, place_docs=False), 10)
 
 
 @query("lsa_top_docs")
 def lsa_top_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.top_docs(concepts(spark, sf_dir, place_docs=True), 10)
+    return ops.top_docs(concepts(spark, sf_dir, place_terms=False), 10)

@@ -7,7 +7,7 @@ import sys
 from pathlib import Path
 
 SF_DIR = "/root/testdata/sf0.001"
-NAMES = ["als_recommend_user", "path_length_histogram"]
+NAMES = ["als_recommend_user", "path_length_histogram", "lsa_singular_values", "lsa_top_terms", "lsa_top_docs"]
 SCRIPT = """
 import sys
 from pyspark.sql import SparkSession
