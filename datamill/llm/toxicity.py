@@ -11,9 +11,10 @@ to left-out examples turns them into probabilities.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,8 @@ BLOCK = 128
 LEAST_CHI = 24.0
 LEAST_EXAMPLES = 8
 BEGINNINGS = (4, 5, 6)
-KNOWN_WORDS = 300_000
+KNOWN_WORDS = 60_000
+LONG_TEXT = 100_000
 
 
 def held_out(doc_id: Column) -> Column:
@@ -44,9 +46,16 @@ def _parts(word: str) -> Iterator[str]:
             yield "^" + word[:n]
 
 
+def _words(text: str | None) -> Iterable[str]:
+    """Words in lower case; those of a long text one by one, so no list of them is held."""
+    if not text:
+        return ()
+    text = text.lower()
+    return TERM.findall(text) if len(text) < LONG_TEXT else (m[0] for m in TERM.finditer(text))
+
+
 def _terms(text: str | None) -> set[str]:
-    words = set(TERM.findall(text.lower())) if text else ()
-    return {part for word in words for part in _parts(word)}
+    return {part for word in set(_words(text)) for part in _parts(word)}
 
 
 def _example_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -65,9 +74,9 @@ def _vectors(vocabulary: dict[str, int]):
         known: dict[str, tuple[int, ...]] = {}
         for batch in batches:
             terms, times = [], []
-            for text in batch["text"].to_pylist():
+            for text in batch["text"]:
                 found: Counter = Counter()
-                for word in TERM.findall(text.lower()) if text else ():
+                for word in _words(text.as_py()):
                     own = known.get(word)
                     if own is None:
                         if len(known) > KNOWN_WORDS:
@@ -310,7 +319,7 @@ def without_toxic(documents: DataFrame, labels: DataFrame, threshold: float = 0.
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[pa.RecordBatch] = []
-        known: dict[tuple[bytes, bytes], float] = {}
+        known: dict[bytes, float] = {}
 
         def texts() -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -320,12 +329,16 @@ def without_toxic(documents: DataFrame, labels: DataFrame, threshold: float = 0.
 
         for found in vector(texts()):
             scores = []
-            for key in zip(found["terms"].to_pylist(), found["times"].to_pylist()):
+            for terms, times in zip(found["terms"].to_pylist(), found["times"].to_pylist()):
+                # Equal vectors score alike; a digest names them in little memory.
+                key = hashlib.blake2b(terms + times, digest_size=16).digest()
                 if key not in known:
                     if len(known) > 50_000:
                         known.clear()
-                    known[key] = index.score(np.frombuffer(key[0], np.int32), np.frombuffer(key[1], np.int32))[0]
+                    known[key] = index.score(np.frombuffer(terms, np.int32), np.frombuffer(times, np.int32))[0]
                 scores.append(known[key])
             yield waiting.pop().filter(pa.array([s < threshold for s in scores], pa.bool_()))
+        # The worker lives on; the next stage needs the memory.
+        pa.default_memory_pool().release_unused()
 
     return documents.mapInArrow(keep, documents.schema)
