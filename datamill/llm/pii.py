@@ -39,12 +39,13 @@ LOOSE = {
     "card": r"(?<![0-9])[0-9]{4}(?:[ ._/-]?[0-9]){9,15}+",
     "phone": r"(?:\+|\(|(?<![0-9]))[0-9]{1,4}(?:[ ()./-]{1,2}[0-9]{2,5}){2,5}+",
 }
-# Something of each kind that is quick to look for; texts without it are not scanned.
+# What every match of a kind holds, strict or loose, and is quick to look for; texts without
+# it are not scanned. A card has 14 digits or more, its loose form 13.
 NEEDS = {
-    "email": (r"@|[\[({] ?(?:at|AT)\b"),
-    "ip": r"[0-9][.,\])]",
-    "card": r"[0-9]{4}",
-    "phone": r"[0-9][ ()./-]",
+    "email": r"@|[\[({] ?(?:at|AT)\b",
+    "ip": r"[0-9](?:[.,]|\[\.\]|\(\.\))[0-9]",
+    "card": r"[0-9](?:[ ._/-]?[0-9]){12}+",
+    "phone": r"\+[0-9]|[0-9][ ()./-]{1,2}[0-9]{2}",
 }
 CUES = {
     "email": r"(?i)(?:e-?mail|contact|write|reach)",

@@ -92,6 +92,32 @@ def test_personal_data_holds_all_strict_spans(spark):
         assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(sum(b.startswith(k) for b in base) for k in PATTERNS)
 
 
+STRICT_ALONE = {
+    "email": ["me@x.org"],
+    "ip": ["10.0.0.1", "see 1.2.3.4"],
+    "card": ["378 282 246 310 005", "378282246310005", "3-7-8-2-8-2-2-4-6-3-1-0-0-0-5", "4 111 111 111 111 111"],
+    "phone": ["Call +442071234567, thanks", "+442071234567", "+1(605)555-9305", "a+4420.7123-4567x"],
+}
+LOOSE_ALONE = {
+    "email": ["me [at] x [dot] org", "me(AT)x.org", "me@x"],
+    "ip": ["10[.]0[.]0[.]1 ", "10(.)0(.)0(.)1", "10,0,0,1", "10.0.0.1"],
+    "card": ["4111.1111.1111.1111", "4111_1111/1111-1", "4111111111111"],
+    "phone": ["605)555)9305", "(605) 555-9305", "605/555/9305", "605.555.93", "+44 20 71"],
+}
+
+
+def test_each_format_is_found_in_a_text_of_its_own(spark):
+    from datamill.llm.pii import base_spans, candidates
+
+    for kind in PATTERNS:
+        for values, find in ((STRICT_ALONE, base_spans), (LOOSE_ALONE, candidates)):
+            texts = spark.createDataFrame([(v,) for v in values[kind]], "text string")
+            missed = [r.text for r in texts.select("text", find(texts["text"], kind).alias("found")).collect() if not r.found]
+            assert not missed, (kind, missed)
+    for text in STRICT_ALONE["card"] + STRICT_ALONE["phone"]:
+        assert plain_base(text), text
+
+
 def test_packing_keeps_capacity_and_conflicts(spark):
     rows = QUERIES["op9_best_fit_packing"](spark, SF_DIR).toPandas()
     bins = rows.groupby(["group", "bin"])
