@@ -5,8 +5,9 @@ loose patterns propose candidates that may overlap. Their format and context bec
 features; the checks (checksum, ranges, number of digits) are the labels and no features, so
 the trees learn what valid data look like, and give a probability to candidates that a
 strict pattern misses, such as addresses written with [at] or numbers with odd separators.
-Per kind, the least probability at which the candidates set aside are right often enough is
-the threshold. Everything is column expressions and Spark's own tree learner.
+Per kind, the least probability at which the candidates set aside, all whose value the trees
+have not seen, are right often enough is the threshold; where a kind has few, those of all
+kinds and the trees' own word count beside them. Everything is column expressions and Spark's own tree learner.
 """
 
 from __future__ import annotations
@@ -57,6 +58,7 @@ CONTEXT = 24
 MODEL_ROWS = 20_000
 TREES, DEPTH = 12, 4
 RIGHT = 0.97
+STEPS, PRIOR = 20, 10
 FEATURES = (
     [f"is_{k}" for k in KINDS]
     + ["length", "digits", "letters", "separators", "kinds_of_separator", "longest_run", "plus", "bracket", "at_sign"]
@@ -185,38 +187,67 @@ def featured(rows: DataFrame) -> DataFrame:
     )
 
 
+def _sampled(found: DataFrame) -> DataFrame:
+    """Candidates with `apart`, whether their value is kept from the trees, and `fit`, whether
+    they train on it.
+
+    A value is apart or not with all its rows. Three quarters of a kind's values may train, or
+    fewer where the kind has many rows; of their rows about MODEL_ROWS / kinds per kind do.
+    """
+    per_kind, whole = MODEL_ROWS // len(KINDS), 1 << 20
+    by_kind = lambda shares: F.coalesce(*[F.when(F.col("kind") == k, F.lit(int(whole * s))) for k, s in shares.items()], F.lit(0))
+    sizes = {r.kind: r["count"] for r in found.groupBy("kind").count().collect()}
+    values = by_kind({k: min(0.75, per_kind / n) for k, n in sizes.items()})
+    found = found.withColumn("apart", F.pmod(F.xxhash64("value", "kind"), F.lit(whole)) >= values)
+    sizes = {r.kind: r["count"] for r in found.filter("not apart").groupBy("kind").count().collect()}
+    rows = by_kind({k: min(1.0, per_kind / n) for k, n in sizes.items()})
+    # A value that stands in many places is thinned by place.
+    place = F.pmod(F.xxhash64("doc_id", "print", "start", "end", "kind"), F.lit(whole))
+    return found.withColumn("fit", ~F.col("apart") & (place < rows))
+
+
+def thresholds(counts: dict[tuple[int, int], tuple[float, int]]) -> dict[int, float]:
+    """Least probability per kind at which enough candidates are right, from (right, all) by
+    kind and step of probability.
+
+    To a kind's own counts come PRIOR candidates that are right as often as those of all kinds
+    from the same step on; to these, PRIOR as often as the trees say, the middle of the step.
+    So a kind with many candidates goes by its own, and one without any has a threshold too.
+    """
+    least: dict[int, float] = {}
+    for kind in range(len(KINDS)):
+        good = n = all_good = all_n = 0.0
+        for step in range(STEPS, STEPS // 2 - 1, -1):
+            for k in range(len(KINDS)):
+                more = counts.get((k, step), (0.0, 0))
+                all_good, all_n = all_good + more[0], all_n + more[1]
+                if k == kind:
+                    good, n = good + more[0], n + more[1]
+            said = min(1.0, (step + 0.5) / STEPS)
+            usual = (all_good + PRIOR * said) / (all_n + PRIOR)
+            if good + PRIOR * usual >= RIGHT * (n + PRIOR):
+                least[kind] = step / STEPS
+        least.setdefault(kind, 1.0)
+    return least
+
+
 def _choose(found: DataFrame) -> DataFrame | None:
     """Candidates the trees choose; None where there is nothing to learn from."""
-    total = found.count()
-    draw = F.pmod(F.xxhash64("value", "left", "kind"), F.lit(1 << 20))
-    share = int((1 << 20) * min(1.0, MODEL_ROWS / max(1, total)))
-    model_rows = written(featured(found.filter(draw < share)))
-    fit, aside = model_rows.filter(F.xxhash64("value") % 4 != 0), model_rows.filter(F.xxhash64("value") % 4 == 0)
+    sampled = _sampled(found)
+    fit = written(featured(sampled.filter("fit")))
     if fit.select("label").distinct().count() < 2:
         return None
     gather = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
     learner = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=11, featuresCol="features", labelCol="label")
     model = learner.fit(gather.transform(fit))
-    scored = lambda rows: model.transform(gather.transform(rows)).withColumn(
-        "p", F.round(vector_to_array("probability")[1], 6)
-    )
-    # Shares of right candidates above each of 20 steps, by kind; the model rows are few.
-    steps = scored(aside).select("kind", "label", F.floor(F.col("p") * 20).alias("step"))
-    counts: dict[int, dict[int, tuple[float, int]]] = {}
-    for r in steps.groupBy("kind", "step").agg(F.sum("label").alias("good"), F.count(F.lit(1)).alias("n")).collect():
-        counts.setdefault(r.kind, {})[r.step] = (r.good, r.n)
-    least: dict[int, float] = {}
-    for kind, by_step in counts.items():
-        good = n = 0.0
-        for step in range(20, 9, -1):
-            more = by_step.get(step, (0.0, 0))
-            good, n = good + more[0], n + more[1]
-            if n >= 10 and good >= RIGHT * n:
-                least[kind] = step / 20
-    if not least:
-        return None
-    enough = F.coalesce(*[F.when(F.col("kind") == k, F.col("p") >= p) for k, p in least.items()], F.lit(False))
-    return scored(featured(found)).filter(enough).select("doc_id", "print", "start", "end", "kind", "p")
+    scored = model.transform(gather.transform(featured(sampled))).withColumn("p", F.round(vector_to_array("probability")[1], 6))
+    scored = written(scored.select("doc_id", "print", "start", "end", "kind", "p", "label", "apart"))
+    # Shares of right candidates by kind and step, over all whose value the trees never saw.
+    steps = scored.filter("apart").groupBy("kind", F.floor(F.col("p") * STEPS).alias("step"))
+    rows = steps.agg(F.sum("label").alias("good"), F.count(F.lit(1)).alias("n")).collect()
+    least = thresholds({(r.kind, r.step): (r.good, r.n) for r in rows})
+    enough = F.coalesce(*[F.when(F.col("kind") == k, F.col("p") >= p) for k, p in least.items()])
+    return scored.filter(enough).select("doc_id", "print", "start", "end", "kind", "p")
 
 
 def _overlap(a: Column, b: Column) -> Column:
@@ -254,8 +285,8 @@ def personal_data(documents: DataFrame) -> DataFrame:
     text; with doc_id it names a row.
 
     A null text is empty and has no spans. Texts of any length are read whole. Rows that
-    repeat, and rows without an id, have a row each. Without candidates of both labels
-    nothing is added. An empty table gives no rows. Other columns are ignored.
+    repeat, and rows without an id, have a row each. Without candidates of both labels to
+    train on nothing is added. An empty table gives no rows. Other columns are ignored.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), text.alias("text"))

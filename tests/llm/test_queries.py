@@ -7,6 +7,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from datamill.llm.queries import ORACLES, QUERIES
 from tools.check import database
@@ -118,6 +119,24 @@ def test_each_format_is_found_in_a_text_of_its_own(spark):
         assert plain_base(text), text
 
 
+def test_every_kind_has_a_threshold_and_a_rare_one_its_spans(spark):
+    from datamill.llm.pii import _choose, candidates, thresholds
+
+    assert thresholds({}) == {0: 0.95, 1: 0.95, 2: 0.95, 3: 0.95}
+    many = thresholds({(0, 19): (1000, 1000), (0, 15): (0, 500), (2, 19): (10, 1000), (2, 20): (500, 500)})
+    assert many[0] == 0.8 and many[2] == 1.0
+
+    # 4,000 phones, good and bad, and 8 addresses.
+    phones = [f"call ({200 + i % 700}) {100 + i % 899}-{1000 + i}" if i % 2 else f"n {i % 90 + 10}-{10 + i % 89}/{i % 80 + 10}" for i in range(4000)]
+    texts = phones + [f"write to user{i} [at] host{i} [dot] org today" for i in range(8)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").withColumn("print", F.xxhash64("text"))
+    loose = F.concat(candidates(F.col("text"), "email"), candidates(F.col("text"), "phone"))
+    found = docs.select("doc_id", "print", F.explode(loose).alias("c")).select("doc_id", "print", "c.*")
+    chosen = {(r.doc_id, r.kind) for r in _choose(found).collect()}
+    assert {(4000 + i, 0) for i in range(8)} <= chosen
+    assert not any(k == 3 and d % 2 == 0 for d, k in chosen)
+
+
 def test_packing_keeps_capacity_and_conflicts(spark):
     rows = QUERIES["op9_best_fit_packing"](spark, SF_DIR).toPandas()
     bins = rows.groupby(["group", "bin"])
