@@ -30,8 +30,10 @@ from datamill.operators.network import connected_components
 
 COUNTERS = 1 << 18
 CHUNK = 4096
+# Vertices of rows without an id are at least this.
+NAMELESS = 1 << 62
 PREFIXES = (
-    "doc_id long, n long, print_a long, print_b long, group_a long, group_b long, map_a long, map_b long, prefix binary"
+    "doc_id long, named boolean, n long, print_a long, print_b long, group_a long, group_b long, map_a long, map_b long, prefix binary"
 )
 
 
@@ -113,8 +115,8 @@ def _prefixes(k: int, percent: int, counts: np.ndarray):
                 prefix.append(first.tobytes())
             columns = [_signed([p[j] for p in prints]) for j in range(6)]
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"].take(pa.array(rows, pa.int64())), pa.array(size, pa.int64()), *columns, pa.array(prefix, pa.binary())],
-                names=["doc_id", "n", "print_a", "print_b", "group_a", "group_b", "map_a", "map_b", "prefix"],
+                [*(batch[c].take(pa.array(rows, pa.int64())) for c in ("doc_id", "named")), pa.array(size, pa.int64()), *columns, pa.array(prefix, pa.binary())],
+                names=["doc_id", "named", "n", "print_a", "print_b", "group_a", "group_b", "map_a", "map_b", "prefix"],
             )
 
     return make
@@ -212,29 +214,31 @@ def near_duplicates(
     A null or empty text has an empty set, size 0, and is linked with nothing. Rows that
     repeat an id are one document with several texts: each is returned, and they share a
     component. Rows without an id are returned too, and get the component their text
-    reaches, or null. An empty table gives no rows. Other columns are ignored.
+    reaches, or null where no row with an id is in it; each of their texts counts for itself. An empty table gives no rows. Other columns are ignored.
     """
     spark = documents.sparkSession
     ship(spark)
-    # A row without an id takes the largest number, so it never names a component.
-    none = F.lit(2**63 - 1)
+    # A row without an id is a vertex named by its text.
+    own = F.col(id_column).cast("bigint")
+    by_text = F.lit(NAMELESS) + F.pmod(F.xxhash64(F.coalesce(F.col(text_column), F.lit(""))), F.lit(NAMELESS))
     docs = documents.select(
-        F.coalesce(F.col(id_column).cast("bigint"), none).alias("doc_id"), F.col(text_column).alias("text")
+        F.coalesce(own, by_text).alias("doc_id"), own.isNotNull().alias("named"), F.col(text_column).alias("text")
     )
     counts = shingle_counts(docs, k)
     found = written(docs.mapInArrow(_prefixes(k, percent, counts), PREFIXES))
     filled = found.filter("n > 0")
     classes = written(
         filled.groupBy("print_a", "print_b").agg(
-            F.min("doc_id").alias("id"), *[F.first(c).alias(c) for c in ("n", "group_a", "group_b", "map_a", "map_b")]
-        )
+            F.min("doc_id").alias("id"), F.min(F.when(F.col("named"), F.col("doc_id"))).alias("least_id"),
+            *[F.first(c).alias(c) for c in ("n", "group_a", "group_b", "map_a", "map_b")],
+        )
     )
     groups = written(
         filled.groupBy("group_a", "group_b").agg(
             F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("prefix").alias("prefix")
         )
     )
-    rows = written(found.select("doc_id", "n", "print_a", "print_b"))
+    rows = written(found.select("doc_id", "named", "n", "print_a", "print_b"))
     discard(found)
     tokens = groups.select("rep", "n", "prefix").mapInArrow(_tokens, "token long, rep long, n long")
 
@@ -296,11 +300,16 @@ def near_duplicates(
         roots = joined.select(F.col("component").alias("id")).distinct()
         merged = _components(roots, bridges).select(F.col("id").alias("component"), F.col("component").alias("root"))
         joined = joined.join(merged, "component").select("id", F.col("root").alias("component"))
-    class_of = classes.select("print_a", "print_b", "id").join(joined, "id").select("print_a", "print_b", "component")
-    return rows.join(class_of.distinct(), ["print_a", "print_b"], "left").select(
-        F.nullif("doc_id", none).alias("doc_id"),
-        F.col("n").alias("n_shingles"),
-        F.nullif(F.coalesce("component", "doc_id"), none).alias("component_id"),
+    class_of = classes.select("print_a", "print_b", "id", "least_id").join(joined, "id")
+    class_of = written(class_of.select("print_a", "print_b", "component", "least_id"))
+    # Components whose least vertex may have no id, and the least id in them, if any.
+    doubtful = class_of.filter(F.col("component") >= NAMELESS).groupBy("component")
+    doubtful = written(doubtful.agg(F.min("least_id").alias("reached")))
+    reached = F.when(F.col("component") < NAMELESS, F.col("component")).otherwise(F.col("reached"))
+    class_of = class_of.join(doubtful, "component", "left").select("print_a", "print_b", reached.alias("component"))
+    own = F.when(F.col("named"), F.col("doc_id"))
+    return rows.join(class_of, ["print_a", "print_b"], "left").select(
+        own.alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component", own).alias("component_id")
     )
 
 

@@ -66,6 +66,19 @@ def test_values_on_messy_rows(spark, messy):
     assert digest(personal_data(messy)).filter("doc_id = 10").first().spans == "email:5:13"
 
 
+def test_rows_without_an_id_join_no_other_texts(spark):
+    five, nine = PROSE, " ".join(f"term{i}" for i in range(40))
+    high = " ".join(f"high{i}" for i in range(40))
+    rows = [(5, five), (9, nine), (None, five + " more"), (None, nine + " more"), (None, "other " * 30), (None, None),
+            (2**63 - 1, high), (2**63 - 2, high + " x"), (None, high + " more")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = near_duplicates(docs, 3, 90).collect()
+    assert {r.doc_id: r.component_id for r in found if r.doc_id is not None} == {
+        5: 5, 9: 9, 2**63 - 1: 2**63 - 2, 2**63 - 2: 2**63 - 2,
+    }
+    assert sorted((r.component_id for r in found if r.doc_id is None), key=repr) == [5, 9, 2**63 - 2, None, None]
+
+
 def test_packing_messy_rows(spark, messy):
     packed = pack_documents(messy, capacity=100)
     assert packed.filter("doc_id = 5").agg({"size": "sum"}).first()[0] == 30_000
