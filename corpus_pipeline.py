@@ -6,7 +6,7 @@ documents it leaves, in their own columns. The last returns the packed pieces.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from datamill.llm.jaccard import near_duplicates
@@ -25,17 +25,18 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, that with the smallest id.
 
-    Five-word shingles, similarity 0.8. Of rows that share an id the one with the smallest
-    text stays, a null text last. A row without an id gives way to one with an id.
+    Five-word shingles, similarity 0.8. Rows are named by id and text, so those that share an
+    id compete only if their texts are equal or near. Of rows equal in both one stays. A row
+    without an id gives way to one with an id.
     """
-    # A row without an id is named by its text, above all ids.
-    by_text = F.lit(1 << 62) + F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(1 << 62))
-    named = docs.withColumn("__id", F.coalesce(F.col("doc_id").cast("bigint"), by_text))
-    groups = near_duplicates(named, k=5, percent=80, id_column="__id")
-    kept = groups.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("__id")).distinct()
-    first = Window.partitionBy("__id").orderBy(F.col("text").asc_nulls_last())
-    rows = named.join(kept, "__id", "left_semi").withColumn("__nth", F.row_number().over(first))
-    return rows.filter("__nth = 1").select(*docs.columns)
+    name = F.pmod(F.xxhash64("doc_id", F.length("text"), "text"), F.lit(1 << 62)).alias("__name")
+    row = F.min(F.struct(*docs.columns)).alias("__row")
+    once = written(docs.groupBy(name).agg(row).select("__name", "__row.*"))
+    groups = near_duplicates(once, k=5, percent=80, id_column="__name")
+    placed = groups.select(F.col("doc_id").alias("__name"), "component_id").join(once.select("__name", "doc_id"), "__name")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__name")).alias("first")
+    kept = placed.groupBy("component_id").agg(first).select(F.col("first.__name").alias("__name"))
+    return once.join(kept, "__name", "left_semi").select(*docs.columns)
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -79,6 +79,15 @@ def test_rows_without_an_id_join_no_other_texts(spark):
     assert sorted((r.component_id for r in found if r.doc_id is None), key=repr) == [5, 9, 2**63 - 2, None, None]
 
 
+def test_clean_texts_that_share_an_id_all_stay(spark):
+    texts = [" ".join(f"{c}{i}" for i in range(40)) for c in "abc"]
+    rows = [(1, t) for t in texts] + [(1, texts[0] + " x"), (1, texts[1]), (2, texts[2] + " x"), (None, texts[2]), (None, "odd"), (3, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()
+    assert sorted((r.doc_id for r in kept), key=repr) == [1, 1, 1, 3, None]
+    assert {r.text.split()[0] for r in kept if r.doc_id == 1} == {"a0", "b0", "c0"}
+
+
 def test_packing_messy_rows(spark, messy):
     packed = pack_documents(messy, capacity=100)
     assert packed.filter("doc_id = 5").agg({"size": "sum"}).first()[0] == 30_000
