@@ -1,10 +1,11 @@
 """Toxicity from the nearest labelled examples by exact TF-IDF cosine.
 
-Labels choose the vocabulary: terms whose share among toxic and other examples differs by
-a factor. Every document becomes a sparse vector over it, weighted by document frequencies
-of the whole corpus. The examples stand in an inverted index cut into blocks; for each
-query the largest weight of a term in a block bounds every cosine in that block, and only
-blocks whose bound reaches the k-th best cosine are opened, so the neighbours are exact.
+Every document becomes a sparse vector over all terms of the examples, weighted by document
+frequencies of the whole corpus and by how far a term's share among toxic and other examples
+differs; no weight is zero, so one shared term is enough to meet an example. The examples
+stand in an inverted index. A query's terms are taken by the most they can add, until the
+rest cannot lift an example that is left behind above the k-th best; the remaining ones are
+summed whole, so the neighbours are exact.
 Votes are weighted by nearness and the sampling of the classes, and a monotone curve fitted
 to left-out examples turns them into probabilities.
 """
@@ -24,9 +25,10 @@ from pyspark.sql import functions as F
 from datamill.llm.tables import ship, written
 
 TERM = re.compile(r"[^\W\d_]+")
-BLOCK = 128
-# Chance alone reaches this chi-square in about one of a million terms.
-LEAST_CHI = 24.0
+# Chance alone reaches this chi-square in about one of a million terms: half of the full weight.
+# A term of even shares has 1/48 of it.
+HALF_CHI, EVEN_CHI = 24.0, 0.5
+FIRST_POSTINGS = 20_000
 LEAST_EXAMPLES = 8
 BEGINNINGS = (4, 5, 6)
 KNOWN_WORDS = 60_000
@@ -95,18 +97,27 @@ def _vectors(vocabulary: dict[str, int]):
     return make
 
 
-def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total: Counter = Counter()
-    for batch in batches:
-        joined = b"".join(batch["terms"].to_pylist())
-        total.update(Counter(np.frombuffer(joined, np.int32).tolist()))
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(list(total), pa.int32()), pa.array(list(total.values()), pa.int64())], names=["term", "n"]
-    )
+def _frequencies(vocabulary: dict[str, int]):
+    vector = _vectors(vocabulary)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(vocabulary), np.int64)
+        for batch in vector(batches):
+            joined = b"".join(batch["terms"].to_pylist())
+            total += np.bincount(np.frombuffer(joined, np.int32), minlength=len(total))
+        held = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(held.astype(np.int32)), pa.array(total[held])], names=["term", "n"])
+
+    return count
+
+
+def _ranges(start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The places start, start + 1, … of n each, one after another."""
+    return np.repeat(start - np.cumsum(n) + n, n) + np.arange(n.sum())
 
 
 class Index:
-    """Labelled examples in an inverted index with a largest weight per term and block."""
+    """Labelled examples in an inverted index; `idf` has a weight per term."""
 
     def __init__(self, examples, idf: np.ndarray, rates: dict[int, float], neighbours: int) -> None:
         self.idf, self.k = idf, neighbours
@@ -115,26 +126,34 @@ class Index:
         # An example of a class that was sampled stands for 1 / rate documents.
         self.stands = np.array([1 / rates[int(e[1])] for e in examples])
         self.prior = float((self.stands * self.toxic).sum() / self.stands.sum()) if len(examples) else 0.0
-        n_blocks = -(-len(examples) // BLOCK)
-        self.most = np.zeros((len(idf), n_blocks))
-        rows, terms, weights = [], [], []
-        for i, (_, _, t, n) in enumerate(examples):
-            w = self.weights(t, n)
-            np.maximum.at(self.most, (t, np.full(len(t), i // BLOCK)), w)
-            rows.append(np.full(len(t), i))
-            terms.append(t)
-            weights.append(w)
-        rows = np.concatenate(rows) if rows else np.empty(0, int)
-        terms = np.concatenate(terms) if terms else np.empty(0, int)
-        weights = np.concatenate(weights) if weights else np.empty(0)
-        order = np.lexsort((rows, terms))
-        self.rows, self.posting = rows[order], weights[order]
-        key = terms[order].astype(np.int64) * (n_blocks + 1) + self.rows // BLOCK
-        grid = np.arange(len(idf))[:, None] * (n_blocks + 1) + np.arange(n_blocks + 1)[None, :]
-        self.start = np.searchsorted(key, grid)
+        none = np.empty(0, np.int32)
+        self.terms = np.concatenate([none, *(e[2] for e in examples)])  # by example
+        self.times = np.concatenate([none, *(e[3] for e in examples)])
+        self.first = np.cumsum([0, *(len(e[2]) for e in examples)])
+        self._fill()
         self.curve = (np.array([0.0, 1.0]), np.array([0.0, 1.0]))
         self.unknown = 0.0
 
+    def _fill(self) -> None:
+        """Weights by example and by term, and the largest of each term."""
+        ends = list(zip(self.first[:-1], self.first[1:]))
+        self.own = np.concatenate([np.empty(0), *(self.weights(self.terms[a:b], self.times[a:b]) for a, b in ends)])
+        rows = np.repeat(np.arange(len(ends), dtype=np.int32), np.diff(self.first))
+        order = np.argsort(self.terms, kind="stable")
+        self.rows, self.posting = rows[order], self.own[order]
+        self.start = np.searchsorted(self.terms[order], np.arange(len(self.idf) + 1))
+        self.most = np.zeros(len(self.idf))
+        np.maximum.at(self.most, self.terms, self.own)
+
+    def __getstate__(self) -> dict:
+        """Only what the rest follows from travels, a quarter of the whole."""
+        state = {k: v for k, v in vars(self).items() if k not in ("own", "rows", "posting", "start", "most")}
+        return state | {"times": self.times.astype(np.min_scalar_type(self.times.max(initial=0)))}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state | {"times": state["times"].astype(np.int32)})
+        self._fill()
+
     def weights(self, terms: np.ndarray, times: np.ndarray) -> np.ndarray:
         w = (1 + np.log(times)) * self.idf[terms]
         return w / np.sqrt((w * w).sum()) if len(w) else w
@@ -143,23 +162,43 @@ class Index:
         """Rows and cosines of the k nearest examples, all cosines above zero; ties go to
         the example that comes first."""
         w = self.weights(terms, times)
-        bound = w @ self.most[terms] if len(w) else np.zeros(self.most.shape[1])
-        rows, cosines = np.empty(0, np.int64), np.empty(0)
-        for block in np.argsort(-bound, kind="stable"):
-            if bound[block] <= 0 or (len(rows) == self.k and bound[block] < cosines[-1] - 1e-12):
+        cap = w * self.most[terms]
+        order = np.argsort(-cap, kind="stable")
+        terms, w = terms[order], w[order]
+        rest = np.append(np.cumsum(cap[order][::-1])[::-1], 0.0)
+        n = self.start[terms + 1] - self.start[terms]
+        upto, total = np.cumsum(n), int(n.sum())
+        sums, done, some = np.zeros(len(self.ids)), 0, FIRST_POSTINGS
+        while done < len(terms):
+            more = max(done + 1, int(np.searchsorted(upto, some)))
+            at = _ranges(self.start[terms[done:more]], n[done:more])
+            sums += np.bincount(self.rows[at], np.repeat(w[done:more], n[done:more]) * self.posting[at], len(sums))
+            done, some = more, 2 * some
+            if done == len(terms) or len(sums) <= self.k + 1:
+                continue
+            # One more than k, as `but` may be among them.
+            least = np.partition(sums, -self.k - 1)[-self.k - 1]
+            if least <= rest[done]:
+                continue
+            hit = np.flatnonzero(sums + rest[done] >= least - 1e-9)
+            size = self.first[hit + 1] - self.first[hit]
+            if size.sum() < total - upto[done - 1]:
+                at = _ranges(self.first[hit], size)
+                query = np.zeros(len(self.idf))
+                query[terms[done:]] = w[done:]
+                added = np.bincount(np.repeat(np.arange(len(hit)), size), query[self.terms[at]] * self.own[at], len(hit))
+                exact = sums[hit] + added
+                sums = np.zeros(len(sums))
+                sums[hit] = exact
                 break
-            sums = np.zeros(BLOCK)
-            for term, weight in zip(terms, w):
-                a, b = self.start[term, block], self.start[term, block + 1]
-                if b > a:
-                    sums[self.rows[a:b] - block * BLOCK] += weight * self.posting[a:b]
-            hit = np.flatnonzero(sums > 0)
-            at = hit + block * BLOCK
-            keep = at != but
-            rows, cosines = np.append(rows, at[keep]), np.append(cosines, np.round(sums[hit][keep], 12))
-            order = np.lexsort((rows, -cosines))[: self.k]
-            rows, cosines = rows[order], cosines[order]
-        return rows, cosines
+        if but >= 0:
+            sums[but] = 0
+        hit = np.flatnonzero(sums > 0)
+        if len(hit) > self.k:
+            hit = hit[sums[hit] >= np.partition(sums[hit], -self.k)[-self.k] - 1e-11]
+        cosines = np.round(sums[hit], 12)
+        order = np.lexsort((hit, -cosines))[: self.k]
+        return hit[order], cosines[order]
 
     def vote(self, rows: np.ndarray, cosines: np.ndarray) -> float:
         """Toxic share of the neighbours by nearness; far ones leave it near the prior."""
@@ -192,9 +231,10 @@ class Index:
             while len(pools) > 1 and pools[-2][1] / pools[-2][2] >= pools[-1][1] / pools[-1][2]:
                 last = pools.pop()
                 pools[-1] = [a + b for a, b in zip(pools[-1], last)]
+        # Two more that are not toxic: an example or two are no ground to reject a document.
         self.curve = (
             np.array([p[0] / p[2] for p in pools]),
-            np.array([(p[1] + self.prior) / (p[2] + 1) for p in pools]),
+            np.array([p[1] / (p[2] + 2) for p in pools]),
         )
 
     def score(self, terms: np.ndarray, times: np.ndarray) -> tuple[float, list[int], list[float]]:
@@ -207,14 +247,16 @@ class Index:
 
 def _scores(index: Index, threshold: float):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[tuple[bytes, bytes], tuple] = {}
+        known: dict[bytes, tuple] = {}
         for batch in batches:
             found = []
-            for key in zip(batch["terms"].to_pylist(), batch["times"].to_pylist()):
+            for terms, times in zip(batch["terms"].to_pylist(), batch["times"].to_pylist()):
+                # Equal vectors score alike; a digest names them in little memory.
+                key = hashlib.blake2b(terms + times, digest_size=16).digest()
                 if key not in known:
                     if len(known) > 50_000:
                         known.clear()
-                    known[key] = index.score(np.frombuffer(key[0], np.int32), np.frombuffer(key[1], np.int32))
+                    known[key] = index.score(np.frombuffer(terms, np.int32), np.frombuffer(times, np.int32))
                 found.append(known[key])
             value = [f[0] for f in found]
             yield pa.RecordBatch.from_arrays(
@@ -230,7 +272,7 @@ def _scores(index: Index, threshold: float):
 
 
 class Model:
-    """A vocabulary and the index of the examples; a few megabytes at most."""
+    """The terms of the examples and the index over them; bounded by the examples."""
 
     def __init__(self, vocabulary: dict[str, int], index: Index) -> None:
         self.vocabulary, self.index = vocabulary, index
@@ -240,10 +282,9 @@ def train(
     documents: DataFrame,
     labels: DataFrame,
     per_class: int = 4096,
-    vocabulary_size: int = 1024,
     neighbours: int = 15,
-) -> tuple[Model, DataFrame]:
-    """A model, and the vectors of all documents that its document frequencies come from.
+) -> Model:
+    """A model over all terms of the examples, with document frequencies of all documents.
 
     Trains on labelled documents that are not held out, at most about `per_class` of each
     class, taken by a hash of the id; all of a smaller class.
@@ -262,35 +303,27 @@ def train(
     n1, n0 = max(1, totals.get(1, 0)), max(1, totals.get(0, 0))
     terms = chosen.select("text", "toxic").mapInArrow(_example_terms, "term string, toxic int")
     terms = terms.groupBy("term").agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("c"))
-    share_a, share_c = (F.col("a") + 0.5) / float(n1), (F.col("c") + 0.5) / float(n0)
-    cross = F.col("a") * (n0 - F.col("c")) - F.col("c") * (n1 - F.col("a"))
-    held = F.col("a") + F.col("c")
-    chi = cross * cross * (n1 + n0) / (held * (n1 + n0 - held + 0.5) * n1 * n0)
-    best = (
-        terms.withColumn("chi", chi.cast("double"))
-        .filter((F.col("chi") > LEAST_CHI) & (F.greatest("a", "c") >= LEAST_EXAMPLES))
-        .filter((share_a > 3 * share_c) | (share_c > 3 * share_a))
-        .orderBy(F.desc("chi"), "term")
-        .limit(vocabulary_size)
-        .select("term")
-    )
-    vocabulary = {r.term: i for i, r in enumerate(best.collect())}
-
-    vectors = written(docs.withColumn("held_out", held_out(F.col("doc_id"))).mapInArrow(_vectors(vocabulary), VECTORS))
-    total = vectors.count()
-    frequency = np.zeros(max(1, len(vocabulary)))
-    counted = vectors.select("terms").mapInArrow(_frequencies, "term int, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    for r in counted.collect():
-        frequency[r.term] = r.n
+    found = terms.toArrow().sort_by("term")  # as many as the examples have terms
+    vocabulary = {t: i for i, t in enumerate(found["term"].to_pylist())}
+    a, c = found["a"].to_numpy().astype(float), found["c"].to_numpy().astype(float)
+    cross, held = a * (n0 - c) - c * (n1 - a), a + c
+    chi = cross * cross * (n1 + n0) / (held * np.maximum(n1 + n0 - held + 0.5, 0.5) * n1 * n0)
+
+    whole = docs.withColumn("held_out", F.lit(False))
+    total = whole.count()
+    frequency = np.zeros(len(vocabulary))
+    counted = whole.mapInArrow(_frequencies(vocabulary), "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    frequency[counted["term"].to_numpy()] = counted["n"].to_numpy()
     idf = np.log((1 + total) / (1 + frequency)) + 1
 
-    rows = vectors.join(F.broadcast(chosen.select("doc_id", "toxic").distinct()), "doc_id")
-    rows = rows.select("doc_id", "toxic", "terms", "times").distinct().collect()  # as many as examples
-    examples = sorted((r.doc_id, r.toxic, bytes(r.terms), bytes(r.times)) for r in rows)
+    # The flag carries the label here.
+    rows = chosen.select("doc_id", "text", (F.col("toxic") == 1).alias("held_out")).mapInArrow(_vectors(vocabulary), VECTORS)
+    rows = rows.distinct().collect()  # as many as examples
+    examples = sorted((r.doc_id, int(r.held_out), bytes(r.terms), bytes(r.times)) for r in rows)
     examples = [(d, y, np.frombuffer(t, np.int32), np.frombuffer(n, np.int32)) for d, y, t, n in examples]
-    index = Index(examples, idf, rates, neighbours)
+    index = Index(examples, idf * (chi + EVEN_CHI) / (chi + HALF_CHI), rates, neighbours)
     index.calibrate(examples)
-    return Model(vocabulary, index), vectors
+    return Model(vocabulary, index)
 
 
 def toxicity_scores(documents: DataFrame, labels: DataFrame, threshold: float = 0.3, **settings: int) -> DataFrame:
@@ -299,14 +332,17 @@ def toxicity_scores(documents: DataFrame, labels: DataFrame, threshold: float =
     `evidence` has the ids of the nearest examples and `cosines` their nearness. Document
     frequencies cover all documents; `settings` are those of `train`.
 
-    A null or empty text, or one without any vocabulary term, gets the toxic share among
+    A null or empty text, or one that shares no term with an example, gets the toxic share among
     examples like it, held low where those are few. Without any usable label every score is 0. Null labels and ids are no
     examples; a document with both labels counts as two; rows that repeat are each scored.
     An empty table gives no rows. Other columns are ignored.
     """
-    model, vectors = train(documents, labels, **settings)
+    model = train(documents, labels, **settings)
+    vector, score = _vectors(model.vocabulary), _scores(model.index, threshold)
+    rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    rows = rows.withColumn("held_out", held_out(F.col("doc_id")))
     schema = "doc_id long, held_out boolean, score double, predicted int, evidence array<bigint>, cosines array<double>"
-    return vectors.mapInArrow(_scores(model.index, threshold), schema)
+    return rows.mapInArrow(lambda batches: score(vector(batches)), schema)
 
 
 def without_toxic(documents: DataFrame, labels: DataFrame, threshold: float = 0.3, **settings: int) -> DataFrame:
@@ -314,7 +350,7 @@ def without_toxic(documents: DataFrame, labels: DataFrame, threshold: float = 0.
 
     Defined for nulls, repeats and empty tables as `toxicity_scores`.
     """
-    model, _ = train(documents, labels, **settings)
+    model = train(documents, labels, **settings)
     vector, index = _vectors(model.vocabulary), model.index
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

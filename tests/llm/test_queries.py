@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import pickle
 import re
 
 import numpy as np
@@ -203,6 +204,42 @@ def test_toxicity_learns_and_its_neighbours_are_exact(spark):
         assert np.allclose(cosines, np.sort(want)[::-1][:7])
 
 
+def test_a_term_of_one_example_is_enough(spark):
+    from datamill.llm.toxicity import held_out, toxicity_scores
+
+    rows = [(i, f"tree{'abc'[i % 3]} river cloud") for i in range(40)]
+    labels = [(i, 1, 0) for i in range(40)]
+    ids = spark.range(40, 80).select("id", held_out(F.col("id")).alias("h")).collect()
+    train, test = [r.id for r in ids if not r.h][:2], [r.id for r in ids if r.h][:2]
+    rows += [(train[0], "scum"), (train[1], "moron"), (test[0], "scum scum"), (test[1], "stone")]
+    labels += [(i, 1, 1) for i in train]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {r.doc_id: r for r in toxicity_scores(docs, spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")).collect()}
+    assert found[test[0]].evidence == [train[0]] and abs(found[test[0]].cosines[0] - 1) < 1e-9
+    assert found[test[1]].evidence == [] and found[0].evidence
+
+
+def test_neighbours_stay_exact_when_terms_are_left_out():
+    from datamill.llm.toxicity import Index
+
+    rng = np.random.default_rng(7)
+    idf = np.concatenate([np.full(40, 0.01), rng.random(3000) + 1])
+    sets = [np.concatenate([np.arange(40), 40 + np.sort(rng.choice(3000, 12, replace=False))]).astype(np.int32) for _ in range(3000)]
+    examples = [(i, i % 2, t, rng.integers(1, 5, len(t)).astype(np.int32)) for i, t in enumerate(sets)]
+    index = Index(examples, idf, {0: 1.0, 1: 1.0}, 15)
+    sent = pickle.loads(pickle.dumps(index))
+    dense = np.zeros((3000, 3040))
+    for i, (_, _, t, n) in enumerate(examples):
+        dense[i, t] = index.weights(t, n)
+    for i in range(0, 3000, 101):
+        want = dense @ dense[i]
+        want[i] = -1
+        rows, cosines = index.nearest(examples[i][2], examples[i][3], but=i)
+        assert np.allclose(cosines, np.sort(want)[::-1][:15], atol=1e-9)
+        again = sent.nearest(examples[i][2], examples[i][3], but=i)
+        assert np.array_equal(rows, again[0]) and np.array_equal(cosines, again[1])
+
+
 def test_lookup_table_is_even_and_stable():
     from datamill.llm.sharding import lookup_table
 
