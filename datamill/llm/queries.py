@@ -229,3 +229,30 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     from datamill.llm.pii import digest, personal_data
 
     return digest(personal_data(table(spark, sf_dir, "documents")))
+
+
+OP11_SQL = r"""
+with lines as (
+  select doc_id, i, line, translate(regexp_replace(regexp_replace(line, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key
+  from (select doc_id, unnest(w) as line, unnest(range(1, len(w) + 1)) as i
+    from (select doc_id, string_split(coalesce(text, ''), chr(10)) as w from documents))
+), common as (
+  select key, max(doc_id) as last from lines where length(key) >= 20 group by key having count(distinct doc_id) >= 3
+), marked as (
+  select doc_id, i, line, last is not null and doc_id <> last as gone from lines left join common using (key)
+)
+select doc_id, count(*)::bigint as n_lines, count(*) filter (where gone)::bigint as n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) order by i) filter (where not gone), '')) as kept_sha256
+from marked group by doc_id
+"""
+
+
+@query("op11_line_dedup", OP11_SQL)
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from datamill.llm.lines import drop_common_lines
+
+    rows = drop_common_lines(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
