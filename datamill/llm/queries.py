@@ -256,3 +256,10 @@ def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     rows = drop_common_lines(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query("op13_tokenizer_alignment")
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from datamill.llm.alignment import align_tokenizers
+
+    return align_tokenizers(table(spark, sf_dir, "documents"))
