@@ -8,8 +8,8 @@ tokens, the spans cannot tell them apart, and the decoded bytes of the tokens re
 Neither tokenizer joins symbols over a space that follows no white space (`Aligner` makes
 sure of that from the piece list, and takes whole texts where it does not hold), so a text
 falls into units there, both tokenizers end a token at each of those cuts, and a unit found
-again is looked up. The units of a batch are tokenized together, and a task keeps as many
-units as `memo` says.
+again is looked up. New units are tokenized together, as one text whose cuts they are, and a
+task keeps the units it met, at most twice `memo` and those of one batch.
 
 One pass over the texts writes, for each document, its counts, the digest of its groups and
 how often it links which pair of ids; sums per pair and the highest per id of B are made from
@@ -23,6 +23,7 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -41,10 +42,15 @@ SPACE_MARK = "▁"
 BROADCAST_PAIRS = 1 << 21
 # Units of a batch are gathered from so many bytes of text; a longer text is a batch.
 BATCH_BYTES = 4 << 20
-MEMO_UNITS = 100_000
+MEMO_UNITS = 200_000
+# Units are encoded as texts of about so many characters.
+JOIN_CHARS = 1 << 13
 # Longer units hardly come again.
 MEMO_CHARS = 48
 
+# Tokens of A and of B, groups, their part of the digest, links as 64-bit numbers.
+Unit = tuple[int, int, int, str, bytes]
+
 # A space that follows no white space begins a unit, but for a last one of the text.
 UNIT = re.compile(r" (?:[^ ]+|(?<=\s) | \Z)*")
 
@@ -58,6 +64,14 @@ def _byte_of_char() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(other)}
 
 
+class _Numbers(dict):
+    """Numbers its keys as they are first asked for."""
+
+    def __missing__(self, key: str) -> int:
+        self[key] = number = len(self)
+        return number
+
+
 class Aligner:
     """Both tokenizers with their token bytes, and the units found before."""
 
@@ -79,108 +93,142 @@ class Aligner:
             bytes([int(name[3:-1], 16)]) if self.b.is_byte(i) else name.replace(SPACE_MARK, " ").encode()
             for i, name in enumerate(names)
         ]
-        self.b_size = len(names)
+        self.a_lengths, self.b_lengths = (np.array([len(x) for x in own]) for own in (self.a_bytes, self.b_bytes))
+        # What a token adds to the digest: its id and the mark behind it.
+        self.names = np.array(
+            [f"{i}{mark}" for i in range(len(self.a_bytes)) for mark in ",|"]
+            + [f"{i}{mark}" for i in range(len(self.b_bytes)) for mark in ",;"],
+            dtype=object,
+        )
         crossing = any(re.search(f"[^{SPACE_MARK}]{SPACE_MARK}", name) for name in names)
         self.unit = re.compile(r"(?s).+") if crossing else UNIT
         self.memo = memo
-        self.new: dict[str, tuple | None] = {}
-        self.old: dict[str, tuple | None] = {}
+        self.new: dict[str, Unit | None] = {}
+        self.old: dict[str, Unit | None] = {}
 
     @staticmethod
-    def ends(spans: list[tuple[int, int]], lengths: list[int]) -> list[int]:
-        """Byte ends of tokens from their byte spans and the lengths of their bytes."""
-        out, at = [], 0
-        for (begin, end), length in zip(spans, lengths):
-            # A span that starts where the last token ended and has the token's length is
-            # exact; else the token is a part of a character, and its bytes tell where it ends.
-            at = end if begin == at and end - begin == length else at + length
-            out.append(at)
+    def ends(begin: np.ndarray, end: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Byte ends of tokens from their byte spans and the lengths of their bytes.
+
+        A span as long as its token is exact. Other tokens are parts of a character: they end
+        as many bytes after the last exact end as they and the tokens between have.
+        """
+        exact = end - begin == lengths
+        if exact.all():
+            return end
+        decoded = np.cumsum(lengths)
+        last = np.maximum.accumulate(np.where(exact, np.arange(len(end)), -1))
+        base = np.where(last >= 0, end[last] - decoded[last], 0)
+        return base + decoded
+
+    def _joined(self, units: list[str]) -> list[Unit] | None:
+        """The alignments of units that follow each other in one text; None where the bytes
+        of either tokenizer differ from it."""
+        text = "".join(units)
+        raw = text.encode()
+        a = self.a.encode(text, add_special_tokens=False)
+        # B adds the first space itself, and its spans do not count it.
+        b = self.b.encode(text[1:], return_type="proto", num_threads=1).pieces
+        a_ids, b_ids = a.ids, [piece.id for piece in b]
+        if b"".join([self.a_bytes[i] for i in a_ids]) != raw or b"".join([self.b_bytes[i] for i in b_ids]) != raw:
+            return None
+        a_ids, b_ids = np.array(a_ids, np.int64), np.array(b_ids, np.int64)
+        spans = np.array(a.offsets, np.int64).reshape(-1, 2)
+        sizes = np.array([len(unit) for unit in units])
+        if len(raw) != len(text):
+            # The offsets of A count characters; UTF-8 begins one at each byte but 10xxxxxx.
+            byte_of = np.append(np.flatnonzero(np.frombuffer(raw, np.uint8) & 0xC0 != 0x80), len(raw))
+            spans = byte_of[spans]
+            unit_ends = byte_of[np.cumsum(sizes)]
+        else:
+            unit_ends = np.cumsum(sizes)
+        a_ends = self.ends(spans[:, 0], spans[:, 1], self.a_lengths[a_ids])
+        begin = np.array([piece.begin for piece in b], np.int64) + 1
+        begin[0] = 0
+        b_ends = self.ends(begin, np.array([piece.end for piece in b], np.int64) + 1, self.b_lengths[b_ids])
+
+        # No token is without bytes, so each side ends one token at a common offset.
+        cuts = np.intersect1d(a_ends, b_ends, assume_unique=True)
+        a_group, b_group = np.searchsorted(cuts, a_ends), np.searchsorted(cuts, b_ends)
+        a_last, b_last = cuts[a_group] == a_ends, cuts[b_group] == b_ends
+        links = a_ids[a_last] * len(self.b_bytes) + b_ids[b_last]
+        order = np.argsort(np.concatenate([2 * a_group, 2 * b_group + 1]), kind="stable")
+        codes = np.concatenate([2 * a_ids + a_last, 2 * (len(self.a_bytes) + b_ids) + b_last])
+        names = self.names[codes[order]].tolist()
+
+        # Units end at cuts, as neither side joins symbols over them.
+        stops = [np.searchsorted(ends, unit_ends, side="right") for ends in (a_ends, b_ends, cuts)]
+        n_a, n_b, n_groups = (np.diff(stop, prepend=0).tolist() for stop in stops)
+        out, token = [], 0
+        for k, (x, y, n, stop) in enumerate(zip(n_a, n_b, n_groups, stops[2].tolist())):
+            out.append((x, y, n, "".join(names[token : token + x + y]), links[stop - n : stop].tobytes()))
+            token += x + y
         return out
 
-    def _one(self, unit: str, a, b) -> tuple | None:
-        """(n_a, n_b, n_groups, groups, links) of a unit from both encodings; None where the
-        joined bytes of either differ from it."""
-        raw = unit.encode()
-        a_ids, a_spans = a.ids, a.offsets
-        if len(raw) != len(unit):
-            at = np.concatenate([[0], np.cumsum([len(c.encode()) for c in unit])]).tolist()
-            a_spans = [(at[begin], at[end]) for begin, end in a_spans]
-        b_ids, b_spans = [], []
-        for k, piece in enumerate(b.pieces):
-            b_ids.append(piece.id)
-            # B's spans are those of the text without the space that it adds in front.
-            b_spans.append((piece.begin + 1 if k else 0, piece.end + 1))
-        a_own = [self.a_bytes[i] for i in a_ids]
-        b_own = [self.b_bytes[i] for i in b_ids]
-        if b"".join(a_own) != raw or b"".join(b_own) != raw:
-            return None
-        a_ends = self.ends(a_spans, [len(x) for x in a_own])
-        b_ends = self.ends(b_spans, [len(x) for x in b_own])
-        groups, links = [], []
-        i = j = 0
-        while i < len(a_ends):
-            first_a, first_b = i, j
-            while a_ends[i] != b_ends[j]:
-                if a_ends[i] < b_ends[j]:
-                    i += 1
-                else:
-                    j += 1
-            end = a_ends[i]
-            last_a, last_b = i, j
-            # Tokens without bytes would end there as well.
-            while last_a + 1 < len(a_ends) and a_ends[last_a + 1] == end:
-                last_a += 1
-            while last_b + 1 < len(b_ends) and b_ends[last_b + 1] == end:
-                last_b += 1
-            links += [x * self.b_size + y for x in a_ids[i : last_a + 1] for y in b_ids[j : last_b + 1]]
-            i, j = last_a + 1, last_b + 1
-            groups.append(f"{','.join(map(str, a_ids[first_a:i]))}|{','.join(map(str, b_ids[first_b:j]))}")
-        return len(a_ids), len(b_ids), len(groups), ";".join(groups), links
-
-    def align(self, units: list[str]) -> list[tuple | None]:
+    def _encoded(self, units: list[str]) -> Iterator[Unit | None]:
+        """The alignment of each unit, in order. Units that end in white space stand alone,
+        as a space behind them would be no cut; so do those of a text that fails as a whole."""
+        some, size = [], 0
+        for unit in [*units, ""]:
+            if some and (not unit or size + len(unit) > JOIN_CHARS or some[-1][-1].isspace()):
+                found = self._joined(some)
+                if found is None and len(some) > 1:
+                    found = [one[0] if (one := self._joined([u])) else None for u in some]
+                yield from found or [None]
+                some, size = [], 0
+            some.append(unit)
+            size += len(unit)
+
+    def align(self, units: list[str]) -> list[Unit | None]:
         """The alignment of each different unit, from the memo or made now."""
-        out: list = [0] * len(units)
+        new, old = self.new, self.old
+        out = [new.get(unit, 0) for unit in units]
         fresh = []
         for k, unit in enumerate(units):
-            if unit in self.new:
-                out[k] = self.new[unit]
-            elif unit in self.old:
-                out[k] = self.new[unit] = self.old[unit]
-            else:
-                fresh.append(k)
-        for low in range(0, len(fresh), 4096):
-            some = fresh[low : low + 4096]
-            texts = [units[k] for k in some]
-            a = self.a.encode_batch(texts, add_special_tokens=False)
-            b = self.b.encode([text[1:] for text in texts], return_type="proto", num_threads=1)
-            for k, own_a, own_b in zip(some, a, b):
-                out[k] = self._one(units[k], own_a, own_b)
-                if len(units[k]) <= MEMO_CHARS:
-                    self.new[units[k]] = out[k]
-            if len(self.new) > self.memo:  # units not met for a whole round go
-                self.old, self.new = self.new, {}
+            if out[k] == 0:
+                if unit in old:
+                    out[k] = new[unit] = old[unit]
+                else:
+                    fresh.append(k)
+        for k, found in zip(fresh, self._encoded([units[k] for k in fresh])):
+            out[k] = found
+            if len(units[k]) <= MEMO_CHARS:
+                new[units[k]] = found
+        if len(new) > self.memo:  # units not met for a whole round go
+            self.old, self.new = new, {}
         return out
 
-    def documents(self, texts: list[str | None]) -> list[tuple]:
-        """(n_a, n_b, n_groups, n_links, digest, pairs, times) of each text."""
-        numbers: dict[str, int] = {}
-        own = []
-        for text in texts:
-            units = self.unit.findall(" " + text) if text else ()
-            own.append(np.fromiter((numbers.setdefault(u, len(numbers)) for u in units), np.int64, len(units)))
+    def documents(self, texts: list[str | None]) -> tuple[list[list], np.ndarray, np.ndarray, np.ndarray]:
+        """Columns n_a, n_b, n_groups, n_links and digest of the texts; where the pairs of
+        each begin, the linked pairs, and how often each is linked there."""
+        numbers = _Numbers()
+        own = [list(map(numbers.__getitem__, self.unit.findall(" " + text))) if text else [] for text in texts]
         found = self.align(list(numbers))
-        empty = (0, 0, 0, 0, "", [], [])
-        out = []
-        for units in own:
-            rows = [found[u] for u in units.tolist()]
-            if not rows or None in rows:
-                out.append(empty)
-                continue
-            pairs, times = np.unique(np.fromiter((p for row in rows for p in row[4]), np.int64), return_counts=True)
-            digest = hashlib.sha256(";".join([row[3] for row in rows]).encode()).hexdigest()
-            counts = [sum(row[i] for row in rows) for i in range(3)]
-            out.append((*counts, int(times.sum()), digest, pairs, times.astype(np.int32)))
-        return out
+        bad = {k for k, unit in enumerate(found) if unit is None}
+        if bad:
+            own = [[] if not bad.isdisjoint(units) else units for units in own]
+            found = [unit or (0, 0, 0, "", b"") for unit in found]
+        flat = np.fromiter(chain.from_iterable(own), np.int64)
+        text_of = np.repeat(np.arange(len(own)), [len(units) for units in own])
+        counts = np.array([unit[:3] for unit in found], np.int64).reshape(-1, 3)
+        sums = [np.bincount(text_of, counts[flat, c], len(own)).astype(np.int64).tolist() for c in range(3)]
+        names = [unit[3] for unit in found]
+        digests = [
+            hashlib.sha256("".join([names[k] for k in units])[:-1].encode()).hexdigest() if units else ""
+            for units in own
+        ]
+        # The links of each unit, of each text.
+        links = np.frombuffer(b"".join([unit[4] for unit in found]), np.int64)
+        stops = np.cumsum(counts[:, 2])
+        times = counts[flat, 2]
+        before = np.cumsum(times) - times
+        at = np.repeat(stops[flat] - times - before, times) + np.arange(times.sum())
+        linked_by = np.repeat(text_of, times)
+        order = np.lexsort((links[at], linked_by))
+        pairs, texts_of = links[at][order], linked_by[order]
+        first = np.flatnonzero(np.diff(pairs, prepend=-1).astype(bool) | np.diff(texts_of, prepend=-1).astype(bool))
+        begins = np.searchsorted(texts_of[first], np.arange(len(own) + 1))
+        return [*sums, sums[2], digests], begins, pairs[first], np.diff(first, append=len(pairs))
 
 
 @lru_cache(maxsize=1)
@@ -212,16 +260,14 @@ def aligned(documents: DataFrame, byte_level: str, pieces: str, memo: int = MEMO
             ids, numbers = batch.column("doc_id"), batch.column("row")
             texts = batch.column("text").to_pylist()
             for part in _batches(texts):
-                n_a, n_b, groups, links, digests, pairs, times = zip(*aligner.documents(texts[part]))
-                size = part.stop - part.start
-                at = np.concatenate([[0], np.cumsum([len(p) for p in pairs])]).astype(np.int32)
-                flat = lambda lists, kind: np.concatenate([np.asarray(x, kind) for x in lists])
+                columns, begins, pairs, times = aligner.documents(texts[part])
+                size, at = part.stop - part.start, pa.array(begins, pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids.slice(part.start, size), numbers.slice(part.start, size),
-                        *[pa.array(x, pa.int64()) for x in (n_a, n_b, groups, links)], pa.array(digests, pa.string()),
-                        pa.ListArray.from_arrays(at, pa.array(flat(pairs, np.int64))),
-                        pa.ListArray.from_arrays(at, pa.array(flat(times, np.int32))),
+                        *[pa.array(x, pa.int64()) for x in columns[:4]], pa.array(columns[4], pa.string()),
+                        pa.ListArray.from_arrays(at, pa.array(pairs, pa.int64())),
+                        pa.ListArray.from_arrays(at, pa.array(times, pa.int32())),
                     ],
                     names=["doc_id", "row", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs", "times"],
                 )
