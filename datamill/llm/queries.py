@@ -258,6 +258,40 @@ def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+OP12_SQL = r"""
+with docs as (
+  select doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as w from documents
+), spoken as (
+  select doc_id, w, len(w)::bigint as n from docs where len(w) > 0
+), total as (
+  select count(*)::bigint as docs, sum(n)::bigint as terms from spoken
+), tf as (
+  select doc_id, n, t, count(*)::bigint as tf from (select doc_id, n, unnest(w) as t from spoken) group by all
+), weights as (
+  select t, floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1)))::bigint as weight from tf, total group by t
+), wanted as (
+  select item_id, t, count(*)::bigint as times from (
+    select item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as t from benchmark) group by all
+), scored as (
+  select item_id, doc_id,
+    sum(times * weight * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // terms))))::bigint as score
+  from wanted join weights using (t) join tf using (t), total group by item_id, doc_id
+)
+select item_id, rank::integer as rank, doc_id, score from (
+  select *, row_number() over (partition by item_id order by score desc, doc_id) as rank from scored where score > 0)
+where rank <= 20
+"""
+
+
+@query("op12_ranked_search", OP12_SQL)
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from datamill.llm.treap import rank_documents
+
+    return rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op13_tokenizer_alignment")
 def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     from datamill.llm.alignment import align_tokenizers
