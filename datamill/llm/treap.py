@@ -100,6 +100,10 @@ class Treap:
         """Columns and scores of the `k` best documents with a score above 0, equal scores by
         ascending rank in `ids`."""
         columns, scores = np.empty(0, np.int64), np.empty(0, np.int64)
+        inside = rows >> self.levels == 0  # rows beyond the last one that has a cell
+        rows, weights = rows[inside], weights[inside]
+        if not len(rows):
+            return columns, scores
         least = 1  # the lowest bound that can still matter
         level = np.array([self.levels])
         start = np.zeros(1, np.int64)
