@@ -5,15 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterable
 from typing import NamedTuple
 
-import numpy as np
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Interaction
-from pyspark.ml.linalg import Vectors
-from pyspark.mllib.linalg.distributed import RowMatrix
-from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from datamill.functions.text import STOP_WORDS, kept_terms
+from datamill.operators.lowrank import decompose, place_rows, whole_rows
 from datamill.operators.ranking import top_per_group
 from datamill.operators.skew import lookup
 from datamill.session import cut, persisted
@@ -63,8 +59,10 @@ def vocabulary(doc_frequencies: DataFrame, num_terms: int) -> DataFrame:
     """The `num_terms` terms found in most documents, ties in term order.
 
     The frequency of the last one is found from the number of terms per frequency, so only
-    terms that tie with it are ordered.
+    terms that tie with it are ordered. The frequencies are written out, as both that and the
+    result read them.
     """
+    doc_frequencies = cut(doc_frequencies)
     sizes = doc_frequencies.groupBy("df").agg(F.count(F.lit(1)).alias("n"))
     above = F.sum("n").over(Window.orderBy(F.desc("df")).rowsBetween(Window.unboundedPreceding, -1))
     sizes = sizes.withColumn("above", F.coalesce(above, F.lit(0))).filter(F.col("above") < num_terms)
@@ -106,17 +104,16 @@ class Concepts(NamedTuple):
     docs: DataFrame | None
 
 
-def doc_vectors(terms: DataFrame, vocab: list[str], idf: list[float]) -> DataFrame:
-    """Sparse tf-idf vectors over the vocabulary, made by MLlib transformers in the JVM."""
-    counts = CountVectorizerModel.from_vocabulary(vocab, inputCol="terms", outputCol="counts")
-    scaled = Interaction(inputCols=["scale", "counts"], outputCol="scaled")
-    weighted = ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol="scaled", outputCol="vector")
-    rows = terms.withColumn("scale", F.lit(1.0) / F.size("terms"))
-    return weighted.transform(scaled.transform(counts.transform(rows))).select("doc", "vector")
-
-
-# A task of the decomposition takes about so many document-term entries in every pass.
-ENTRIES_PER_TASK = 2_000_000
+def weight_entries(terms: DataFrame, num_terms: int) -> tuple[DataFrame, DataFrame, int]:
+    """The document-term weights as entries (row, column, value), the vocabulary
+    (term, df, term_id, idf), whose ids are the columns, and the number of entries."""
+    frequencies = cut(term_frequency(terms))
+    sizes = frequencies.agg(F.count(F.lit(1)).alias("entries"), F.count_distinct("doc").alias("docs")).first()
+    vocab = term_ids(vocabulary(doc_frequency(frequencies), num_terms))
+    idf = cut(inverse_doc_frequency(vocab, sizes.docs))
+    weights = tf_idf(frequencies, idf)
+    entries = weights.select(F.col("doc").alias("row"), F.col("term_id").alias("column"), F.col("weight").alias("value"))
+    return entries, idf, sizes.entries
 
 
 def latent_concepts(
@@ -125,50 +122,35 @@ def latent_concepts(
 ) -> Concepts:
     """Truncated singular value decomposition of the document-term weights.
 
-    Only the vocabulary and the k term vectors reach the driver; their size is set by the
-    parameters. Document weights U = A·V/s come from the distributed rows. The terms are
-    written out once, since frequencies, weights and vectors all read them. The solver passes
-    over the rows hundreds of times, so they are kept in as many parts as their entries fill.
+    Only the k term vectors and the block they come from reach the driver; their size is set
+    by the parameters. Document weights U = A·V/s are made where a document's weights are.
     """
     spark = terms.sparkSession
     num_concepts = min(num_concepts or k, k)
-    terms = cut(terms)
-    frequencies = cut(term_frequency(terms))
-    vocab = term_ids(vocabulary(doc_frequency(frequencies), num_terms))
-    idf = cut(inverse_doc_frequency(vocab, terms.count()))
-    table = idf.select("term", "term_id", "idf").orderBy("term_id").toPandas()
-    parts = -(-frequencies.count() // ENTRIES_PER_TASK)
-    vectors = MLUtils.convertVectorColumnsFromML(
-        doc_vectors(terms, list(table.term), list(table.idf)), "vector"
-    ).select("vector")
-    with persisted(vectors.coalesce(max(parts, 1))) as (rows,):
-        svd = RowMatrix(rows).computeSVD(k, computeU=False)
-        values, loadings = svd.s.toArray(), svd.V.toArray()
-    # The sign of a singular pair is free: make the largest entry of each concept positive.
-    largest = np.abs(loadings).argmax(axis=0)
-    loadings = loadings * np.sign(loadings[largest, np.arange(loadings.shape[1])])
-    num_concepts = min(num_concepts, len(values))
-
-    singular = spark.createDataFrame(list(enumerate(values.tolist())), "concept bigint, singular_value double")
-    if not (place_terms or place_docs):
-        return Concepts(singular, None, None)
-    # One row per term, so the session needs no Arrow to take it in.
-    projection = spark.createDataFrame(
-        list(zip(table.term, loadings[:, :num_concepts].tolist())), "term string, row array<double>"
-    )
-    opened = projection.select("term", F.posexplode("row").alias("concept", "weight"))
-    term_weights = opened.withColumn("concept", F.col("concept").cast("bigint")) if place_terms else None
-    if not place_docs:
-        return Concepts(singular, term_weights, None)
-    weights = tf_idf(frequencies, idf)
-    placed = lookup(weights.select("doc", "term", "weight"), projection, "term", how="inner", spread=["doc"], probe=frequencies)
-    sums = [F.sum(F.col("weight") * F.col("row")[c]).alias(f"c{c}") for c in range(num_concepts)]
-    wide = placed.groupBy("doc").agg(*sums)
-    packed = F.array(*[
-        F.struct(F.lit(c).cast("bigint").alias("concept"), (F.col(f"c{c}") / F.lit(float(values[c]))).alias("weight"))
-        for c in range(num_concepts)
-    ])
-    return Concepts(singular, term_weights, wide.select("doc", F.inline(packed)))
+    entries, idf, total = weight_entries(terms, num_terms)
+    with persisted(whole_rows(entries, total)) as (rows,):
+        values, loadings = decompose(rows, idf.count(), k)
+        num_concepts = min(num_concepts, len(values))
+        docs = None
+        if place_docs:
+            placed = place_rows(rows, loadings[:, :num_concepts] / values[:num_concepts])
+            docs = cut(placed.select(F.col("row").alias("doc"), "weights"))
+
+    schema = "concept bigint, singular_value double"
+    singular = spark.createDataFrame(list(enumerate(values.tolist())), schema)
+    opened = F.posexplode("weights").alias("concept", "weight")
+    concept = F.col("concept").cast("bigint").alias("concept")
+    term_weights = None
+    if place_terms:
+        # One row per term, so the session needs no Arrow to take it in.
+        by_id = spark.createDataFrame(
+            list(enumerate(loadings[:, :num_concepts].tolist())), "term_id bigint, weights array<double>"
+        )
+        named = idf.select("term", "term_id").join(by_id, "term_id")
+        term_weights = named.select("term", opened).select("term", concept, "weight")
+    if docs is not None:
+        docs = docs.select("doc", opened).select("doc", concept, "weight")
+    return Concepts(singular, term_weights, docs)
 
 
 def top_terms(concepts: Concepts, n: int) -> DataFrame:

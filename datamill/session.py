@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 from collections.abc import Iterator
 from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -59,6 +61,20 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, so that operators
+    with Python tasks also run where it is not installed on the executors."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        package = Path(__file__).resolve().parent
+        folder = tempfile.mkdtemp(prefix="datamill-code-")
+        context.addPyFile(shutil.make_archive(f"{folder}/{package.name}", "zip", package.parent, package.name))
+        _SHIPPED.add(context.applicationId)
+
+
 @contextmanager
 def persisted(*frames: DataFrame) -> Iterator[tuple[DataFrame, ...]]:
     """Keep frames in memory, spilling to disk, while the block uses them repeatedly."""

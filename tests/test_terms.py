@@ -7,7 +7,9 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from datamill.functions import text as words
+from datamill.operators import lowrank
 from datamill.operators import terms as ops
+from datamill.plans import concepts
 
 TEXTS = [
     (1, "The Cat sat; the cat, abc123 won't run 42 cats!"),
@@ -94,3 +96,65 @@ def test_concepts_without_arrow(spark):
         assert found.docs.select("doc").distinct().count() == 12
     finally:
         spark.conf.set(key, before)
+
+
+def entries_of(spark, matrix):
+    at = [(int(r), int(c), float(matrix[r, c])) for r, c in zip(*np.nonzero(matrix))]
+    return lowrank.whole_rows(spark.createDataFrame(at, "row bigint, column bigint, value double"), len(at))
+
+
+def test_product_with_the_gram_matrix(spark):
+    rng = np.random.default_rng(3)
+    matrix = rng.random((300, 1100)) * (rng.random((300, 1100)) < 0.05)
+    block = rng.standard_normal((1100, 7))
+    assert np.allclose(lowrank.times_gram(entries_of(spark, matrix), block), matrix.T @ (matrix @ block))
+
+
+def test_decomposition_of_a_wide_matrix(spark):
+    """Blocks far smaller than the matrix: values, and how well each pair solves AᵀAv = s²v."""
+    rng = np.random.default_rng(5)
+    matrix = rng.standard_normal((150, 40)) * 0.8 ** np.arange(40) @ rng.standard_normal((40, 400))
+    matrix += 0.01 * rng.standard_normal(matrix.shape)
+    found = lowrank.decompose(entries_of(spark, matrix), 400, k=10, spare=5)
+    values = np.linalg.svd(matrix, compute_uv=False)[:10]
+    assert np.allclose(found.values, values, rtol=1e-2) and np.allclose(found.values[:4], values[:4], rtol=1e-4)
+    assert np.allclose(found.vectors.T @ found.vectors, np.eye(10), atol=1e-9)
+    off = matrix.T @ (matrix @ found.vectors) - found.vectors * found.values**2
+    assert (np.linalg.norm(off, axis=0)[:4] < 0.02 * found.values[:4] ** 2).all()
+    placed = {r.row: r.weights for r in lowrank.place_rows(entries_of(spark, matrix), found.vectors / found.values).collect()}
+    u = np.array([placed[i] for i in sorted(placed)])
+    assert np.allclose(u * found.values, matrix[sorted(placed)] @ found.vectors)
+    assert np.allclose(np.diag(u.T @ u), 1)
+
+
+def test_decomposition_of_a_small_rank(spark):
+    matrix = np.outer([1.0, 2.0, 0.0, 3.0], np.arange(1, 201.0))
+    found = lowrank.decompose(entries_of(spark, matrix), 200, k=5, spare=3)
+    assert len(found.values) == 1 and np.allclose(found.values, np.linalg.svd(matrix, compute_uv=False)[:1])
+
+
+def test_rows_are_cut_at_row_ends(spark, monkeypatch):
+    monkeypatch.setattr(lowrank, "AT_ONCE", 5)
+    rng = np.random.default_rng(8)
+    matrix = rng.random((40, 30)) * (rng.random((40, 30)) < 0.4)
+    block = rng.standard_normal((30, 3))
+    assert np.allclose(lowrank.times_gram(entries_of(spark, matrix), block), matrix.T @ (matrix @ block))
+
+
+def test_concepts_of_the_documents(spark):
+    """The leading values of the whole table beside a dense decomposition."""
+    kept = concepts.kept(spark, "/root/testdata/sf0.001")
+    entries, idf, total = ops.weight_entries(kept, 3000)
+    rows = entries.toPandas()
+    docs = {d: i for i, d in enumerate(sorted(set(rows["row"])))}
+    matrix = np.zeros((len(docs), idf.count()))
+    matrix[rows["row"].map(docs), rows["column"]] = rows["value"]
+    found = lowrank.decompose(lowrank.whole_rows(entries, total), idf.count(), k=20, spare=10)
+    values = np.linalg.svd(matrix, compute_uv=False)[:20]
+    assert np.allclose(found.values[:10], values[:10], rtol=1e-3) and np.allclose(found.values, values, rtol=2e-2)
+
+
+def test_empty_collection_has_no_concepts(spark):
+    none = spark.createDataFrame([], "doc bigint, terms array<string>")
+    found = ops.latent_concepts(none, 10, 2)
+    assert found.singular_values.count() == found.terms.count() == found.docs.count() == 0
