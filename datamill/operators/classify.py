@@ -12,7 +12,9 @@ from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from datamill.session import ensure_checkpoint_dir, persisted
+from datamill.functions.numbers import score_block
+from datamill.operators.ranking import running_total
+from datamill.session import cut, ensure_checkpoint_dir, persisted
 
 
 def labelled_features(df: DataFrame, features: Sequence[str], class_number: str, *keep: str) -> DataFrame:
@@ -94,6 +96,95 @@ def majority_class(train: DataFrame, group: Sequence[str], label: str = "label")
 # --- trees ---------------------------------------------------------------------------------
 
 
+def bin_histogram(rows: DataFrame, features: Sequence[str], label: str, bins: int) -> DataFrame:
+    """Class counts per bin of each feature: (feature, bin, label, n, low, high), `low` and
+    `high` being the bin's smallest and largest value.
+
+    A feature of at most `bins` different values has a bin for each; others have about equal
+    numbers of rows per bin, and equal values are never parted. Rows are counted per value
+    before the shuffle, and the running totals over values are taken by score block, so no
+    task orders a whole feature. Null and NaN values have no bin.
+    """
+    cells = F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("value")) for f in features]))
+    long = rows.select(cells.alias("c"), F.col(label).cast("double").alias("label")).select("c.feature", "c.value", "label")
+    # 0.0 + value makes -0.0 the same value as 0.0.
+    long = long.filter("value is not null and not isnan(value) and label is not null").withColumn("value", F.lit(0.0) + F.col("value"))
+    counts = cut(long.groupBy("feature", "value", "label").agg(F.count(F.lit(1)).alias("n")))
+    values = counts.groupBy("feature", "value").agg(F.sum("n").alias("n")).withColumns(
+        {"block": score_block(F.col("value"), 16), "one": F.lit(1).cast("bigint")}
+    )
+    ranked = running_total(values, ["feature"], ["value"], "n", "upto", "block")
+    ranked = running_total(ranked, ["feature"], ["value"], "one", "place", "block")
+    sizes = values.groupBy("feature").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("different"))
+    number = F.when(F.col("different") <= bins, F.col("place") - 1).otherwise(
+        F.expr(f"((upto - n) * {int(bins)}) div total")
+    )
+    # One row per feature.
+    placed = ranked.join(F.broadcast(sizes), "feature").select("feature", "value", number.alias("bin"))
+    joined = counts.join(placed, ["feature", "value"])
+    return joined.groupBy("feature", "bin", "label").agg(
+        F.sum("n").alias("n"), F.min("value").alias("low"), F.max("value").alias("high")
+    )
+
+
+# Impurity of class counts c of a node of n rows: 1 - Σ c²/n², or ln n - Σ c·ln c / n. Both need
+# the sum of a term per class only.
+IMPURITY_TERMS = {
+    "gini": lambda c: c.cast("double") * c,
+    "entropy": lambda c: F.when(c > 0, c * F.log(c.cast("double"))).otherwise(0.0),
+}
+IMPURITIES = {
+    "gini": lambda terms, n: 1 - terms / (n.cast("double") * n),
+    "entropy": lambda terms, n: (F.log(n.cast("double")) - terms / n) / F.log(F.lit(2.0)),
+}
+
+
+def split_gains(histogram: DataFrame, impurity: str = "gini") -> DataFrame:
+    """What a split behind each bin gains: (feature, bin, threshold, n_left, n_right, gain).
+
+    The threshold lies half-way between the bin's largest value and the next one's smallest.
+    Sums per class run over a class's own bins only: a bin adds to Σ term(count so far) what
+    the counts of its classes change there, so absent classes need no rows.
+    """
+    term, worth = IMPURITY_TERMS[impurity], IMPURITIES[impurity]
+    own = Window.partitionBy("feature", "label").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy("feature", "label")
+    upto, all_ = F.sum("n").over(own), F.sum("n").over(whole)
+    steps = histogram.withColumns({"upto": upto, "all": all_}).select(
+        "feature", "bin", "n", "low", "high",
+        (term(F.col("upto")) - term(F.col("upto") - F.col("n"))).alias("left"),
+        (term(F.col("all") - F.col("upto")) - term(F.col("all") - F.col("upto") + F.col("n"))).alias("right"),
+        F.when(F.col("upto") == F.col("n"), term(F.col("all"))).otherwise(0.0).alias("whole"),
+    )
+    bins = steps.groupBy("feature", "bin").agg(
+        *[F.sum(c).alias(c) for c in ("n", "left", "right", "whole")], F.min("low").alias("low"), F.max("high").alias("high")
+    )
+    # From here a feature has at most `bins` + 1 rows.
+    along = Window.partitionBy("feature").orderBy("bin")
+    before, every = along.rowsBetween(Window.unboundedPreceding, 0), Window.partitionBy("feature")
+    ran = bins.select(
+        "feature", "bin", ((F.col("high") + F.lead("low").over(along)) / 2).alias("threshold"),
+        F.sum("n").over(before).alias("n_left"), F.sum("n").over(every).alias("n"),
+        F.sum("left").over(before).alias("left"), F.sum("right").over(before).alias("right"), F.sum("whole").over(every).alias("whole"),
+    ).filter("threshold is not null")
+    n, n_left = F.col("n"), F.col("n_left")
+    n_right = n - n_left
+    below = worth(F.col("left"), n_left) * n_left + worth(F.col("whole") + F.col("right"), n_right) * n_right
+    gain = worth(F.col("whole"), n) - below / n
+    return ran.select("feature", "bin", "threshold", "n_left", n_right.alias("n_right"), gain.alias("gain"))
+
+
+def best_split(
+    rows: DataFrame, features: Sequence[str], label: str = "label", bins: int = 100, impurity: str = "gini"
+) -> DataFrame:
+    """The best split of each feature, best first: the root a tree of depth 1 would take. Of
+    splits that gain the same the lowest threshold is taken."""
+    gains = split_gains(bin_histogram(rows, features, label, bins), impurity)
+    first = Window.partitionBy("feature").orderBy(F.desc(F.round("gain", 12)), "bin")
+    best = gains.withColumn("_place", F.row_number().over(first)).filter("_place = 1")
+    return best.select("feature", "threshold", "n_left", "n_right", "gain").orderBy(F.desc("gain"), "feature")
+
+
 class TreeSetting(NamedTuple):
     impurity: str
     depth: int

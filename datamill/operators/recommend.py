@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import itertools
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from typing import NamedTuple
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
-from datamill.functions.buckets import bucket
+from datamill.functions.buckets import BUCKETS, bucket
 from datamill.functions.numbers import score_block
 from datamill.operators.ranking import number_keys, running_total
 from datamill.operators.skew import hot_keys, lookup
@@ -270,6 +272,91 @@ def recommendation_lines(picks: DataFrame) -> DataFrame:
     return lists.select("user", F.concat(F.col("user").cast("string"), F.lit(" -> "), items).alias("line"))
 
 
+# --- one half step, as a check of the solver and a way to fold in new users --------------------
+
+
+def hashed_factors(keys: DataFrame, key: str, rank: int) -> DataFrame:
+    """(key, factor): `rank` numbers from 0 up to 1 per key, made from hashes of it."""
+    values = [bucket(F.col(key), f"factor{i}") / F.lit(float(BUCKETS)) for i in range(rank)]
+    return keys.select(key, F.array(*values).alias("factor"))
+
+
+def _products(rank: int) -> list[tuple[int, int]]:
+    """The cells on and below the diagonal of a symmetric matrix, row by row."""
+    return [(i, j) for i in range(rank) for j in range(i + 1)]
+
+
+def factor_gram(factors: DataFrame, rank: int) -> list[float]:
+    """The lower cells of Σ y·yᵀ over all factors y; one row of sums reaches the driver."""
+    y = F.col("factor")
+    sums = factors.agg(*[F.sum(y[i] * y[j]) for i, j in _products(rank)]).first()
+    return [value or 0.0 for value in sums]
+
+
+def normal_equations(
+    ratings: DataFrame, factors: DataFrame, rank: int, reg: float, alpha: float, probe: DataFrame | None = None
+) -> DataFrame:
+    """Per user the equations A·x = b of its implicit-feedback factor, given those of the
+    items: (user, cells, sums), `cells` being A's lower ones and `sums` b.
+
+    Σ y·yᵀ over all items, plus α·|r|·y·yᵀ over the user's, plus λ times its positive ratings
+    on the diagonal; b adds (1 + α·|r|)·y where r > 0. Items without a factor add nothing. The
+    sums are partial before the shuffle, so a user with many ratings is no hot key.
+    """
+    gram = factor_gram(factors, rank)
+    rows = lookup(ratings, factors, "item", "inner", spread=["user"], probe=probe)
+    y, trust, liked = F.col("factor"), F.lit(float(alpha)) * F.abs("rating"), F.col("rating") > 0
+    cells = [F.sum(trust * y[i] * y[j]).alias(f"a{i}_{j}") for i, j in _products(rank)]
+    sums = [F.sum(F.when(liked, (1 + trust) * y[i]).otherwise(0.0)).alias(f"b{i}") for i in range(rank)]
+    per_user = rows.groupBy("user").agg(*cells, *sums, F.sum(liked.cast("double")).alias("liked"))
+    whole = [
+        F.col(f"a{i}_{j}") + F.lit(gram[n]) + (F.lit(float(reg)) * F.col("liked") if i == j else F.lit(0.0))
+        for n, (i, j) in enumerate(_products(rank))
+    ]
+    return per_user.select("user", F.array(*whole).alias("cells"), F.array(*[f"b{i}" for i in range(rank)]).alias("sums"))
+
+
+def solve_equations(equations: DataFrame, rank: int) -> DataFrame:
+    """(user, factor): the solutions, whole batches of users at a time. A system without a
+    single solution gets the shortest of the best ones."""
+    products = _products(rank)
+    kind = equations.schema["user"].dataType.simpleString()
+
+    def solved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_rows
+            cells = batch.column("cells").flatten().to_numpy().reshape(n, len(products))
+            sums = batch.column("sums").flatten().to_numpy().reshape(n, rank)
+            whole = np.empty((n, rank, rank))
+            for at, (i, j) in enumerate(products):
+                whole[:, i, j] = whole[:, j, i] = cells[:, at]
+            try:
+                factors = np.linalg.solve(whole, sums[..., None])[..., 0]
+            except np.linalg.LinAlgError:
+                factors = (np.linalg.pinv(whole, hermitian=True) @ sums[..., None])[..., 0]
+            at = pa.array(np.arange(0, (n + 1) * rank, rank, dtype=np.int32))
+            lists = pa.ListArray.from_arrays(at, pa.array(factors.ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column("user"), lists], names=["user", "factor"])
+
+    return equations.mapInArrow(solved, f"user {kind}, factor array<double>")
+
+
+def half_step(
+    ratings: DataFrame, factors: DataFrame, rank: int, reg: float, alpha: float, probe: DataFrame | None = None
+) -> DataFrame:
+    """(user, factor): the best user factors for given item factors (item, factor), which is
+    one half step of the factor model's training. `ratings` has one row per user and item."""
+    return solve_equations(normal_equations(ratings, factors, rank, reg, alpha, probe), rank)
+
+
+def pair_scores(pairs: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
+    """Score (user, item) rows by the product of their factors; pairs without one drop out."""
+    rows = lookup(pairs, users.withColumnRenamed("factor", "_x"), "user", "inner", spread=["item"], probe=pairs)
+    rows = lookup(rows, items.withColumnRenamed("factor", "_y"), "item", "inner", spread=["user"], probe=pairs)
+    product = F.aggregate(F.zip_with("_x", "_y", lambda x, y: x * y), F.lit(0.0), lambda total, term: total + term)
+    return rows.select(*pairs.columns, product.alias("score"))
+
+
 FULL_GRID = [Setting(*values) for values in itertools.product([10, 50], [1.0, 0.0001], [1.0, 40.0])]
 
 

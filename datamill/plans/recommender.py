@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from datamill.functions.buckets import BUCKETS
 from datamill.operators import recommend as rec
 from datamill.operators import sampling
 from datamill.plans.registry import query
@@ -170,6 +171,59 @@ def als_train_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rec.factor_table(rec.train_factors(ratings(spark, sf_dir)))
 
 
+STEP_RANK, STEP_REG, STEP_ALPHA = 2, 0.01, 1.0
+
+HALF_STEP_SQL = f"""
+    r as materialized (select "user", item, sum(rating) as rating from ({RATINGS_SQL}) group by all),
+    y as materialized (
+        select item, {sql_bucket('item', 'factor0')} / {BUCKETS}.0::double as y0,
+               {sql_bucket('item', 'factor1')} / {BUCKETS}.0::double as y1
+        from (select distinct item from r)),
+    gram as (select sum(y0 * y0) as g00, sum(y1 * y0) as g10, sum(y1 * y1) as g11 from y),
+    sums as (
+        select "user", sum({STEP_ALPHA} * rating * y0 * y0) as a00, sum({STEP_ALPHA} * rating * y1 * y0) as a10,
+               sum({STEP_ALPHA} * rating * y1 * y1) as a11, sum((1 + {STEP_ALPHA} * rating) * y0) as b0,
+               sum((1 + {STEP_ALPHA} * rating) * y1) as b1, {STEP_REG} * count(*) as ridge
+        from r join y using (item) group by "user"),
+    system as (
+        select "user", a00 + g00 + ridge as p, a10 + g10 as q, a11 + g11 + ridge as s, b0, b1 from sums, gram),
+    half_step as (
+        select "user", (s * b0 - q * b1) / (p * s - q * q) as x0, (p * b1 - q * b0) / (p * s - q * q) as x1
+        from system)
+"""
+
+
+def step(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Hashed item factors and the user factors that fit them best."""
+    rows = cut(rec.sum_ratings(ratings(spark, sf_dir)))
+    items = cut(rec.hashed_factors(rows.select("item").distinct(), "item", STEP_RANK))
+    return items, rec.half_step(rows, items, STEP_RANK, STEP_REG, STEP_ALPHA)
+
+
+@query(
+    "als_half_step",
+    f'with {HALF_STEP_SQL} select "user", round(x0, 6) as x0, round(x1, 6) as x1 from half_step',
+)
+def als_half_step(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """User factors of rank 2 for hashed item factors, solved from each user's sums."""
+    _, users = step(spark, sf_dir)
+    return users.select("user", *[F.round(F.col("factor")[i], 6).alias(f"x{i}") for i in range(STEP_RANK)])
+
+
+@query(
+    "als_half_step_scores",
+    f"""with {HALF_STEP_SQL}
+    select "user", item, round(x0 * y0 + x1 * y1, 6) as score
+    from r join y using (item) join half_step using ("user")""",
+)
+def als_half_step_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What those factors predict for every pair that was rated."""
+    items, users = step(spark, sf_dir)
+    pairs = rec.sum_ratings(ratings(spark, sf_dir)).select("user", "item")
+    scored = rec.pair_scores(pairs, cut(users), items)
+    return scored.withColumn("score", F.round("score", 6))
+
+
 @query("als_predict")
 def als_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, held_out, _ = splits(spark, sf_dir)

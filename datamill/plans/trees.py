@@ -170,6 +170,64 @@ def tree_grid_categorical(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+SPLIT_BINS = 100
+
+
+def split_sql(impurity: str) -> str:
+    """Every split point of every feature judged from the class counts on both sides."""
+    long = " union all ".join(f"select '{c}' as feature, {c}::double as value, label from r where split = 0" for c in NUMERIC)
+    if impurity == "gini":
+        worth = lambda side: f"1 - sum(power({side}::double / n_{side}, 2))"
+    else:
+        worth = lambda side: f"-sum(case when {side} > 0 then {side} / n_{side} * log2({side} / n_{side}) else 0 end)"
+    return f"""with {SPLIT_SQL}, long as ({long}),
+    by_value as (
+        select *, sum(n) over (partition by feature order by value) - n as before, sum(n) over (partition by feature) as total,
+               row_number() over (partition by feature order by value) as place, count(*) over (partition by feature) as different
+        from (select feature, value, count(*) as n from long group by all)),
+    binned as (
+        select feature, value,
+               cast(case when different <= {SPLIT_BINS} then place - 1 else before * {SPLIT_BINS} // total end as bigint) as bin
+        from by_value),
+    edges as (
+        select feature, bin, (high + lead(low) over (partition by feature order by bin)) / 2 as threshold
+        from (select feature, bin, min(value) as low, max(value) as high from binned group by all)),
+    hist as (select feature, bin, label, count(*) as n from long join binned using (feature, value) group by all),
+    sides as (
+        select e.feature, e.bin, threshold, label, sum(case when h.bin <= e.bin then n else 0 end) as lft, sum(n) as whole
+        from edges e join hist h using (feature) where threshold is not null group by all),
+    judged as (
+        select *, whole - lft as rgt, sum(lft) over s as n_lft, sum(whole) over s as n_whole,
+               sum(whole) over s - sum(lft) over s as n_rgt
+        from sides window s as (partition by feature, bin)),
+    gains as (
+        select feature, bin, threshold, any_value(n_lft) as n_left, any_value(n_rgt) as n_right,
+               {worth('whole')} - (any_value(n_lft) * ({worth('lft')}) + any_value(n_rgt) * ({worth('rgt')})) / any_value(n_whole) as gain
+        from judged group by feature, bin, threshold)
+    select feature, threshold, n_left::bigint as n_left, n_right::bigint as n_right, round(gain, 9) as gain
+    from (select *, row_number() over (partition by feature order by round(gain, 12) desc, bin) as place from gains) where place = 1"""
+
+
+@query("best_split", split_sql("gini"))
+def best_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best split of each numeric feature of the training lines."""
+    found = trees.best_split(parts(spark, sf_dir)[0], NUMERIC, "label", SPLIT_BINS)
+    return found.withColumn("gain", F.round("gain", 9))
+
+
+@query("best_split_entropy", split_sql("entropy"))
+def best_split_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = trees.best_split(parts(spark, sf_dir)[0], NUMERIC, "label", SPLIT_BINS, "entropy")
+    return found.withColumn("gain", F.round("gain", 9))
+
+
+@query("tree_best")
+def tree_best(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accuracy of the chosen tree on the test vectors and on those known before."""
+    train, validation, test = vector_parts(spark, sf_dir)
+    return trees.best_tree(train, sampling.union_all(train, validation), test)
+
+
 FOREST = trees.TreeSetting("entropy", 30, 300)
 
 

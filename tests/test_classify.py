@@ -2,11 +2,15 @@ from __future__ import annotations
 
 import math
 
+import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from datamill.operators import classify as trees
 from datamill.operators import sampling
+from datamill.plans.standins import labelled_lines
+
+SF_DIR = "/root/testdata/sf0.001"
 
 
 def guesses(spark, rows):
@@ -69,3 +73,29 @@ def test_trees_learn_a_category(spark):
     assert best.test_accuracy == 1.0 and best.known_accuracy == 1.0
     forest = trees.train_forest(train, 5, trees.TreeSetting("entropy", 5, 40))
     assert trees.accuracy(forest.transform(test)) > 0.9
+
+
+@pytest.mark.parametrize("impurity", ["gini", "entropy"])
+def test_best_split_is_the_root_of_a_trained_tree(spark, impurity):
+    names = ["l_quantity", "l_discount", "l_tax"]  # few different values: both sides try every one
+    rows = trees.labelled_features(labelled_lines(spark, SF_DIR), names, "class_number", *names)
+    tree = trees.train_tree(rows, trees.TreeSetting(impurity, 1, 100))
+    root = tree._java_obj.rootNode()
+    first = trees.best_split(rows, names, "label", 100, impurity).first()
+    assert first.feature == names[root.split().featureIndex()]
+    assert math.isclose(first.threshold, root.split().threshold()) and math.isclose(first.gain, root.gain(), rel_tol=1e-6)
+
+
+def test_split_of_odd_values(spark):
+    rows = [(1.0, None, "x", 0.0), (-0.0, 2.0, "y", 0.0), (0.0, float("nan"), "z", 1.0), (5.0, 2.0, None, 1.0), (None, 2.0, "w", 1.0)]
+    df = spark.createDataFrame(rows, "a double, b double, bin string, label double")
+    found = {r.feature: r for r in trees.best_split(df, ["a", "b"]).collect()}
+    assert set(found) == {"a"}  # b has one value and so no split
+    assert (found["a"].n_left + found["a"].n_right) == 4 and found["a"].threshold == 3.0
+    assert trees.best_split(df.limit(0), ["a", "b"]).count() == 0
+
+
+def test_bins_of_many_values_have_like_sizes(spark):
+    df = spark.range(10_000).select(F.sqrt("id").alias("v"), (F.col("id") % 3).cast("double").alias("label"))
+    bins = trees.bin_histogram(df, ["v"], "label", 10).groupBy("bin").agg(F.sum("n").alias("n")).collect()
+    assert sorted(r.bin for r in bins) == list(range(10)) and all(r.n == 1000 for r in bins)

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -102,3 +103,30 @@ def test_ratings_without_a_user_or_an_item_drop_out(spark, taste):
     dense = rec.dense_ratings(taste.unionByName(odd))
     assert dense.users.count() == 60 and dense.items.count() == 40
     assert dense.rows.count() == taste.select("user", "item").distinct().count()
+
+
+def test_half_step_is_the_solvers(spark):
+    """The model's own user factors follow from its item factors, so the step must give them."""
+    rng = np.random.default_rng(4)
+    rows = [(u, i, float(rng.integers(1, 6))) for u in range(40) for i in range(30) if rng.random() < 0.3]
+    rows += [(100, 3, 2.0), (101, 4, -1.0), (101, 5, 3.0), (102, 999, 0.0)]
+    ratings = spark.createDataFrame(rows, "user int, item int, rating double")
+    for rank, reg, alpha in ((3, 0.1, 1.0), (5, 0.5, 40.0)):
+        factors = rec.train_factors(ratings, rank, 3, reg, alpha)
+        table = rec.factor_table(factors).withColumnRenamed("features", "factor").withColumn("factor", F.col("factor").cast("array<double>"))
+        items = table.filter("side = 'item'").select(F.col("id").alias("item"), "factor")
+        want = {r.id: r.factor for r in table.filter("side = 'user'").collect()}
+        got = {r.user: r.factor for r in rec.half_step(ratings, items, rank, reg, alpha).collect()}
+        assert all(np.allclose(got[u], want[u], rtol=2e-3, atol=2e-4) for u in want if u != 102)
+        scores = {(r.user, r.item): r.score for r in rec.factor_scores(factors)(ratings.select("user", "item")).collect()}
+        users = spark.createDataFrame(list(got.items()), "user int, factor array<double>")
+        mine = rec.pair_scores(ratings.select("user", "item"), users, items).collect()
+        assert all(abs(scores[r.user, r.item] - r.score) < 5e-3 for r in mine if (r.user, r.item) in scores)
+
+
+def test_half_step_without_a_single_solution(spark):
+    ratings = spark.createDataFrame([(1, 1, 2.0)], "user int, item int, rating double")
+    items = spark.createDataFrame([(1, [1.0, 1.0])], "item int, factor array<double>")
+    row = rec.half_step(ratings, items, 2, 0.0, 1.0).first()
+    assert np.allclose(row.factor, [0.5, 0.5])
+    assert rec.half_step(ratings.limit(0), items, 2, 0.0, 1.0).count() == 0
