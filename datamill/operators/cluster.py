@@ -2,21 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from typing import NamedTuple
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import IntegerType, StructType
 
-from datamill.functions.numbers import squared_distance
 from datamill.operators.sampling import bernoulli_sample
-from datamill.session import persisted
+from datamill.session import cut, persisted, ship
 
 
 # --- features ---------------------------------------------------------------------------------
@@ -95,24 +98,79 @@ def class_centres(df: DataFrame, point: str, label: str) -> DataFrame:
     return means.select(F.col(label).alias("cluster"), vector_to_array("mean").alias("centre"))
 
 
-def nearest_centre(df: DataFrame, point: str, centres: DataFrame) -> DataFrame:
+class Centres(NamedTuple):
+    """Named points, in the order of their names: the i-th row of `points` is `names[i]`."""
+
+    names: list
+    points: np.ndarray
+
+
+def centre_table(centres: DataFrame) -> Centres:
+    """The rows (cluster, centre). They are a model's parameters, k points in all."""
+    rows = sorted(centres.collect(), key=lambda row: row.cluster)
+    return Centres([row.cluster for row in rows], np.array([row.centre for row in rows], np.float64))
+
+
+# Products with centres are taken for so many of them at once.
+CELLS_AT_ONCE = 1 << 21
+# |x|² - 2xc + |c|² loses digits: nearer than this part of |x|² + |c|², distances are taken anew.
+SAME = 1e-9
+
+
+def _nearest(points: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row number of the nearest centre, the first on a tie, and the distance to it."""
+    own, squares = (points * points).sum(axis=1), (centres * centres).sum(axis=1)
+    spans = own[:, None] - 2 * (points @ centres.T) + squares
+    place = spans.argmin(axis=1)
+    rows = np.arange(len(points))
+    near = spans <= (spans[rows, place] + SAME * (own + squares.max()))[:, None]
+    for row in np.flatnonzero(near.sum(axis=1) > 1):
+        some = np.flatnonzero(near[row])
+        place[row] = some[((points[row] - centres[some]) ** 2).sum(axis=1).argmin()]
+    return place, np.sqrt(((points - centres[place]) ** 2).sum(axis=1))
+
+
+def _point_blocks(points: pa.Array, dims: int, rows: int) -> Iterator[tuple[slice, np.ndarray]]:
+    """A list column as matrices of at most `rows` rows."""
+    for low in range(0, len(points), rows):
+        part = points.slice(low, rows)
+        yield slice(low, low + len(part)), part.flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
+
+
+def nearest_centre(df: DataFrame, point: str, centres: DataFrame | Centres) -> DataFrame:
     """Add the `cluster` of the nearest centre, the lowest on a tie, and the `distance`.
 
-    The few centres come in as one array value, so rows stay where they are: no join.
+    The few centres come in with the task, so rows stay where they are, and whole Arrow
+    batches are multiplied with them. Points that are null have neither.
     """
-    table = centres.agg(F.collect_list(F.struct("cluster", "centre")).alias("table")).scalar()
-    best = F.array_min(
-        F.transform(
-            F.col("_table"),
-            lambda c: F.struct(
-                squared_distance(F.col(point), c["centre"]).alias("square"), c["cluster"].alias("cluster")
-            ),
-        )
-    )
-    placed = df.withColumn("_table", table).withColumn("_best", best)
-    return placed.withColumns(
-        {"cluster": F.col("_best.cluster"), "distance": F.sqrt("_best.square")}
-    ).drop("_table", "_best")
+    if not isinstance(centres, Centres):
+        kind = centres.schema["cluster"].dataType
+        centres = centre_table(centres)
+    else:
+        kind = IntegerType()
+    ship(df.sparkSession)
+    table, whole = centres.points, [c for c in df.columns if c not in ("cluster", "distance")]
+    at_once = max(1, CELLS_AT_ONCE // max(table.size, 1))
+    names = pa.array(centres.names, to_arrow_type(kind))
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            points = batch.column("_point")
+            known = points.is_valid().to_numpy(zero_copy_only=False)
+            place, distance = np.zeros(batch.num_rows, np.int64), np.full(batch.num_rows, np.nan)
+            rows = np.flatnonzero(known)
+            for part, block in _point_blocks(points.drop_null(), table.shape[-1] if table.size else 1, at_once):
+                if len(table):
+                    place[rows[part]], distance[rows[part]] = _nearest(block, table)
+            unknown = ~known | (len(table) == 0)
+            cluster = names.take(pa.array(place, mask=unknown)) if len(names) else pa.nulls(batch.num_rows, names.type)
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(c) for c in whole], cluster, pa.array(distance, mask=unknown)],
+                names=[*whole, "cluster", "distance"],
+            )
+
+    schema = StructType([*[df.schema[c] for c in whole]]).add("cluster", kind).add("distance", "double")
+    return df.withColumn("_point", F.col(point).cast("array<double>")).mapInArrow(placed, schema)
 
 
 def moved_centres(placed: DataFrame, point: str) -> DataFrame:
@@ -128,15 +186,15 @@ def cluster_label_counts(placed: DataFrame, cluster: str = "cluster", label: str
     return counts.agg(F.count(F.lit(1)).alias("n")).orderBy("cluster", "label")
 
 
-def cluster_entropy(counts: DataFrame) -> DataFrame:
+def cluster_entropy(counts: DataFrame, *keys: str) -> DataFrame:
     """Label entropy (natural log) of the clusters, weighted by their sizes, from counts per
-    (cluster, label)."""
+    (cluster, label); one number, or one for each value of `keys`."""
     # Σ_label -n·ln(n/size) = size·ln(size) - Σ n·ln(n), so one grouping by cluster is enough.
-    per_cluster = counts.filter("n > 0").groupBy("cluster").agg(
+    per_cluster = counts.filter("n > 0").groupBy(*keys, "cluster").agg(
         F.sum("n").alias("size"), F.sum(F.col("n") * F.log("n")).alias("spread")
     )
     weighted = F.sum(F.col("size") * F.log("size") - F.col("spread"))
-    return per_cluster.agg((weighted / F.sum("size")).alias("entropy"))
+    return per_cluster.groupBy(*keys).agg((weighted / F.sum("size")).alias("entropy"))
 
 
 def kth_largest(df: DataFrame, column: str, k: int) -> DataFrame:
@@ -162,46 +220,80 @@ def train_kmeans(df: DataFrame, k: int = 2, tol: float = 1e-4, iterations: int =
     return kmeans.fit(df.select("features"))
 
 
-def with_distance(model: KMeansModel, df: DataFrame) -> DataFrame:
-    """Add the `cluster` and the `distance` to its centre."""
-    centres = F.lit(np.array(model.clusterCenters()).tolist())
-    placed = model.transform(df)
-    centre = F.element_at(centres, F.col("cluster") + 1)
-    return placed.withColumn("distance", F.sqrt(squared_distance(vector_to_array("features"), centre)))
+def model_centres(model: KMeansModel) -> Centres:
+    points = np.array(model.clusterCenters(), np.float64)
+    return Centres(list(range(len(points))), points)
 
 
-def _scan(df: DataFrame, ks: Sequence[int], score: Callable[[int], float], name: str, parallel: int) -> DataFrame:
-    """One result row per k, fitting a few models at a time from driver threads."""
+def with_distance(model: KMeansModel, df: DataFrame) -> DataFrame:
+    """Add the `cluster` and the `distance` to its centre."""
+    columns = df.columns
+    rows = df.withColumn("_features", vector_to_array("features"))
+    plain = rows.select(*[c for c in rows.columns if c != "features"])
+    placed = nearest_centre(plain, "_features", model_centres(model))
+    kept = [array_to_vector("_features").alias(c) if c == "features" else F.col(c) for c in columns]
+    return placed.select(*kept, "cluster", "distance")
+
+
+def assign_each(df: DataFrame, models: dict[int, Centres], label: str | None = None) -> DataFrame:
+    """Every row placed by every model in one pass, as sums: (k, cluster, n, distance), with
+    the `label` where one is named. `distance` is the sum over the cluster's rows."""
+    ship(df.sparkSession)
+    columns = [vector_to_array("features").alias("point"), *([F.col(label).cast("string").alias("label")] if label else [])]
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = batch.column("label").dictionary_encode() if label else None
+            kinds = own.dictionary.to_pylist() if label else [None]
+            codes = own.indices.fill_null(len(kinds)).to_numpy(zero_copy_only=False) if label else np.zeros(batch.num_rows, np.int64)
+            kinds = [*kinds, None]
+            rows = []
+            for k, centres in models.items():
+                dims, at_once = centres.points.shape[1], max(1, CELLS_AT_ONCE // centres.points.size)
+                for part, block in _point_blocks(batch.column("point"), dims, at_once):
+                    place, distance = _nearest(block, centres.points)
+                    cell = place * len(kinds) + codes[part]
+                    counts, sums = np.bincount(cell), np.bincount(cell, distance)
+                    for c in np.flatnonzero(counts).tolist():
+                        cluster, kind = divmod(c, len(kinds))
+                        rows.append((k, centres.names[cluster], kinds[kind], int(counts[c]), float(sums[c])))
+            if rows:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(list(c), t) for c, t in zip(zip(*rows), (pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.float64()))],
+                    names=["k", "cluster", "label", "n", "distance"],
+                )
+
+    schema = "k int, cluster int, label string, n long, distance double"
+    parts = df.filter("features is not null").select(*columns).mapInArrow(summed, schema)
+    sums = parts.groupBy("k", "cluster", *(["label"] if label else []))
+    return sums.agg(F.sum("n").alias("n"), F.sum("distance").alias("distance"))
+
+
+def fit_each(df: DataFrame, ks: Sequence[int], tol: float, seed: int, parallel: int) -> dict[int, Centres]:
+    """The centres of one model per k, fitting a few at a time from driver threads."""
     with ThreadPoolExecutor(max_workers=parallel) as pool:
-        scores = list(pool.map(score, ks))
-    rows = [Row(k, value) for k, value in zip(ks, scores)]
-    return df.sparkSession.createDataFrame(rows, f"k int, {name} double")
+        return dict(zip(ks, pool.map(lambda k: model_centres(train_kmeans(df, k, tol, seed=seed)), ks)))
 
 
 def distance_scan(
     df: DataFrame, ks: Sequence[int] = range(5, 41, 5), tol: float = 1e-4, seed: int = 7, parallel: int = 4
 ) -> DataFrame:
-    """Mean distance to the nearest centre for each number of clusters: (k, mean_distance)."""
+    """Mean distance to the nearest centre for each number of clusters: (k, mean_distance).
+    All models are judged in one pass over the rows."""
     with persisted(df.select("features")) as (rows,):
-
-        def score(k: int) -> float:
-            model = train_kmeans(rows, k, tol, seed=seed)
-            return with_distance(model, rows).agg(F.avg("distance")).first()[0]
-
-        return _scan(df, list(ks), score, "mean_distance", parallel)
+        sums = assign_each(rows, fit_each(rows, list(ks), tol, seed, parallel))
+        means = sums.groupBy("k").agg((F.sum("distance") / F.sum("n")).alias("mean_distance"))
+        return cut(means.orderBy("k").coalesce(1))
 
 
 def entropy_scan(
     df: DataFrame, ks: Sequence[int] = range(80, 161, 10), tol: float = 1e-6, seed: int = 7, parallel: int = 4
 ) -> DataFrame:
-    """Weighted label entropy for each number of clusters: (k, entropy)."""
+    """Weighted label entropy for each number of clusters: (k, entropy). All models are judged
+    in one pass over the rows."""
     with persisted(df.select("features", "label")) as (rows,):
-
-        def score(k: int) -> float:
-            placed = train_kmeans(rows, k, tol, seed=seed).transform(rows)
-            return cluster_entropy(cluster_label_counts(placed)).first()[0]
-
-        return _scan(df, list(ks), score, "entropy", parallel)
+        counts = assign_each(rows, fit_each(rows, list(ks), tol, seed, parallel), "label")
+        return cut(cluster_entropy(counts, "k").orderBy("k").coalesce(1))
 
 
 def fit_detector(
@@ -216,10 +308,10 @@ def fit_detector(
 
     with persisted(features(df)) as (known,):
         model = train_kmeans(known, k, tol, seed=seed)
-        threshold = kth_largest(with_distance(model, known), "distance", place).first()[0]
+        threshold = kth_largest(with_distance(model, known.select("features")), "distance", place).first()[0]
 
     def detect(rows: DataFrame) -> DataFrame:
-        placed = with_distance(model, features(rows))
+        placed = with_distance(model, features(rows).select(*rows.columns, "features"))
         return placed.filter(F.col("distance") > threshold).select(*rows.columns, "cluster", "distance")
 
     return detect

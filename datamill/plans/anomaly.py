@@ -200,6 +200,12 @@ def kmeans_k_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clu.distance_scan(vector_features(spark, sf_dir))
 
 
+@query("kmeans_k_scan_fine")
+def kmeans_k_scan_fine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scan of larger k with a small tolerance, over the plain vectors."""
+    return clu.distance_scan(vector_features(spark, sf_dir), range(30, 101, 10), 1e-6)
+
+
 @query("kmeans_entropy_scan")
 def kmeans_entropy_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Entropy of clusters over the scaled one-hot records."""

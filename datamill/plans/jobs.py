@@ -108,8 +108,10 @@ def trees(
 def anomaly(
     spark: SparkSession, path: str, numeric_after: int = 37, ks=range(5, 41, 5), scaled_ks=range(60, 121, 10),
     entropy_ks=range(80, 161, 10), k: int = 150, place: int = 100, sample_path: str | None = None,
+    fine_ks=range(30, 101, 10),
 ) -> Results:
-    """Label counts, k scans on plain, scaled and one-hot features, and the outliers."""
+    """Label counts, k scans on plain (with a small tolerance as well), scaled and one-hot
+    features, and the outliers."""
     rows = text_files.read_connections(spark, path, numeric_after)
     first, rest = ["n0"], [f"n{i}" for i in range(1, numeric_after + 1)]
     symbols = ["symbol1", "symbol2", "symbol3"]
@@ -131,6 +133,7 @@ def anomaly(
         "label_counts": profile.value_counts(rows, "label", by_count=True),
         "two_clusters": two,
         "plain_scan": cluster.distance_scan(plain, ks),
+        "plain_scan_fine": cluster.distance_scan(plain, fine_ks, 1e-6),
         "scaled_scan": cluster.distance_scan(cluster.standardise(plain), scaled_ks),
         "one_hot_scan": cluster.distance_scan(scaled_blocks, entropy_ks, 1e-6),
         "entropy_scan": cluster.entropy_scan(scaled_blocks, entropy_ks),

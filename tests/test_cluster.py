@@ -103,3 +103,41 @@ def test_scaling_keeps_digits_far_from_zero(spark):
     mean = sum(v - 1e9 for v in values) / 3
     spread = (sum((v - 1e9 - mean) ** 2 for v in values) / 3) ** 0.5
     assert all(abs(g - (v - 1e9 - mean) / spread) < 1e-7 for g, v in zip(got, values))
+
+
+def test_nearest_centre_keeps_rows_and_digits(spark):
+    """Far from zero the product form alone would mix up near centres; odd rows stay."""
+    base = 1e8
+    centres = spark.createDataFrame([(7, [base, base]), (9, [base + 1, base]), (8, [base + 1, base])], "cluster bigint, centre array<double>")
+    rows = [(0, [base + 0.4, base], "a"), (1, [base + 0.6, base], None), (2, None, "c"), (3, [base + 0.5, base], "d")]
+    df = spark.createDataFrame(rows, "id bigint, point array<double>, table string")
+    placed = clu.nearest_centre(df, "point", centres)
+    assert placed.columns == ["id", "point", "table", "cluster", "distance"]
+    got = {r.id: (r.cluster, r.distance, r.table) for r in placed.collect()}
+    assert [got[i][0] for i in range(4)] == [7, 8, None, 7] and abs(got[0][1] - 0.4) < 1e-6 and got[2][1:] == (None, "c")
+    assert clu.nearest_centre(df, "point", centres.limit(0)).filter("cluster is null").count() == 4
+
+
+def test_nearest_centre_in_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    points, table = rng.normal(size=(200, 5)), rng.normal(size=(17, 5))
+    monkeypatch.setattr(clu, "CELLS_AT_ONCE", 300)
+    centres = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(table)], "cluster int, centre array<double>")
+    got = clu.nearest_centre(vectors(spark, points.tolist()).drop("features"), "point", centres).orderBy("id").collect()
+    spans = np.sqrt(((points[:, None] - table) ** 2).sum(axis=2))
+    assert [r.cluster for r in got] == spans.argmin(axis=1).tolist()
+    assert np.allclose([r.distance for r in got], spans.min(axis=1), rtol=1e-14)
+
+
+def test_scans_judge_all_models_in_one_pass(spark, blobs):
+    models = clu.fit_each(blobs, [2, 3], 1e-4, 7, 2)
+    sums = clu.assign_each(blobs, models, "label").collect()
+    for k, centres in models.items():
+        points = np.array([r.point for r in blobs.orderBy("id").collect()])
+        spans = np.sqrt(((points[:, None] - centres.points) ** 2).sum(axis=2))
+        assert abs(sum(r.distance for r in sums if r.k == k) - spans.min(axis=1).sum()) < 1e-9
+        cells = {(r.cluster, int(r.label)): r.n for r in sums if r.k == k}
+        want = {}
+        for i, c in enumerate(spans.argmin(axis=1).tolist()):
+            want[c, i // 40] = want.get((c, i // 40), 0) + 1
+        assert cells == want
