@@ -28,6 +28,13 @@ def block_index(values: Column, start: int, length: int) -> Column:
     return F.array_position(F.slice(values, start + 1, length), F.lit(1.0)).cast("double") - 1
 
 
+def sparse_block_index(vector: Column, start: int, length: int) -> Column:
+    """The same for a sparse vector (size, indices, values), whose zeros are not looked at."""
+    cells = F.arrays_zip(vector["indices"].alias("dim"), vector["values"].alias("value"))
+    ones = F.filter(cells, lambda c: (c["dim"] >= start) & (c["dim"] < start + length) & (c["value"] == 1.0))
+    return F.coalesce((F.array_min(F.transform(ones, lambda c: c["dim"])) - start).cast("double"), F.lit(-1.0))
+
+
 def class_priors(df: DataFrame, label: str = "label") -> DataFrame:
     """Share of each class. The window runs over the finished counts, one row per class."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))

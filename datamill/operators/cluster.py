@@ -18,7 +18,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import IntegerType, StructType
 
-from datamill.operators.sampling import bernoulli_sample
+from datamill.functions.buckets import BUCKETS, bucket
+from datamill.operators.ranking import number_sorted
+from datamill.operators.sampling import bernoulli_sample, hash_sample
+from datamill.operators.skew import lookup
 from datamill.session import cut, persisted, ship
 
 
@@ -48,10 +51,40 @@ def one_hot_features(
     return Pipeline(stages=[indexer, encoder, assembler]).fit(df)
 
 
+def sparse_one_hot(
+    df: DataFrame, first: Sequence[str], symbolic: Sequence[str], rest: Sequence[str], out: str = "features"
+) -> tuple[DataFrame, list[int]]:
+    """Add `out`, a sparse vector (size, indices, values) of the first numbers, a 0/1 block per
+    symbolic column with its categories in alphabetical order, and the other numbers; and give
+    the sizes of the blocks.
+
+    Categories are numbered in tables of their own, which are joined, so their number is not
+    bounded by a task or the driver. A null category has no 1 in its block.
+    """
+    sizes, placed = [], df
+    for i, name in enumerate(symbolic):
+        table = cut(number_sorted(df, name, f"_place{i}"))
+        sizes.append(table.count())
+        placed = lookup(placed, table, name, probe=df)
+    starts = [len(first) + sum(sizes[:i]) for i in range(len(symbolic))]
+    end = len(first) + sum(sizes)
+    dims = [(F.lit(i), F.col(c)) for i, c in enumerate(first)]
+    dims += [(F.col(f"_place{i}") + F.lit(start), F.lit(1.0)) for i, start in enumerate(starts)]
+    dims += [(F.lit(end + i), F.col(c)) for i, c in enumerate(rest)]
+    cells = F.array(*[F.struct(d.cast("bigint").alias("dim"), v.cast("double").alias("value")) for d, v in dims])
+    kept = F.filter(cells, lambda cell: cell["dim"].isNotNull())
+    vector = F.struct(
+        F.lit(end + len(rest)).cast("bigint").alias("size"), F.transform(kept, lambda c: c["dim"]).alias("indices"),
+        F.transform(kept, lambda c: c["value"]).alias("values"),
+    )
+    return placed.withColumn(out, vector).select(*[c for c in df.columns if c != out], out), sizes
+
+
 def vector_entries(df: DataFrame, vector: str, *keys: str) -> DataFrame:
-    """Non-zero entries of a vector column in long form: (keys…, dim, value)."""
-    rows = df.select(*keys, F.posexplode(vector_to_array(vector)).alias("dim", "value"))
-    return rows.filter("value <> 0")
+    """Non-zero entries of a sparse vector in long form: (keys…, dim, value)."""
+    cells = F.arrays_zip(F.col(f"{vector}.indices").alias("dim"), F.col(f"{vector}.values").alias("value"))
+    rows = df.select(*keys, F.explode(cells).alias("cell"))
+    return rows.select(*keys, F.col("cell.dim").cast("int").alias("dim"), "cell.value").filter("value <> 0")
 
 
 def vector_moments(df: DataFrame, vector: str = "features") -> DataFrame:
@@ -317,8 +350,40 @@ def fit_detector(
     return detect
 
 
-def sample_lines(df: DataFrame, model: KMeansModel, fraction: float = 0.05, seed: int | None = 7) -> DataFrame:
-    """A sample of `cluster,f1,f2,…` lines for plotting elsewhere."""
-    placed = bernoulli_sample(model.transform(df.select("features")), fraction, seed)
+def sample_lines(
+    df: DataFrame, model: KMeansModel, fraction: float = 0.05, seed: int | None = 7, key: str | None = None
+) -> DataFrame:
+    """A sample of `cluster,f1,f2,…` lines for plotting elsewhere; with a `key` the same rows
+    are taken in every run."""
+    rows = hash_sample(df, F.col(key), fraction) if key else bernoulli_sample(df, fraction, seed)
+    placed = model.transform(rows.select("features"))
     cells = vector_to_array("features").cast("array<string>")
     return placed.select(F.concat_ws(",", F.col("cluster").cast("string"), cells).alias("value"))
+
+
+def seed_centres(df: DataFrame, key: str, point: str, k: int) -> DataFrame:
+    """Start centres (place, key, point) by distance-weighted draws, as k-means++ takes them.
+
+    Every row has a hashed number u per round; the row with the smallest -ln(u)/d² is taken,
+    d being the distance to the nearest centre so far, which is a draw with weights d². A
+    round is one pass with partial minima, and only the row that it takes reaches the driver.
+    Fewer centres come out where fewer different points are there.
+    """
+    rows = df.filter(F.col(point).isNotNull()).select(F.col(key).alias("key"), F.col(point).cast("array<double>").alias("point"))
+    names, found = [], []
+    for place in range(k):
+        u = (bucket(F.col("key"), f"seed{place}") + 1) / F.lit(float(BUCKETS))
+        if found:
+            centres = Centres(list(range(len(found))), np.array(found))
+            far = nearest_centre(rows, "point", centres).filter("distance > 0")
+            weighed = far.select("key", "point", (-F.log(u) / (F.col("distance") * F.col("distance"))).alias("draw"))
+        else:
+            weighed = rows.select("key", "point", u.alias("draw"))
+        taken = weighed.agg(F.min_by(F.struct("key", "point"), F.struct("draw", "key")).alias("row")).first().row
+        if taken is None:
+            break
+        names.append(taken.key)
+        found.append(taken.point)
+    kind = rows.schema["key"].dataType.simpleString()
+    lines = [(place, name, row) for place, (name, row) in enumerate(zip(names, found))]
+    return df.sparkSession.createDataFrame(lines, f"place int, key {kind}, point array<double>")

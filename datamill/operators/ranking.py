@@ -52,6 +52,22 @@ def number_keys(keys: DataFrame, key: str, out: str, salt: str = "number", block
     return ranked.select(key, (F.col("_rank") - 1).alias(out))
 
 
+def number_sorted(keys: DataFrame, key: str, out: str) -> DataFrame:
+    """Number the distinct values of `key`, nulls left out, 0, 1, 2, … in their own order.
+
+    The values are ranged over tasks; each range is numbered on its own and moved up by the
+    rows of the ranges before it. No task and no driver holds all values.
+    """
+    ranged = keys.select(key).filter(F.col(key).isNotNull()).distinct().repartitionByRange(key)
+    rows = cut(
+        ranged.select(
+            key, F.lit(0).alias("_all"), F.spark_partition_id().alias("_block"), F.lit(1).cast("bigint").alias("_one")
+        )
+    )
+    ranked = running_total(rows, ["_all"], [key], "_one", "_rank", "_block")
+    return ranked.select(key, (F.col("_rank") - 1).alias(out))
+
+
 def top_per_group(rows: DataFrame, group: list[str], order: list[Column], n: int, rank: str) -> DataFrame:
     """The first `n` rows of each group. The rank limit runs before the shuffle as well, so
     only `n` rows per group and input partition are moved."""

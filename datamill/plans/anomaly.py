@@ -6,10 +6,13 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from datamill.functions.buckets import BUCKETS, share
 from datamill.operators import cluster as clu
+from datamill.operators.sampling import hash_sample
 from datamill.plans.registry import query
-from datamill.plans.standins import NUMERIC, SYMBOLIC, connection_records, vectors
-from datamill.session import cut, persisted
+from datamill.plans.standins import NUMERIC, SYMBOLIC, connection_records, sql_bucket, vectors
+from datamill.session import cut, new_folder, persisted
+from datamill.sources import text_files
 
 KEYS = ["l_orderkey", "l_linenumber"]
 OUTLIER_PLACE = 100
@@ -61,7 +64,8 @@ def sql_one_hot() -> str:
 
 @query("onehot_features", sql_one_hot())
 def onehot_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clu.vector_entries(one_hot(spark, sf_dir), "features", *KEYS)
+    rows, _ = clu.sparse_one_hot(connection_records(spark, sf_dir), NUMERIC[:1], SYMBOLIC, NUMERIC[1:])
+    return clu.vector_entries(rows, "features", *KEYS)
 
 
 MOMENTS_SQL = f"""
@@ -213,8 +217,45 @@ def kmeans_entropy_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clu.entropy_scan(clu.standardise(records))
 
 
+SEEDS = 4
+
+
+def seeds_sql() -> str:
+    """A chain of rounds: the draw of each row against its distance to the centres so far."""
+    draw = lambda i: f"({sql_bucket('vec_id', f'seed{i}')} + 1) / {BUCKETS}.0::double"
+    rounds = [f"""chosen0 as materialized (
+        select 0 as place, vec_id from embeddings where embedding is not null order by {draw(0)}, vec_id limit 1)"""]
+    for i in range(1, SEEDS):
+        rounds.append(f"""spans{i} as (
+        select p.vec_id, c.place, sum(power(p.x - q.x, 2)) as square
+        from points p cross join chosen{i - 1} c join points q on q.vec_id = c.vec_id and q.dim = p.dim group by all),
+    nearest{i} as (select vec_id, min(square) as square from spans{i} group by vec_id),
+    chosen{i} as materialized (
+        select * from chosen{i - 1} union all
+        select {i}, vec_id from (select vec_id from nearest{i} where square > 0 order by -ln({draw(i)}) / square, vec_id limit 1))""")
+    return f"""with points as materialized (
+        select vec_id, unnest(range(64)) as dim, unnest(embedding)::double as x from embeddings),
+    {', '.join(rounds)}
+    select cast(place as integer) as place, vec_id from chosen{SEEDS - 1}"""
+
+
+@query("kmeans_seeds", seeds_sql())
+def kmeans_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distance-weighted start centres, as ids of the rows taken."""
+    with persisted(vectors(spark, sf_dir)) as (rows,):
+        return clu.seed_centres(rows, "vec_id", "point", SEEDS).select("place", F.col("key").alias("vec_id"))
+
+
 @query("cluster_sample_export")
 def cluster_sample_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sample of lines, written as text files and read back from them."""
     with persisted(vector_features(spark, sf_dir)) as (rows,):
         model = clu.train_kmeans(rows, k=10, tol=1e-6)
-    return clu.sample_lines(vector_features(spark, sf_dir), model)
+        lines = clu.sample_lines(rows, model, key="vec_id")
+        return text_files.exported(lines, ["value"], new_folder(spark))
+
+
+@query("cluster_sample_ids", f"select vec_id from embeddings where {sql_bucket('vec_id', 'sample')} < {share(0.05)}")
+def cluster_sample_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows whose lines are written."""
+    return hash_sample(vectors(spark, sf_dir), F.col("vec_id"), 0.05).select("vec_id")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from datamill.functions.buckets import share
 from datamill.operators import classify as trees
 from datamill.operators import sampling
+from datamill.operators.cluster import sparse_one_hot
 from datamill.plans.registry import query
 from datamill.plans.standins import LABELLED_SQL, NUMERIC, labelled_lines, sql_bucket, sql_split, table, vectors
 from datamill.session import persisted
@@ -49,15 +50,13 @@ EVENT_TYPES_SQL = "select event_type, row_number() over (order by event_type) -
     from events join ({EVENT_TYPES_SQL}) using (event_type)""",
 )
 def unonehot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Event types as 0/1 columns behind a number, then put back into one index."""
+    """Event types as a 0/1 block behind a number, then put back into one index."""
     events = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
-    kinds = [row[0] for row in events.select("event_type").distinct().orderBy("event_type").collect()]
-    block = [(F.col("event_type") == kind).cast("double") for kind in kinds]
-    wide = events.select("event_id", F.array("value", *block).alias("numbers"))
+    wide, sizes = sparse_one_hot(events, ["value"], ["event_type"], [], "numbers")
     return wide.select(
         "event_id",
-        trees.block_index(F.col("numbers"), 1, len(kinds)).alias("event_index"),
-        F.col("numbers")[0].alias("value"),
+        trees.sparse_block_index(F.col("numbers"), 1, sizes[0]).alias("event_index"),
+        F.col("numbers.values")[0].alias("value"),
     )
 
 

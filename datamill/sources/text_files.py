@@ -78,6 +78,13 @@ def write_lines(df: DataFrame, columns: Sequence[str], path: str, sep: str = ","
     df.select(F.concat_ws(sep, *[F.col(c).cast("string") for c in columns]).alias("value")).write.text(path)
 
 
+def exported(df: DataFrame, columns: Sequence[str], path: str, sep: str = ",") -> DataFrame:
+    """The lines that `write_lines` has put into `path`, read back from there. The writer
+    commits all files of a job or none, and a folder that is there already is an error."""
+    write_lines(df, columns, path, sep)
+    return read_lines(df.sparkSession, path)
+
+
 def write_doc_frequencies(frequencies: DataFrame, path: str) -> None:
     """`term<TAB>df` lines by falling frequency."""
     frequencies.select("term", "df").orderBy(F.desc("df"), "term").write.csv(path, sep="\t", quote="")

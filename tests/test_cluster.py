@@ -7,6 +7,7 @@ import pytest
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
+from datamill.operators import classify as trees
 from datamill.operators import cluster as clu
 
 
@@ -141,3 +142,38 @@ def test_scans_judge_all_models_in_one_pass(spark, blobs):
         for i, c in enumerate(spans.argmin(axis=1).tolist()):
             want[c, i // 40] = want.get((c, i // 40), 0) + 1
         assert cells == want
+
+
+def test_a_million_categories_stay_in_tables(spark):
+    """Numbered in their order, joined and opened without a list of them anywhere."""
+    n = 1_000_000
+    rows = spark.range(n).select("id", F.format_string("c%07d", F.col("id")).alias("s"), F.lit(0.0).alias("x"), (F.col("id") + 1.0).alias("y"))
+    wide, sizes = clu.sparse_one_hot(rows, ["x"], ["s"], ["y"])
+    assert sizes == [n]
+    entries = clu.vector_entries(wide, "features", "id")
+    plan = entries._jdf.queryExecution().optimizedPlan().toString()
+    assert "vector_to_array" not in plan and "UDF" not in plan
+    wrong = entries.filter(~(((F.col("dim") == F.col("id") + 1) & (F.col("value") == 1)) | ((F.col("dim") == n + 1) & (F.col("value") == F.col("id") + 1))))
+    assert entries.count() == 2 * n and wrong.count() == 0
+    back = wide.select("id", trees.sparse_block_index(F.col("features"), 1, sizes[0]).alias("i"))
+    assert back.filter("i <> id").count() == 0
+
+
+def test_sparse_blocks_of_odd_rows(spark):
+    df = spark.createDataFrame([(1.0, "b", 7.0), (0.0, None, 0.0), (2.0, "a", None)], "x double, s string, y double")
+    rows, sizes = clu.sparse_one_hot(df, ["x"], ["s"], ["y"])
+    got = sorted((tuple(r.features.indices), tuple(r.features["values"])) for r in rows.collect())
+    assert sizes == [2] and got == [((0, 1, 3), (2.0, 1.0, None)), ((0, 2, 3), (1.0, 1.0, 7.0)), ((0, 3), (0.0, 0.0))]
+    assert sorted((r.dim, r.value) for r in clu.vector_entries(rows, "features").collect()) == [(0, 1.0), (0, 2.0), (1, 1.0), (2, 1.0), (3, 7.0)]
+    index = rows.select(trees.sparse_block_index(F.col("features"), 1, 2).alias("i")).collect()
+    assert sorted(r.i for r in index) == [-1.0, 0.0, 1.0]
+
+
+def test_seeds_are_different_points(spark, blobs):
+    with_twins = blobs.unionByName(blobs)
+    seeds = clu.seed_centres(with_twins, "id", "point", 3).collect()
+    assert sorted(r.key // 40 for r in seeds) == [0, 1, 2]  # one of each far group
+    few = vectors(spark, [[1.0, 1.0]] * 5 + [[2.0, 2.0]])
+    assert clu.seed_centres(few, "id", "point", 4).count() == 2
+    assert clu.seed_centres(few.limit(0), "id", "point", 4).count() == 0
+
