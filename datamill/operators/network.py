@@ -11,7 +11,7 @@ from datamill.functions.buckets import topic_id
 from datamill.operators.pairs import CELL_ITEMS, pair_counts, record_pairs
 from datamill.operators.ranking import number_keys
 from datamill.operators.skew import every_slice, hot_keys, lookup, slice_of
-from datamill.session import cut
+from datamill.session import cut, cut_observed
 
 
 def topic_rows(records: DataFrame, record: str, topics: str) -> DataFrame:
@@ -44,12 +44,12 @@ def graph_edges(rows: DataFrame) -> DataFrame:
 # --- components -------------------------------------------------------------------------
 
 
-def _signature(edges: DataFrame) -> tuple:
-    return tuple(
-        edges.agg(
-            F.count(F.lit(1)), F.sum(F.xxhash64("high", "low").cast("decimal(38,0)"))
-        ).first()
+def _written(edges: DataFrame) -> tuple[DataFrame, int, tuple]:
+    """The edges written out, their number, and a signature that changes with them."""
+    rows, seen = cut_observed(
+        edges, n=F.count(F.lit(1)), total=F.sum(F.xxhash64("high", "low").cast("decimal(38,0)"))
     )
+    return rows, seen["n"], (seen["n"], seen["total"])
 
 
 def _large_star(edges: DataFrame, n_edges: int) -> DataFrame:
@@ -76,15 +76,14 @@ def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
 
     Alternating large-star and small-star steps: a logarithmic number of rounds, edges only
     shrink, and the neighbours of a vertex are never gathered in one place. Each step is
-    checkpointed; the loop ends when a round changes nothing.
+    checkpointed by one job, which also tells whether it changed anything; the loop ends when
+    a round changes nothing.
     """
     stars = edges.select(F.greatest("src", "dst").alias("high"), F.least("src", "dst").alias("low"))
-    stars = cut(stars.filter("high <> low").distinct())
-    seen = _signature(stars)
+    stars, n, seen = _written(stars.filter("high <> low").distinct())
     while True:
-        wide = cut(_large_star(stars, seen[0]))
-        stars = cut(_small_star(wide, seen[0]))
-        now = _signature(stars)
+        wide, n, _ = _written(_large_star(stars, n))
+        stars, n, now = _written(_small_star(wide, n))
         if now == seen:
             roots = stars.select(F.col("high").alias("id"), F.col("low").alias("root"))
             joined = vertices.select("id").join(roots, "id", "left")
@@ -263,8 +262,9 @@ def reached_sets(edges: DataFrame, sources: DataFrame) -> tuple[DataFrame, DataF
         known = front.unionByName(before).groupBy("at", "word").agg(F.bit_or("bits").alias("known"))
         fresh = F.col("bits").bitwiseAND(F.bitwise_not(F.coalesce("known", F.lit(0).cast("bigint"))))
         new = found.agg(F.bit_or("bits").alias("bits")).join(known, ["at", "word"], "left")
-        new = cut(new.select("at", "word", fresh.alias("bits")).filter("bits <> 0"))
-        if new.isEmpty():
+        new = new.select("at", "word", fresh.alias("bits")).filter("bits <> 0")
+        new, seen = cut_observed(new, n=F.count(F.lit(1)))
+        if not seen["n"]:
             return reached, numbers
         reached = reached.unionByName(new.withColumn("hops", F.lit(hops)))
         if hops % HOPS_PER_WRITE == 0:

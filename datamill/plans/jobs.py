@@ -48,6 +48,8 @@ def recommender(
     model = recommend.train_factors(ratings, rank, iterations, reg, alpha)
     one = recommend.heaviest_users(ratings, 1) if user is None else spark.createDataFrame([(user,)], "user int")
     picks = recommend.recommend(model, one, 5)
+    # The first model, of small rank and hardly regularised, is asked for the same user.
+    first_picks = cut(recommend.recommend(recommend.train_factors(ratings, 10, 5, 0.01, 1.0), one, 5))
     some = ratings.select("user").distinct().orderBy("user").limit(100)
     return {
         "user_stats": profile.column_stats(raw, "user"),
@@ -56,6 +58,7 @@ def recommender(
             held_out, items, lambda pairs: recommend.popularity_scores(pairs, train)
         ),
         "grid": recommend.factor_grid(train, held_out, items, grid),
+        "first_picks": first_picks.join(names, "item", "left"),
         "history": recommend.names_of(names, recommend.user_history(ratings, one)),
         "picks": picks.join(names, "item", "left"),
         "pick_lines": recommend.recommendation_lines(recommend.recommend(model, some, 5)),
@@ -65,8 +68,10 @@ def recommender(
 def trees(
     spark: SparkSession, path: str, numeric: int = 10, blocks: tuple[int, ...] = (4, 40),
     grid=classify.FULL_GRID, category_grid=classify.FULL_CATEGORY_GRID, forest_trees: int = 20,
+    record: str | None = None,
 ) -> Results:
-    """Tree metrics, chance accuracy, both grids and the forest's test accuracy."""
+    """Tree metrics, chance accuracy, both grids, the forest's test accuracy, and its answer
+    for `record`, a comma line of the numbers and then the category of each block."""
     width = numeric + sum(blocks)
     names = [f"f{i}" for i in range(width)]
     raw = text_files.read_labelled_numbers(spark, path, width).withColumn("row_key", F.concat_ws(",", *names))
@@ -96,7 +101,14 @@ def trees(
     def second(train: DataFrame, validation: DataFrame, test: DataFrame) -> Results:
         forest = classify.train_forest(train, forest_trees)
         known = train.unionByName(validation)
-        return {
+        asked: Results = {}
+        if record is not None:
+            cells = record.split(",")
+            values = [F.lit(float(c)).alias(name) for c, name in zip(cells, names[:numeric])]
+            kinds = [F.lit(str(float(c))).alias(name) for c, name in zip(cells[numeric:], index)]
+            row = stages.transform(spark.range(1).select(*values, *kinds))
+            asked["record_class"] = forest.transform(row).select((F.col("prediction") + 1).alias("class_number"))
+        return asked | {
             "category_grid": classify.tree_grid(train, validation, category_grid),
             "category_best": classify.best_tree(known, known, test, classify.TreeSetting("entropy", 30, 300)),
             "forest_confusion": cut(classify.confusion_matrix(forest.transform(test))),
@@ -162,13 +174,17 @@ def concepts(
     }
 
 
-def topics(spark: SparkSession, path: str, limit: float = 19.5, fraction: float = 0.02) -> Results:
-    """Counts, components, degrees, chi-square, clustering and path lengths of topics."""
+def topics(
+    spark: SparkSession, path: str, limit: float = 19.5, fraction: float = 0.02, contains: str = "Campylobacter"
+) -> Results:
+    """Counts, components, degrees, chi-square, clustering and path lengths of topics, the
+    members of the second largest component, and the counts of topics that hold a word."""
     records = cut(markup.read_citation_topics(spark, path))
     rows = network.topic_rows(records, "record", "topics")
     counts = network.topic_counts(rows)
     vertices = network.graph_vertices(rows)
     edges = cut(network.graph_edges(rows))
+    components = cut(network.connected_components(vertices, edges))
     degree = network.degrees(edges)
     by_id = counts.select(topic_id(F.col("topic")).alias("id"), "n")
     weighted = cut(network.chi_square_edges(edges, by_id, records.count()))
@@ -180,7 +196,9 @@ def topics(spark: SparkSession, path: str, limit: float = 19.5, fraction: float
         "topic_counts": profile.top_counts(counts, 10, "topic"),
         "count_of_counts": profile.count_of_counts(counts).orderBy("n"),
         "top_pairs": profile.top_counts(named.select("first", "second", "cnt"), 10, "first", "second", count="cnt"),
-        "components": network.component_sizes(network.connected_components(vertices, edges)),
+        "components": network.component_sizes(components),
+        "second_component": network.component_members(components, vertices, place=1),
+        "containing": network.topic_counts(rows.filter(F.col("topic").contains(contains))),
         "degree_stats": profile.column_stats(degree, "degree"),
         "top_degrees": network.top_degree_names(degree, vertices, 10),
         "chi_square_stats": profile.column_stats(weighted, "chi2"),

@@ -209,6 +209,42 @@ def top_degree_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return net.top_degree_names(degrees(spark, sf_dir), topic_hash_ids(spark, sf_dir), 10)
 
 
+# The same over all edges, hubs and pairs of one order included.
+
+FULL_DEGREES_SQL = f"""with {GRAPH_SQL},
+    degrees as (
+        select id, count(*) as degree
+        from (select src as id from edges union all select dst from edges) group by id)"""
+
+
+def full_degrees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return net.degrees(graph_edges(spark, sf_dir))
+
+
+@query(
+    "full_degree_stats",
+    f"""{FULL_DEGREES_SQL} select 'degree' as dim, count(*) as n, round(avg(degree), 6) as mean,
+    round(stddev_pop(degree), 6) as stdev, min(degree)::double as "min", max(degree)::double as "max" from degrees""",
+)
+def full_degree_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(profile.column_stats(full_degrees(spark, sf_dir), "degree"))
+
+
+@query(
+    "full_top_degree_names",
+    f"""{FULL_DEGREES_SQL} select id, name, degree from degrees join vertices using (id)
+    order by degree desc, name limit 10""",
+)
+def full_top_degree_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return net.top_degree_names(full_degrees(spark, sf_dir), topic_hash_ids(spark, sf_dir), 10)
+
+
+@query("full_component_sizes")
+def full_component_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    components = net.connected_components(topic_hash_ids(spark, sf_dir), graph_edges(spark, sf_dir))
+    return net.component_sizes(components)
+
+
 def rounded(stats: DataFrame) -> DataFrame:
     return stats.withColumns({"mean": F.round("mean", 6), "stdev": F.round("stdev", 6)})
 

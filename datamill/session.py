@@ -8,9 +8,10 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from pathlib import Path
+from typing import Any
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def build_session(app: str = "datamill", master: str | None = None, **settings: str) -> SparkSession:
@@ -68,6 +69,18 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def cut_observed(df: DataFrame, **metrics: Column) -> tuple[DataFrame, dict[str, Any]]:
+    """`cut`, and aggregates of the rows taken by the very job that writes them.
+
+    A task that runs again may be counted again, so a metric tells whether rows are there and
+    whether two writes differ, and steers work; it never becomes a result.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    seen = Observation()
+    written = df.observe(seen, *[column.alias(name) for name, column in metrics.items()]).checkpoint(eager=True)
+    return written, seen.get
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -11,6 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from datamill.operators import network as net
+from datamill.session import cut
 
 
 def graph(spark, n, edges):
@@ -133,3 +134,45 @@ def test_counts_along_a_chain_equal_the_paths(spark):
     counts = net.path_length_counts(frame, sources)
     assert {tuple(r) for r in counts.collect()} == {tuple(r) for r in paths.collect()}
     assert counts.agg({"hops": "max"}).first()[0] == 39
+
+
+def test_full_graph_components_are_those_of_a_plain_search(spark):
+    from datamill.plans import catalog
+
+    edges = catalog.QUERIES["graph_edges"](spark, "/root/testdata/sf0.001").collect()
+    root = {r.id: r.id for r in catalog.QUERIES["topic_hash_ids"](spark, "/root/testdata/sf0.001").collect()}
+
+    def top(v):
+        while root[v] != v:
+            root[v] = v = root[root[v]]
+        return v
+
+    for e in edges:
+        a, b = top(e.src), top(e.dst)
+        root[max(a, b)] = min(a, b)
+    sizes = {}
+    for v in root:
+        sizes[top(v)] = sizes.get(top(v), 0) + 1
+    found = catalog.QUERIES["full_component_sizes"](spark, "/root/testdata/sf0.001").collect()
+    assert {r.component: r.n for r in found} == sizes
+
+
+def test_a_round_is_one_job_per_table(spark):
+    """A chain needs several rounds; each writes two tables and starts no other job."""
+    n = 64
+    vertices = spark.range(n).select("id", F.col("id").cast("string").alias("name"))
+    edges = cut(spark.range(n - 1).select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst"), F.lit(1).alias("cnt")))
+    context = spark.sparkContext
+    context.setJobGroup("components", "components")
+    wrote = []
+    real = net.cut_observed
+    net.cut_observed = lambda df, **m: wrote.append(1) or real(df, **m)
+    try:
+        components = net.connected_components(vertices, edges)
+    finally:
+        net.cut_observed = real
+        context.setLocalProperty("spark.jobGroup.id", None)
+    jobs = [context.statusTracker().getJobInfo(j) for j in context.statusTracker().getJobIdsForGroup("components")]
+    assert components.select("component").distinct().collect() == [(0,)]
+    # Adaptive execution starts a job per shuffle stage; none of them reads a written table only to count it.
+    assert len(wrote) >= 5 and len(jobs) <= 6 * len(wrote)

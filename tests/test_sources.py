@@ -87,7 +87,7 @@ def test_recommender_job(spark, tmp_path):
     grid = [recommend.Setting(2, 1.0, 1.0)]
     found = jobs.recommender(spark, ratings, names, alias, user=4, grid=grid, rank=3, iterations=2)
     assert 0 <= found["popularity_auc"].first().mean_auc <= 1
-    assert found["picks"].count() == 5 and found["pick_lines"].count() == 40 and found["grid"].count() == 1
+    assert found["picks"].count() == found["first_picks"].count() == 5 and found["pick_lines"].count() == 40 and found["grid"].count() == 1
     assert 3 not in {r.item for r in found["history"].collect()}
 
 
@@ -99,7 +99,8 @@ def test_trees_job(spark, tmp_path):
         lines.append(",".join(map(str, [i, i % 7, *block, i % 3 + 1])))
     path = write(tmp_path / "t.csv", "\n".join(lines))
     plain, category = [classify.TreeSetting("gini", 4, 10)], [classify.TreeSetting("entropy", 4, 40)]
-    found = jobs.trees(spark, path, numeric=2, blocks=(3,), grid=plain, category_grid=category, forest_trees=3)
+    found = jobs.trees(spark, path, numeric=2, blocks=(3,), grid=plain, category_grid=category, forest_trees=3, record="4,3,2")
+    assert found["record_class"].first().class_number == 3.0
     assert found["grid"].first().accuracy == 1.0 and found["category_grid"].first().accuracy == 1.0
     assert abs(found["chance_accuracy"].first()[0] - 1 / 3) < 0.05
 
@@ -110,8 +111,9 @@ def test_anomaly_job(spark, tmp_path):
     path = write(tmp_path / "k.csv", "\n".join(lines))
     found = jobs.anomaly(
         spark, path, numeric_after=1, ks=[2], scaled_ks=[2], entropy_ks=[2, 3], k=3, place=5,
-        sample_path=str(tmp_path / "sample"),
+        sample_path=str(tmp_path / "sample"), fine_ks=[3, 4],
     )
+    assert [r.k for r in found["plain_scan_fine"].collect()] == [3, 4]
     assert found["label_counts"].count() == 2 and found["entropy_scan"].count() == 2
     assert found["outliers"].count() <= 5
     assert spark.read.text(str(tmp_path / "sample")).filter(F.col("value").contains(",")).count() < 90
@@ -139,7 +141,18 @@ def test_topics_job(spark, tmp_path):
         for _ in range(40)
     )
     path = write(tmp_path / "m.xml", records)
-    found = jobs.topics(spark, path, limit=0.1, fraction=0.5)
+    found = jobs.topics(spark, path, limit=0.1, fraction=0.5, contains="t1")
+    assert {r.topic for r in found["containing"].collect()} <= {"t1", "t10", "t11"}
+    assert found["second_component"].count() == 0 or found["components"].count() > 1
     assert found["topic_counts"].count() == 10 and found["components"].first().n <= 12
     assert 0 <= found["clustering"].first()[0] <= 1
     assert found["path_histogram"].count() >= 1
+
+
+def test_lines_are_written_and_read_back(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a"), (2, None)], "n int, s string")
+    back = text_files.exported(df, ["n", "s"], str(tmp_path / "out"))
+    assert sorted(r.value for r in back.collect()) == ["1,a", "2"]
+    assert (tmp_path / "out" / "_SUCCESS").exists()
+    with pytest.raises(Exception):
+        text_files.exported(df, ["n", "s"], str(tmp_path / "out"))
