@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Sequence
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.ml import Model, Pipeline
@@ -12,6 +14,7 @@ from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
+from datamill.functions.buckets import BUCKETS, bucket
 from datamill.functions.numbers import score_block
 from datamill.operators.ranking import running_total
 from datamill.session import cut, ensure_checkpoint_dir, persisted
@@ -100,6 +103,74 @@ def majority_class(train: DataFrame, group: Sequence[str], label: str = "label")
     return counts.groupBy(*group).agg(best.alias("prediction"))
 
 
+class TreeSetting(NamedTuple):
+    impurity: str
+    depth: int
+    bins: int
+
+
+# --- bootstrap and votes --------------------------------------------------------------------
+
+
+def poisson_bounds(rate: float) -> list[int]:
+    """Buckets from which on a Poisson draw of mean `rate` is at least 1, 2, 3, …"""
+    bounds, reached, chance, k = [], 0.0, math.exp(-rate), 0
+    while (bound := math.ceil((reached := reached + chance) * BUCKETS)) < BUCKETS and chance > 0:
+        bounds.append(bound)
+        k += 1
+        chance *= rate / k
+    return bounds
+
+
+def bootstrap(rows: DataFrame, key: Column, trees: int, rate: float = 1.0) -> DataFrame:
+    """Rows (…, tree, weight): how often each of `trees` bags holds a row, where it does.
+
+    The weights are Poisson draws hashed from key and tree, so a bag needs no pass over the
+    rows of its own and is the same when a lost task runs again.
+    """
+    bagged = rows.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+    draw = bucket(F.concat_ws(":", key, F.col("tree")), "bag")
+    steps = F.array(*[F.lit(bound) for bound in poisson_bounds(rate)])
+    weight = F.size(F.filter(steps, lambda bound: draw >= bound)).cast("bigint")
+    return bagged.withColumn("weight", weight).filter("weight > 0")
+
+
+def bagged_majority(bags: DataFrame, group: Sequence[str], label: str = "label") -> DataFrame:
+    """What each bag says: the heaviest label per (tree, group), the lowest on a tie."""
+    weights = bags.groupBy("tree", *group, label).agg(F.sum("weight").alias("n"))
+    best = F.max_by(F.col(label), F.struct(F.col("n"), -F.col(label)))
+    return weights.groupBy("tree", *group).agg(best.alias("prediction"))
+
+
+def model_votes(models: Sequence[Model], rows: DataFrame, *keys: str) -> DataFrame:
+    """(keys…, tree, prediction): the answer of each model for each row."""
+    votes = [
+        model.transform(rows).select(*keys, F.lit(tree).alias("tree"), "prediction") for tree, model in enumerate(models)
+    ]
+    return reduce(DataFrame.unionByName, votes)
+
+
+def majority_vote(votes: DataFrame, *keys: str) -> DataFrame:
+    """(keys…, prediction, votes): the answer that most trees give, the lowest on a tie."""
+    counts = votes.groupBy(*keys, "prediction").agg(F.count(F.lit(1)).alias("n"))
+    order = F.struct(F.col("n"), -F.col("prediction"))
+    return counts.groupBy(*keys).agg(F.max_by("prediction", order).alias("prediction"), F.max("n").alias("votes"))
+
+
+def train_bagged(
+    train: DataFrame, key: Column, trees: int, setting: TreeSetting = TreeSetting("gini", 4, 100), seed: int = 7
+) -> list[Model]:
+    """One tree per bag; a row counts as often as its bag holds it."""
+    ensure_checkpoint_dir(train.sparkSession)
+    with persisted(bootstrap(train, key, trees).select("tree", "weight", "features", "label")) as (bags,):
+        return [
+            DecisionTreeClassifier(
+                impurity=setting.impurity, maxDepth=setting.depth, maxBins=setting.bins, seed=seed, weightCol="weight"
+            ).fit(bags.filter(F.col("tree") == tree))
+            for tree in range(trees)
+        ]
+
+
 # --- trees ---------------------------------------------------------------------------------
 
 
@@ -192,12 +263,6 @@ def best_split(
     return best.select("feature", "threshold", "n_left", "n_right", "gain").orderBy(F.desc("gain"), "feature")
 
 
-class TreeSetting(NamedTuple):
-    impurity: str
-    depth: int
-    bins: int
-
-
 FULL_GRID = [TreeSetting(*v) for v in itertools.product(["gini", "entropy"], [1, 20], [10, 300])]
 FULL_CATEGORY_GRID = [TreeSetting(*v) for v in itertools.product(["gini", "entropy"], [10, 20, 30], [40, 300])]
 

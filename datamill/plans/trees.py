@@ -227,6 +227,48 @@ def tree_best(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trees.best_tree(train, sampling.union_all(train, validation), test)
 
 
+BAGS = 8
+
+BAG_BOUNDS = trees.poisson_bounds(1.0)
+
+BAGS_SQL = f"""{SPLIT_SQL},
+    drawn as (
+        select *, {sql_bucket("(row_key || ':' || tree)", 'bag')} as draw
+        from (select *, unnest(range({BAGS}))::integer as tree from r where split = 0)),
+    bags as materialized (
+        select *, len(list_filter({BAG_BOUNDS}::bigint[], lambda bound: draw >= bound))::bigint as weight
+        from drawn where draw >= {BAG_BOUNDS[0]})"""
+
+
+@query("bootstrap_weights", f"with {BAGS_SQL} select row_key, tree, weight from bags")
+def bootstrap_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each bag holds a training line."""
+    return trees.bootstrap(parts(spark, sf_dir)[0], F.col("row_key"), BAGS).select("row_key", "tree", "weight")
+
+
+@query(
+    "bagged_votes",
+    f"""with {BAGS_SQL},
+    heard as (select tree, l_linestatus, l_linenumber, label, sum(weight) as n from bags group by all),
+    says as (
+        select tree, l_linestatus, l_linenumber, label as prediction
+        from (select *, row_number() over (partition by tree, l_linestatus, l_linenumber order by n desc, label) as place from heard)
+        where place = 1),
+    votes as (
+        select row_key, r.label, prediction, count(*) as votes
+        from r join says using (l_linestatus, l_linenumber) where split = 1 group by all)
+    select row_key, label, prediction, votes
+    from (select *, row_number() over (partition by row_key, label order by votes desc, prediction) as place from votes) where place = 1""",
+)
+def bagged_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Validation lines by the majority of what the bags say of their group."""
+    train, validation, _ = parts(spark, sf_dir)
+    says = trees.bagged_majority(trees.bootstrap(train, F.col("row_key"), BAGS), GROUP)
+    # A row per tree and group, of which there are few.
+    votes = validation.select("row_key", "label", *GROUP).join(says, GROUP)
+    return trees.majority_vote(votes, "row_key", "label")
+
+
 FOREST = trees.TreeSetting("entropy", 30, 300)
 
 

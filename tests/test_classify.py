@@ -3,7 +3,7 @@ from __future__ import annotations
 import math
 
 import pytest
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from datamill.operators import classify as trees
@@ -99,3 +99,28 @@ def test_bins_of_many_values_have_like_sizes(spark):
     df = spark.range(10_000).select(F.sqrt("id").alias("v"), (F.col("id") % 3).cast("double").alias("label"))
     bins = trees.bin_histogram(df, ["v"], "label", 10).groupBy("bin").agg(F.sum("n").alias("n")).collect()
     assert sorted(r.bin for r in bins) == list(range(10)) and all(r.n == 1000 for r in bins)
+
+
+def test_bags_hold_rows_once_on_average(spark):
+    rows = spark.range(20_000).select("id")
+    bags = trees.bootstrap(rows, F.col("id"), 3)
+    stats = bags.groupBy("tree").agg(F.sum("weight").alias("n"), F.count(F.lit(1)).alias("held"), F.max("weight").alias("most")).collect()
+    assert len(stats) == 3
+    # Poisson of mean one: as many as rows, 63 % of the rows held, none very often.
+    assert all(abs(r.n / 20_000 - 1) < 0.03 and abs(r.held / 20_000 - (1 - math.exp(-1))) < 0.02 and 4 < r.most < 12 for r in stats)
+    assert trees.bootstrap(rows, F.col("id"), 3).exceptAll(bags).count() == 0
+
+
+def test_bagged_trees_vote(spark):
+    rows = spark.range(600).select(
+        "id", array_to_vector(F.array(F.col("id") % 10 + 0.0, F.rand(3))).alias("features"), (F.col("id") % 10 >= 5).cast("double").alias("label")
+    )
+    models = trees.train_bagged(rows, F.col("id"), 3, trees.TreeSetting("gini", 2, 32))
+    votes = trees.model_votes(models, rows, "id", "label")
+    found = trees.majority_vote(votes, "id", "label").collect()
+    assert len(found) == 600 and all(r.prediction == r.label and r.votes == 3 for r in found)
+
+
+def test_tied_votes_go_to_the_lowest_class(spark):
+    votes = spark.createDataFrame([(1, 2.0), (1, 1.0), (2, 3.0), (2, 3.0), (2, 0.0)], "id int, prediction double")
+    assert {(r.id, r.prediction, r.votes) for r in trees.majority_vote(votes, "id").collect()} == {(1, 1.0, 1), (2, 3.0, 2)}
