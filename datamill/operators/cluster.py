@@ -62,10 +62,13 @@ def sparse_one_hot(
     bounded by a task or the driver. A null category has no 1 in its block.
     """
     sizes, placed = [], df
+    # One pass finds the categories of all columns; only these are read to number them.
+    kinds = cut(df.groupBy(*symbolic).agg(F.count(F.lit(1)).alias("_n")))
+    total = kinds.agg(F.sum("_n")).first()[0] or 0
     for i, name in enumerate(symbolic):
-        table = cut(number_sorted(df, name, f"_place{i}"))
+        table = cut(number_sorted(kinds, name, f"_place{i}"))
         sizes.append(table.count())
-        placed = lookup(placed, table, name, probe=df)
+        placed = lookup(placed, table, name, total=total, probe=df)
     starts = [len(first) + sum(sizes[:i]) for i in range(len(symbolic))]
     end = len(first) + sum(sizes)
     dims = [(F.lit(i), F.col(c)) for i, c in enumerate(first)]
