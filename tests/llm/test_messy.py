@@ -5,7 +5,9 @@ from __future__ import annotations
 import pytest
 
 import corpus_pipeline
+from datamill.llm.alignment import align_tokenizers
 from datamill.llm.jaccard import near_duplicates
+from datamill.llm.lines import drop_common_lines
 from datamill.llm.mixing import copies, mix_sources
 from datamill.llm.neighbours import nearest_neighbours
 from datamill.llm.packing import pack_documents
@@ -42,6 +44,8 @@ OPERATORS = {
     "pii": lambda spark, docs: digest(personal_data(docs)),
     "jaccard": lambda spark, docs: near_duplicates(docs, 3, 90),
     "substrings": lambda spark, docs: repeated_passages(docs),
+    "lines": lambda spark, docs: drop_common_lines(docs),
+    "alignment": lambda spark, docs: align_tokenizers(docs),
     "sharding": lambda spark, docs: place(docs, "doc_id", {"x": 1.0, "y": 2.0}, 101),
 }
 
