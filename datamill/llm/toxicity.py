@@ -18,6 +18,7 @@ import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -70,8 +71,11 @@ def _example_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 def _vector(text: str | None, vocabulary: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
     """Known words of a text by number, and how often each occurs."""
-    found = sorted((vocabulary[w], n) for w, n in Counter(_words(text)).items() if w in vocabulary)
-    return np.array([t for t, _ in found], np.int32), np.array([n for _, n in found], np.int32)
+    found = Counter(_words(text))
+    terms = np.fromiter(map(vocabulary.get, found, repeat(-1)), np.int32, len(found))
+    times = np.fromiter(found.values(), np.int32, len(found))
+    order = np.argsort(terms, kind="stable")[np.count_nonzero(terms < 0) :]
+    return terms[order], times[order]
 
 
 def _example_vectors(vocabulary: Broadcast):
@@ -158,15 +162,17 @@ class Index:
         # Like examples share a block, so that its maxima say more.
         order = np.concatenate([self._alike(dense[:n]), np.arange(n, blocks * BLOCK)])
         self.blocks = dense[order].reshape(blocks, BLOCK, len(frequent))
+        # The same in full precision, for the few examples that are measured.
+        self.exact = np.zeros((n, len(frequent)))
+        self.exact[row[inside], self.column[self.terms[inside]]] = self.values[inside]
         self.maxima = self.blocks.max(axis=1) if n else np.zeros((0, len(frequent)), np.float32)
         self.row_at = order
-        place = np.empty(len(order), np.int64)
+        self.place = place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
         by_term = np.argsort(self.terms[~inside], kind="stable")
         self.posting_place = place[row[~inside]][by_term].astype(np.int32)
         self.posting = self.values[~inside][by_term]
         self.start = np.searchsorted(self.terms[~inside][by_term], np.arange(len(self.idf) + 1))
-        self.query = np.zeros(len(self.idf))
 
     @staticmethod
     def _alike(dense: np.ndarray, centres: int = 32) -> np.ndarray:
@@ -205,7 +211,7 @@ class Index:
             return [(np.empty(0, np.int64), np.empty(0), np.empty(0))] * len(queries)
         weights = [self.weights(*q) for q in queries]
         frequent = np.zeros((len(queries), self.blocks.shape[2]), np.float32)
-        sums = np.zeros((len(queries), len(self.row_at)))
+        plain, telling = np.zeros((2, len(queries), len(self.row_at)))
         for i, (terms, _) in enumerate(queries):
             column = self.column[terms]
             inside = column >= 0
@@ -213,7 +219,10 @@ class Index:
             rare, w = terms[~inside], weights[i][~inside]
             n = self.start[rare + 1] - self.start[rare]
             at = _ranges(self.start[rare], n)
-            sums[i] = np.bincount(self.posting_place[at], np.repeat(w, n) * self.posting[at], sums.shape[1])
+            at_place, value = self.posting_place[at], self.posting[at]
+            plain[i] = np.bincount(at_place, np.repeat(w, n) * value, plain.shape[1])
+            telling[i] = np.bincount(at_place, np.repeat(w * self.telling[rare], n) * value, plain.shape[1])
+        sums = plain.copy()
         most = sums.reshape(len(queries), -1, BLOCK).max(axis=2) + frequent @ self.maxima.T + SLACK
 
         def visit(todo: np.ndarray) -> None:
@@ -226,21 +235,17 @@ class Index:
         visit(opened)
         visit(~opened & (most >= self._kth(sums)[:, None]))
         least = self._kth(sums) - SLACK
-        return [self._measured(terms, weights[i], self.row_at[np.flatnonzero((sums[i] >= least[i]) & (sums[i] > 0))]) for i, (terms, _) in enumerate(queries)]
-
-    def _measured(self, terms: np.ndarray, w: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        if not len(rows):
-            return rows, np.empty(0), np.empty(0)
-        rows = np.sort(rows)
-        n = self.first[rows + 1] - self.first[rows]
-        at = _ranges(self.first[rows], n)
-        self.query[terms] = w
-        shared = self.query[self.terms[at]] * self.values[at]
-        self.query[terms] = 0
-        starts = np.cumsum(n) - n
-        cosines = np.round(np.add.reduceat(shared, starts), 12)
-        order = np.lexsort((rows, -cosines))[: self.k + 1]
-        return rows[order], cosines[order], np.add.reduceat(shared * self.telling[self.terms[at]], starts)[order]
+        found = []
+        for i, (terms, _) in enumerate(queries):
+            rows = np.sort(self.row_at[np.flatnonzero((sums[i] >= least[i]) & (sums[i] > 0))])
+            column = self.column[terms]
+            inside = column >= 0
+            shared = self.exact[rows[:, None], column[inside]] * weights[i][inside]
+            cosines = np.round(plain[i, self.place[rows]] + shared.sum(axis=1), 12)
+            order = np.lexsort((rows, -cosines))[: self.k + 1]
+            told = telling[i, self.place[rows[order]]] + shared[order] @ self.telling[terms[inside]]
+            found.append((rows[order], cosines[order], told))
+        return found
 
     def without(self, doc, found: tuple[np.ndarray, np.ndarray, np.ndarray], digest: bytes) -> tuple[np.ndarray, ...]:
         """The k neighbours, their weights and toxic weights, without the own label of `doc`."""
