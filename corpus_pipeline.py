@@ -69,7 +69,7 @@ STAGES = [
     ("packing", pack),
 ]
 
-# The trained stages have no SQL twin; tests hold each stage against a plain version.
+# The trained stages have no SQL twin; tests run every stage on messy rows.
 ORACLE_SQL = None
 
 
