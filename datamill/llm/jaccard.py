@@ -11,8 +11,11 @@ The result is a component per document, so links inside a component need not all
 First each group is compared with one partner, and its members with the group's first one;
 that joins nearly all copies. Then groups that share a prefix shingle but lie in different
 components are paired, filtered by size, expanded to members, filtered by an exact bound
-from 128-bit parity maps, and verified on their whole sets. No link between different
-components is missed, and a large group of copies never meets itself pair by pair.
+from 512-bit parity maps, and verified on their whole sets. No link between different
+components is missed, and a large group of copies never meets itself pair by pair. Prefix
+shingles that one group alone has are left out once, before both steps; of a run of shingles
+that two groups share one after another only the ends become rows, and their places give
+its length.
 """
 
 from __future__ import annotations
@@ -21,19 +24,26 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from datamill.llm.tables import discard, ship, written
 from datamill.llm.words import blocks, grams, mix, sequence_hash, word_hashes
 from datamill.operators.network import connected_components
+from datamill.operators.skew import lookup
 
 COUNTERS = 1 << 18
 CHUNK = 4096
+# A chunk is summed in so many parts first, so that no group holds a row of every task.
+PARTS = 64
 # Vertices of rows without an id are at least this.
 NAMELESS = 1 << 62
+MAP_BITS = 512
+MAPS = tuple(f"map_{i}" for i in range(MAP_BITS // 64))
 PREFIXES = (
-    "doc_id long, named boolean, n long, print_a long, print_b long, group_a long, group_b long, map_a long, map_b long, prefix binary"
+    "doc_id long, named boolean, n long, print_a long, print_b long, group_a long, group_b long, "
+    + "".join(f"{m} long, " for m in MAPS)
+    + "prefix binary"
 )
 
 
@@ -81,7 +91,10 @@ def _add(table: pa.Table) -> pa.Table:
 def shingle_counts(documents: DataFrame, k: int) -> np.ndarray:
     """How many sets fall on each of 2^18 counters: two megabytes, however large the corpus."""
     schema = "chunk int, counts binary"
-    chunks = documents.select("text").mapInArrow(_count(k), schema).groupBy("chunk").applyInArrow(_add, schema)
+    tasks = documents.select("text").mapInArrow(_count(k), schema)
+    part = F.pmod(F.xxhash64("counts"), F.lit(PARTS)).alias("part")
+    some = tasks.groupBy("chunk", part).applyInArrow(_add, schema)
+    chunks = some.groupBy("chunk").applyInArrow(_add, schema)
     total = np.zeros(COUNTERS, np.int64)
     for row in chunks.collect():
         total[row.chunk * CHUNK : (row.chunk + 1) * CHUNK] = np.frombuffer(row.counts, np.int64)
@@ -104,19 +117,22 @@ def _prefixes(k: int, percent: int, counts: np.ndarray):
                 keep = n - -(-percent * n // 100) + _extra(n) if n else 0
                 order = np.lexsort((own, ranks[(own % COUNTERS).astype(np.int64)]))[:keep]
                 first = own[order]
-                parity = np.packbits((np.bincount((own & np.uint64(127)).astype(np.int64), minlength=128) & 1).astype(np.uint8))
-                map_a, map_b = parity.view(np.uint64).tolist()
+                places = (own & np.uint64(MAP_BITS - 1)).astype(np.int64)
+                parity = np.packbits((np.bincount(places, minlength=MAP_BITS) & 1).astype(np.uint8))
                 other, step = mix(own + np.uint64(1)), np.uint64(n)
                 prints.append(
-                    (sequence_hash(own), sequence_hash(other), sequence_hash(first + step), sequence_hash(mix(first) + step), map_a, map_b)
+                    (
+                        sequence_hash(own), sequence_hash(other), sequence_hash(first + step), sequence_hash(mix(first) + step),
+                        *parity.view(np.uint64).tolist(),
+                    )
                 )
                 rows.append(row)
                 size.append(n)
                 prefix.append(first.tobytes())
-            columns = [_signed([p[j] for p in prints]) for j in range(6)]
+            columns = [_signed([p[j] for p in prints]) for j in range(4 + len(MAPS))]
             yield pa.RecordBatch.from_arrays(
                 [*(batch[c].take(pa.array(rows, pa.int64())) for c in ("doc_id", "named")), pa.array(size, pa.int64()), *columns, pa.array(prefix, pa.binary())],
-                names=["doc_id", "named", "n", "print_a", "print_b", "group_a", "group_b", "map_a", "map_b", "prefix"],
+                names=["doc_id", "named", "n", "print_a", "print_b", "group_a", "group_b", *MAPS, "prefix"],
             )
 
     return make
@@ -128,13 +144,17 @@ def _extra(n):
 
 
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per prefix shingle of a group, with the group's other columns."""
+    """One row per prefix shingle of a group: shingle, its place in the order of the whole
+    set, and the group's other columns."""
     for batch in batches:
         prefix = [np.frombuffer(p, np.int64) for p in batch["prefix"].to_pylist()]
-        place = pa.array(np.repeat(np.arange(len(prefix)), [len(p) for p in prefix]))
+        sizes = np.array([len(p) for p in prefix], np.int64)
+        place = pa.array(np.repeat(np.arange(len(prefix)), sizes))
+        at = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         rest = [c for c in batch.schema.names if c != "prefix"]
         token = pa.array(np.concatenate(prefix) if prefix else np.empty(0, np.int64))
-        yield pa.RecordBatch.from_arrays([token, *(batch[c].take(place) for c in rest)], names=["token", *rest])
+        columns = [token, pa.array(at, pa.int64()), *(batch[c].take(place) for c in rest)]
+        yield pa.RecordBatch.from_arrays(columns, names=["token", "at", *rest])
 
 
 def _set_rows(k: int):
@@ -169,8 +189,9 @@ def _verified(documents: DataFrame, pairs: DataFrame, k: int, percent: int) -> D
     needed = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
     texts = documents.select("doc_id", "text").join(needed, "doc_id")
     sets = written(texts.mapInArrow(_set_rows(k), "id long, members binary"))
-    both = pairs.join(sets.select(F.col("id").alias("a"), F.col("members").alias("set_a")), "a")
-    both = both.join(sets.select(F.col("id").alias("b"), F.col("members").alias("set_b")), "b")
+    first, second = (sets.select(F.col("id").alias(c), F.col("members").alias(f"set_{c}")) for c in "ab")
+    both = lookup(pairs, first, "a", how="inner", spread=["b"])
+    both = lookup(both, second, "b", how="inner", spread=["a"], probe=pairs)
     links = written(both.select("a", "b", "set_a", "set_b").mapInArrow(_linked(percent), "a long, b long"))
     discard(sets)
     return links
@@ -184,18 +205,16 @@ def _fits(n: Column, m: Column, percent: int) -> Column:
 def _near_enough(percent: int) -> Column:
     """An exact bound on sets a and b: a bit that differs between their parity maps stands
     for a shingle that only one of them has."""
-    apart = F.bit_count(F.col("map_a_a").bitwiseXOR(F.col("map_a_b"))) + F.bit_count(
-        F.col("map_b_a").bitwiseXOR(F.col("map_b_b"))
-    )
+    apart = sum((F.bit_count(F.col(f"{m}_a").bitwiseXOR(F.col(f"{m}_b"))) for m in MAPS), F.lit(0))
     both = F.col("n_a") + F.col("n_b")
     return F.lit(100) * (both - apart) >= F.lit(percent) * (both + apart)
 
 
 def _plausible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Those pairs (a, b) of ids that sizes and parity maps leave possible."""
-    known = classes.select("id", "n", "map_a", "map_b")
+    known = classes.select("id", "n", *MAPS)
     for side in "ab":
-        own = [F.col("id").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ("n", "map_a", "map_b")]]
+        own = [F.col("id").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ("n", *MAPS)]]
         pairs = pairs.join(known.select(*own), side)
     fits = _fits(F.col("n_a"), F.col("n_b"), percent) & _near_enough(percent)
     return pairs.filter(fits).select("a", "b").distinct()
@@ -230,7 +249,7 @@ def near_duplicates(
     classes = written(
         filled.groupBy("print_a", "print_b").agg(
             F.min("doc_id").alias("id"), F.min(F.when(F.col("named"), F.col("doc_id"))).alias("least_id"),
-            *[F.first(c).alias(c) for c in ("n", "group_a", "group_b", "map_a", "map_b")],
+            *[F.first(c).alias(c) for c in ("n", "group_a", "group_b", *MAPS)],
         )
     )
     groups = written(
@@ -240,12 +259,15 @@ def near_duplicates(
     )
     rows = written(found.select("doc_id", "named", "n", "print_a", "print_b"))
     discard(found)
-    tokens = groups.select("rep", "n", "prefix").mapInArrow(_tokens, "token long, rep long, n long")
+    tokens = groups.select("rep", "n", "prefix").mapInArrow(_tokens, "token long, at long, rep long, n long")
 
-    # One partner per group: where its shingles lead most often.
+    # Shingles of more than one group, with the least group that has them.
     least = tokens.groupBy("token").agg(F.min(F.struct("rep", "n")).alias("least"), F.count(F.lit(1)).alias("m"))
     least = least.filter("m > 1").select("token", F.col("least.rep").alias("pivot"), F.col("least.n").alias("pivot_n"))
-    near = tokens.join(least, "token").filter(F.col("pivot") < F.col("rep")).filter(_fits(F.col("n"), F.col("pivot_n"), percent))
+    repeated = written(tokens.join(least, "token"))
+
+    # One partner per group: where its shingles lead most often.
+    near = repeated.filter(F.col("pivot") < F.col("rep")).filter(_fits(F.col("n"), F.col("pivot_n"), percent))
     least_n = F.first(F.least("n", "pivot_n")).alias("least")
     near = near.groupBy("rep", "pivot").agg(F.count(F.lit(1)).alias("shared"), least_n)
     near = near.filter(F.col("shared") >= _extra(F.col("least")))
@@ -255,34 +277,49 @@ def near_duplicates(
         group_of.filter("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
     )
     pairs = _plausible(pairs.distinct(), classes, percent)
-    links = _verified(docs, written(pairs), k, percent)
+    pairs = written(pairs)
+    links = _verified(docs, pairs, k, percent)
     vertices = classes.select("id").distinct()
     joined = written(_components(vertices, links))
+    used = [pairs, links, joined]
 
     # Every other pair of groups that share a shingle and lie in different components.
     cells = classes.join(joined, "id").join(groups.select("group_a", "group_b", "rep"), ["group_a", "group_b"])
-    cells = written(cells.select("id", "rep", "component", "n", "map_a", "map_b"))
+    cells = written(cells.select("id", "rep", "component", "n", *MAPS))
     spread = cells.groupBy("rep", "component").agg(
-        F.first("n").alias("n"), F.first("map_a").alias("map_a"), F.first("map_b").alias("map_b"),
-        (F.count(F.lit(1)) == 1).alias("single"),
-    )
-    placed = spread.join(groups.select("rep", "prefix"), "rep").select(*spread.columns, "prefix")
-    placed = written(placed.mapInArrow(_tokens, "token long, rep long, component long, n long, map_a long, map_b long, single boolean"))
+        *[F.first(c).alias(c) for c in ("n", *MAPS)], (F.count(F.lit(1)) == 1).alias("single")
+    )
+    spread = written(spread)
+    placed = repeated.select("token", "at", "rep").join(spread.select("rep", "component"), "rep")
     mixed = placed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    mixed = mixed.filter("low < high").select("token")
-    placed = placed.join(mixed, "token")
-    left = placed.select("token", *[F.col(c).alias(f"{c}_a") for c in spread.columns])
-    right = placed.select("token", *[F.col(c).alias(f"{c}_b") for c in spread.columns])
+    placed = placed.join(mixed.filter("low < high").select("token"), "token")
+    order = Window.partitionBy("rep", "component").orderBy("at")
+    placed = placed.select(
+        "token", "rep", "component", F.row_number().over(order).alias("nth"),
+        F.lag("token").over(order).alias("before"), F.lead("token").over(order).alias("after"),
+    )
+    placed = written(placed.join(spread, ["rep", "component"]))
+    used += [repeated, groups, cells, spread, placed]
+    left = placed.select("token", *[F.col(c).alias(f"{c}_a") for c in placed.columns if c != "token"])
+    right = placed.select("token", *[F.col(c).alias(f"{c}_b") for c in placed.columns if c != "token"])
     # Two groups of one member each are held against the members' bound at once.
     hopeful = ~F.col("single_a") | ~F.col("single_b") | _near_enough(percent)
+    apart = (F.col("component_a") < F.col("component_b")) & _fits(F.col("n_a"), F.col("n_b"), percent) & hopeful
+    starts, ends = (~F.coalesce(F.col(f"{c}_a") == F.col(f"{c}_b"), F.lit(False)) for c in ("before", "after"))
+    length = F.when(ends, F.col("nth_a")).otherwise(0) - F.when(starts, F.col("nth_a") - 1).otherwise(0)
     group_pairs = (
         left.join(right, "token")
-        .filter((F.col("component_a") < F.col("component_b")) & _fits(F.col("n_a"), F.col("n_b"), percent) & hopeful)
+        .filter(apart & (starts | ends))
         .groupBy("rep_a", "component_a", "rep_b", "component_b")
-        .agg(F.count(F.lit(1)).alias("shared"), F.first(F.least("n_a", "n_b")).alias("least"))
+        .agg(F.sum(length).alias("shared"), F.first(F.least("n_a", "n_b")).alias("least"))
         .filter(F.col("shared") >= _extra(F.col("least")))
         .drop("shared", "least")
     )
+    # Members of one group that lie in different components share the whole prefix.
+    own = [spread.select("rep", *[F.col(c).alias(f"{c}_{x}") for c in spread.columns if c != "rep"]) for x in "ab"]
+    same = own[0].join(own[1], "rep").filter(apart)
+    same = same.select(F.col("rep").alias("rep_a"), "component_a", F.col("rep").alias("rep_b"), "component_b")
+    group_pairs = group_pairs.union(same)
     one = cells.select(*[F.col(c).alias(f"{c}_a") for c in cells.columns])
     two = cells.select(*[F.col(c).alias(f"{c}_b") for c in cells.columns])
     members = (
@@ -291,9 +328,11 @@ def near_duplicates(
         .filter(_near_enough(percent))
         .select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
     )
-    more = written(members.distinct())
-    if not more.isEmpty():
-        more = _verified(docs, more, k, percent)
+    open_pairs = written(members.distinct())
+    used.append(open_pairs)
+    if not open_pairs.isEmpty():
+        more = _verified(docs, open_pairs, k, percent)
+        used.append(more)
         bridges = more.join(joined.select(F.col("id").alias("a"), F.col("component").alias("from")), "a")
         bridges = bridges.join(joined.select(F.col("id").alias("b"), F.col("component").alias("to")), "b")
         bridges = bridges.select(F.col("from").alias("a"), F.col("to").alias("b")).distinct()
@@ -302,6 +341,7 @@ def near_duplicates(
         joined = joined.join(merged, "component").select("id", F.col("root").alias("component"))
     class_of = classes.select("print_a", "print_b", "id", "least_id").join(joined, "id")
     class_of = written(class_of.select("print_a", "print_b", "component", "least_id"))
+    discard(classes, *used)
     # Components whose least vertex may have no id, and the least id in them, if any.
     doubtful = class_of.filter(F.col("component") >= NAMELESS).groupBy("component")
     doubtful = written(doubtful.agg(F.min("least_id").alias("reached")))
