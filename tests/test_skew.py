@@ -7,6 +7,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from datamill.operators import pairs
 from datamill.operators.pairs import pair_counts, record_pairs
 from datamill.operators.ranking import number_keys, running_total, top_per_group
 from datamill.operators.recommend import user_auc
@@ -93,3 +94,16 @@ def test_user_auc_against_all_pairs(spark):
         got = {r.user: r.auc for r in user_auc(a, b, small_table=small_table).collect()}
         assert got.keys() == want.keys()
         assert all(abs(got[u] - want[u]) < 1e-12 for u in want)
+
+
+def test_pairs_are_spread_by_their_number(spark, monkeypatch):
+    rows = [(r, i) for r in range(60) for i in range(10)]
+    table = spark.createDataFrame(rows, "record bigint, item bigint").coalesce(1)
+    monkeypatch.setattr(pairs, "PAIRS_PER_TASK", 100)
+    found = pairs.record_pairs(table, "record", "item")
+    # 60 records of at most 55 pairs; the rows alone would fit into one task.
+    assert found.filter("first < second").groupBy(F.spark_partition_id()).count().count() > 8
+    assert found.count() == 60 * 45
+    cells = pairs.record_pairs(table, "record", "item", cell_items=4)
+    assert cells.exceptAll(found).isEmpty() and cells.count() == 60 * 45
+    assert pairs.pair_parts(0.0, 3) == 3 and pairs.pair_parts(1e18, 3) == pairs.MOST_PARTS
