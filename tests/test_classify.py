@@ -124,3 +124,9 @@ def test_bagged_trees_vote(spark):
 def test_tied_votes_go_to_the_lowest_class(spark):
     votes = spark.createDataFrame([(1, 2.0), (1, 1.0), (2, 3.0), (2, 3.0), (2, 0.0)], "id int, prediction double")
     assert {(r.id, r.prediction, r.votes) for r in trees.majority_vote(votes, "id").collect()} == {(1, 1.0, 1), (2, 3.0, 2)}
+
+
+def test_a_draw_is_hashed_once(spark):
+    rows = spark.range(50).withColumn("label", F.lit(0.0))
+    plan = trees.bootstrap(rows, F.col("id"), 3)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("md5(") == 1
