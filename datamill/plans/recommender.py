@@ -193,11 +193,11 @@ HALF_STEP_SQL = f"""
 """
 
 
-def step(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Hashed item factors and the user factors that fit them best."""
+def step(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Summed ratings, hashed item factors and the user factors that fit them best."""
     rows = cut(rec.sum_ratings(ratings(spark, sf_dir)))
     items = cut(rec.hashed_factors(rows.select("item").distinct(), "item", STEP_RANK))
-    return items, rec.half_step(rows, items, STEP_RANK, STEP_REG, STEP_ALPHA)
+    return rows, items, rec.half_step(rows, items, STEP_RANK, STEP_REG, STEP_ALPHA)
 
 
 @query(
@@ -206,7 +206,7 @@ def step(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 )
 def als_half_step(spark: SparkSession, sf_dir: str) -> DataFrame:
     """User factors of rank 2 for hashed item factors, solved from each user's sums."""
-    _, users = step(spark, sf_dir)
+    _, _, users = step(spark, sf_dir)
     return users.select("user", *[F.round(F.col("factor")[i], 6).alias(f"x{i}") for i in range(STEP_RANK)])
 
 
@@ -218,9 +218,8 @@ def als_half_step(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def als_half_step_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What those factors predict for every pair that was rated."""
-    items, users = step(spark, sf_dir)
-    pairs = rec.sum_ratings(ratings(spark, sf_dir)).select("user", "item")
-    scored = rec.pair_scores(pairs, cut(users), items)
+    rows, items, users = step(spark, sf_dir)
+    scored = rec.pair_scores(rows.select("user", "item"), cut(users), items)
     return scored.withColumn("score", F.round("score", 6))
 
 

@@ -130,3 +130,18 @@ def test_half_step_without_a_single_solution(spark):
     row = rec.half_step(ratings, items, 2, 0.0, 1.0).first()
     assert np.allclose(row.factor, [0.5, 0.5])
     assert rec.half_step(ratings.limit(0), items, 2, 0.0, 1.0).count() == 0
+
+
+def test_half_step_scores_make_the_ratings_once(spark, monkeypatch):
+    from datamill.plans import recommender
+
+    made = []
+
+    def ratings(session, sf_dir):
+        made.append(sf_dir)
+        rows = [(f"{u}:{i}", u, i, 1.0 + i) for u in range(4) for i in range(u + 1)]
+        return session.createDataFrame(rows, "row_key string, user bigint, item bigint, rating double")
+
+    monkeypatch.setattr(recommender, "ratings", ratings)
+    scores = recommender.als_half_step_scores(spark, "none")
+    assert scores.count() == 10 and made == ["none"]
