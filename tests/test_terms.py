@@ -158,3 +158,16 @@ def test_empty_collection_has_no_concepts(spark):
     none = spark.createDataFrame([], "doc bigint, terms array<string>")
     found = ops.latent_concepts(none, 10, 2)
     assert found.singular_values.count() == found.terms.count() == found.docs.count() == 0
+
+
+def test_best_rows_are_a_few_of_each_place(spark):
+    rows = spark.range(0, 4000, 1, 2).select(
+        F.col("id").alias("row"), F.array((F.col("id") % 97).cast("double"), -F.col("id").cast("double")).alias("weights")
+    )
+    found = lowrank.best_rows(rows, 5)
+    assert found.count() < 1000
+    for place, key in ((0, lambda i: (-(i % 97), i)), (1, lambda i: (i, i))):
+        best = found.filter(F.col("place") == place).orderBy(F.desc("weight"), "row").limit(5).collect()
+        assert [r.row for r in best] == sorted(range(4000), key=key)[:5]
+    # Fewer rows than asked for are all given.
+    assert lowrank.best_rows(rows.limit(3), 5).count() == 6
