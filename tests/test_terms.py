@@ -171,3 +171,13 @@ def test_best_rows_are_a_few_of_each_place(spark):
         assert [r.row for r in best] == sorted(range(4000), key=key)[:5]
     # Fewer rows than asked for are all given.
     assert lowrank.best_rows(rows.limit(3), 5).count() == 6
+
+
+def test_frequencies_stay_where_they_are_for_a_vocabulary(spark, monkeypatch):
+    tf = ops.cut(ops.term_frequency(ops.doc_terms(docs(spark), "id", "text")))
+    idf = ops.inverse_doc_frequency(ops.vocabulary(ops.doc_frequency(tf), 6), 4)
+    weights = ops.tf_idf(tf, idf)
+    assert "Exchange hashpartitioning" not in weights._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(ops, "BROADCAST_TERMS", 0)
+    plain = ops.tf_idf(tf, idf)
+    assert plain.columns == weights.columns and plain.exceptAll(weights).isEmpty() and plain.count() == weights.count() > 0
