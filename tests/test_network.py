@@ -190,3 +190,24 @@ def test_triangles_move_no_wedges(spark):
     # The paths of two edges are looked up inside a task, so no join makes a row of each.
     plan = net.triangle_counts(vertices, table)._jdf.queryExecution().executedPlan().toString()
     assert "FlatMapCoGroupsInArrow" in plan and "low" not in plan
+
+
+def test_paths_move_no_message_per_edge(spark, monkeypatch):
+    """Components apart from each other, more sources than a word holds, cells of few edges
+    and blocks of one word; the joins of a hop see merged sets, not a row per edge."""
+    rng = random.Random(5)
+    edges = [(60 * c + rng.randrange(60), 60 * c + rng.randrange(60)) for c in range(4) for _ in range(150)]
+    vertices, frame = graph(spark, 240, edges)
+    near = neighbours(240, edges)
+    whole = {(min(s, v), max(s, v), h) for s in range(240) for v, h in reach(near, s).items()}
+    joined = []
+    real = net.cut_observed
+    monkeypatch.setattr(net, "cut_observed", lambda df, **m: joined.append(df) or real(df, **m))
+    got = [tuple(r) for r in net._path_pairs(*net.reached_sets(frame, vertices, 40, 200)).collect()]
+    assert len(got) == len(set(got)) and set(got) == whole
+    plans = [df._jdf.queryExecution().analyzed().toString() for df in joined]
+    assert plans and all("next" not in plan and "FlatMapCoGroupsInArrow" in plan for plan in plans)
+    # Neighbouring sources share words: a component of 60 lies in two words or so, not in four.
+    reached, _ = net.reached_sets(frame, vertices)
+    words = reached.groupBy("at").agg(F.countDistinct("word").alias("n")).agg(F.avg("n")).first()[0]
+    assert words < 2.6
