@@ -10,7 +10,8 @@ prefix and size are one group, and only groups are joined on prefix shingles.
 The result is a component per document, so links inside a component need not all be seen.
 First each group is compared with one partner, and its members with the group's first one;
 that joins nearly all copies. Then groups that share a prefix shingle but lie in different
-components are paired, filtered by size, expanded to members, filtered by an exact bound
+components are paired, filtered by size and by what both have left to share around the
+shingle, expanded to members, filtered by an exact bound
 from 512-bit parity maps, and verified on their whole sets. No link between different
 components is missed, and a large group of copies never meets itself pair by pair. Prefix
 shingles that one group alone has are left out once, before both steps; of a run of shingles
@@ -202,6 +203,18 @@ def _fits(n: Column, m: Column, percent: int) -> Column:
     return F.lit(100) * F.least(n, m) >= F.lit(percent) * F.greatest(n, m)
 
 
+def _beyond(n: Column, percent: int) -> Column:
+    """Members of a set of `n` that lie behind its prefix, as `_prefixes` cuts it."""
+    return F.greatest(F.lit(0), F.ceil(F.lit(percent) * n / 100) - F.lit(1) - F.floor(n / 64))
+
+
+def _within_reach(percent: int) -> Column:
+    """An exact bound on sets a and b that share a shingle: of the members before it in the
+    order of all sets, and of those behind it, they share at most what the poorer has left."""
+    shared = F.least("nth_a", "nth_b") + F.least("later_a", "later_b")
+    return F.lit(100 + percent) * shared >= F.lit(percent) * (F.col("n_a") + F.col("n_b"))
+
+
 def _near_enough(percent: int) -> Column:
     """An exact bound on sets a and b: a bit that differs between their parity maps stands
     for a shingle that only one of them has."""
@@ -298,7 +311,12 @@ def near_duplicates(
         "token", "rep", "component", F.row_number().over(order).alias("nth"),
         F.lag("token").over(order).alias("before"), F.lead("token").over(order).alias("after"),
     )
-    placed = written(placed.join(spread, ["rep", "component"]))
+    # What a set may share with one of another component: these shingles of its prefix and
+    # the members behind the prefix. Sets that cannot share enough with any other are left out.
+    whole = Window.partitionBy("rep", "component")
+    placed = placed.join(spread, ["rep", "component"]).withColumn("most", F.count(F.lit(1)).over(whole) + _beyond(F.col("n"), percent))
+    placed = placed.filter(F.lit(100) * F.col("most") >= F.lit(percent) * F.col("n"))
+    placed = written(placed.withColumn("later", F.col("most") - F.col("nth")).drop("most"))
     used += [repeated, groups, cells, spread, placed]
     left = placed.select("token", *[F.col(c).alias(f"{c}_a") for c in placed.columns if c != "token"])
     right = placed.select("token", *[F.col(c).alias(f"{c}_b") for c in placed.columns if c != "token"])
@@ -309,7 +327,7 @@ def near_duplicates(
     length = F.when(ends, F.col("nth_a")).otherwise(0) - F.when(starts, F.col("nth_a") - 1).otherwise(0)
     group_pairs = (
         left.join(right, "token")
-        .filter(apart & (starts | ends))
+        .filter(apart & (starts | ends) & _within_reach(percent))
         .groupBy("rep_a", "component_a", "rep_b", "component_b")
         .agg(F.sum(length).alias("shared"), F.first(F.least("n_a", "n_b")).alias("least"))
         .filter(F.col("shared") >= _extra(F.col("least")))

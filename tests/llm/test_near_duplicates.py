@@ -3,7 +3,9 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
+from datamill.llm import jaccard
 from datamill.llm.jaccard import near_duplicates
 
 
@@ -57,3 +59,18 @@ def test_components_of_edited_texts(spark, k, percent):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == expected
     found = {component for _, component in expected.values()}
     assert 5 < len(found) < len(texts) - 20
+
+
+def test_chance_meetings_are_out_of_reach(spark):
+    # Two sets of 10,000 that share the last of few known shingles, and two that share nearly all.
+    rows = [("far", 10_000, 40, 8_000, 10_000, 50, 8_100), ("near", 10_000, 40, 9_000, 9_900, 41, 8_950)]
+    df = spark.createDataFrame(rows, "kind string, n_a long, nth_a long, later_a long, n_b long, nth_b long, later_b long")
+    assert [r.kind for r in df.filter(jaccard._within_reach(80)).collect()] == ["near"]
+
+
+@pytest.mark.parametrize("percent", [80, 90])
+def test_members_behind_a_prefix(spark, percent):
+    found = spark.range(1, 3000).select("id", jaccard._beyond(F.col("id"), percent).alias("n")).collect()
+    for r in found:
+        keep = r.id - -(-percent * r.id // 100) + jaccard._extra(r.id)
+        assert r.n == r.id - min(keep, r.id)
