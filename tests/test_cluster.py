@@ -78,6 +78,22 @@ def test_kmeans_finds_the_blobs(spark, blobs):
     assert clu.entropy_scan(blobs, [3]).first().entropy < 1e-9
 
 
+def test_models_of_a_scan_step_together(spark, blobs, monkeypatch):
+    steps = []
+    moved = clu.move_each
+
+    def counted(points, models):
+        steps.append(sorted(models))
+        return moved(points, models)
+
+    monkeypatch.setattr(clu, "move_each", counted)
+    found = clu.fit_each(blobs.select("features"), [2, 3, 5], 1e-6, 7, 2)
+    assert steps[0] == [2, 3, 5] and len(steps) <= 20
+    for k, centres in found.items():
+        alone = np.array(clu.train_kmeans(blobs, k, 1e-6).clusterCenters())
+        assert np.allclose(centres.points, alone, atol=1e-9)
+
+
 def test_detector_flags_the_far_point(spark):
     schema = "x double, s string, y double"
     df = spark.createDataFrame([(float(i % 5), "a" if i % 2 else "b", 0.0) for i in range(60)], schema)
