@@ -211,3 +211,19 @@ def test_paths_move_no_message_per_edge(spark, monkeypatch):
     reached, _ = net.reached_sets(frame, vertices)
     words = reached.groupBy("at").agg(F.countDistinct("word").alias("n")).agg(F.avg("n")).first()[0]
     assert words < 2.6
+
+
+def test_a_dense_graph_is_small_before_its_first_star(spark):
+    """Forty knots of 30 vertices in a row: far fewer edges than 17,400 reach the star steps."""
+    edges = [(k * 30 + i, k * 30 + j) for k in range(40) for i in range(30) for j in range(i + 1, 30)]
+    edges += [(k * 30 + 29, k * 30 + 30) for k in range(39)]
+    vertices, frame = graph(spark, 1201, edges)
+    wrote = []
+    real = net._written
+    net._written = lambda df: wrote.append(real(df)) or wrote[-1]
+    try:
+        components = net.connected_components(vertices, frame)
+    finally:
+        net._written = real
+    assert wrote[0][1] == len(edges) and max(n for _, n, _ in wrote[1:]) <= 1200
+    assert {(r.component, r.n) for r in net.component_sizes(components).collect()} == {(0, 1200), (1200, 1)}
