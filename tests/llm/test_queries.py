@@ -8,6 +8,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -237,6 +238,19 @@ def test_block_max_search_is_exact(words, size, k):
         assert all(np.array_equal(x, y) for x, y in zip(got, alone))
 
 
+def test_the_driver_sends_words_and_examples_unopened():
+    from datamill.llm.toxicity import Index, Vocabulary
+
+    words = pa.array(["a", "b", "c"])
+    mine = Vocabulary(words)
+    assert not hasattr(mine, "numbers") and pickle.loads(pickle.dumps(mine)).numbers == {"a": 0, "b": 1, "c": 2}
+    assert pickle.loads(pickle.dumps(Vocabulary(words[:0]))).numbers == {}
+    examples = [(i, i % 2, np.array([i % 5], np.int32), np.ones(1, np.int32)) for i in range(20)]
+    index = Index(examples, np.ones(5), np.ones(5), {0: 1.0, 1: 1.0}, 3)
+    assert index.blocks is None and not hasattr(index, "exact")
+    assert pickle.loads(pickle.dumps(index)).blocks is not None
+
+
 def test_neighbours_do_not_hang_on_the_order_of_examples():
     from datamill.llm.toxicity import Index
 
