@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import threading
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -82,6 +84,19 @@ def test_factor_grid_is_sorted(spark, taste):
     assert values == sorted(values, reverse=True) and all(0 <= v <= 1 for v in values)
 
 
+def test_grid_settings_are_fitted_side_by_side(spark, taste, monkeypatch):
+    both, fit = threading.Barrier(2), rec.fit_factors
+
+    def met(*args):
+        both.wait(timeout=60)  # breaks where a fit waits for the one before
+        return fit(*args)
+
+    settings = [rec.Setting(2, 1.0, 1.0), rec.Setting(4, 0.01, 1.0)]
+    items = taste.select("item").distinct()
+    monkeypatch.setattr(rec, "fit_factors", met)
+    assert {r.rank for r in rec.factor_grid(taste, taste, items, settings, iterations=1).collect()} == {2, 4}
+
+
 def test_wide_ids_work_like_narrow_ones(spark, taste):
     def wide(name):
         return (F.col(name) + F.lit(2**40)).alias(name)
