@@ -40,3 +40,14 @@ def both(spark, tables, connection, name):
 def test_component_sizes_follow_pairs_of_one_order(spark, tables, connection):
     sizes = both(spark, tables, connection, "component_sizes")
     assert sorted(sizes.n) == [1, 2, 2, 4]
+
+
+def test_components_are_joined_by_pairs_of_one_order(spark, tables, connection):
+    found = both(spark, tables, connection, "connected_components")
+    names = {r.id: r.name for r in catalog.QUERIES["topic_hash_ids"](spark, tables).collect()}
+    together = {}
+    for row in found.itertuples():
+        together.setdefault(row.component, set()).add(names[row.id])
+    parts = [{f"part_{i}" for i in some} for some in ([1, 2, 3, 4], [5, 7], [6], [8, 9])]
+    assert sorted(map(sorted, together.values())) == sorted(map(sorted, parts))
+    assert all(component == min(i for i in found.id[found.component == component]) for component in together)
