@@ -51,3 +51,9 @@ def test_components_are_joined_by_pairs_of_one_order(spark, tables, connection):
     parts = [{f"part_{i}" for i in some} for some in ([1, 2, 3, 4], [5, 7], [6], [8, 9])]
     assert sorted(map(sorted, together.values())) == sorted(map(sorted, parts))
     assert all(component == min(i for i in found.id[found.component == component]) for component in together)
+
+
+def test_degree_stats_count_pairs_of_one_order(spark, tables, connection):
+    stats = both(spark, tables, connection, "degree_stats").iloc[0]
+    # Degrees 2, 2, 3, 1 and 1, 1; part 9 has an edge and a loop, which counts twice, part 8 an edge.
+    assert (stats.n, stats["max"], stats["min"]) == (8, 3.0, 1.0) and abs(stats["mean"] - 14 / 8) < 1e-6
