@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import pytest
 from pyspark.ml.classification import DecisionTreeClassifier
-from pyspark.sql import Window
+from pyspark.sql import Observation, Window
 from pyspark.sql import functions as F
 
 from datamill.operators import classify as trees
@@ -76,3 +76,43 @@ def test_the_grid_grows_trees_of_different_depths_once(spark, monkeypatch):
     for setting in settings:
         plain = solver(known, setting)
         assert found[setting.depth] == (trees.accuracy(plain.transform(known)), trees.accuracy(plain.transform(other)))
+
+
+def coarse(spark, n, classes, kinds):
+    """Rows of few different values, so that many share the bins of all features."""
+    df = spark.range(n).select(
+        F.col("id"), F.floor(F.rand(1) * 9).alias("a"), (F.floor(F.rand(2) * 7) / 4 - 1).alias("b"),
+        F.concat(F.lit("c"), F.floor(F.rand(3) * kinds).cast("string")).alias("kind"),
+        F.floor(F.rand(5) * classes).cast("double").alias("label"),
+    )
+    df = df.localCheckpoint()
+    return trees.categorical_features(["kind"], ["a", "b"]).fit(df).transform(df).select("id", "features", "label")
+
+
+@pytest.mark.parametrize("impurity, classes, kinds, bins", [("gini", 3, 4, 40), ("entropy", 2, 3, 5), ("entropy", 4, 30, 32)])
+def test_rows_that_share_bins_are_counted_first(spark, monkeypatch, impurity, classes, kinds, bins):
+    monkeypatch.setattr(trees, "DEEP", 3)
+    monkeypatch.setattr(subtrees, "ROWS_PER_CELL", 2)
+    monkeypatch.setattr(subtrees, "JUDGED_CELLS", 64)  # several tasks judge
+    monkeypatch.setattr(subtrees, "grow_top", None)  # no level is the solver's
+    rows = coarse(spark, 24_000, classes, kinds).persist()
+    known, other = rows.filter("id % 3 > 0"), rows.filter("id % 3 = 0")
+    tree = trees.train_tree(known, trees.TreeSetting(impurity, 8, bins))
+    assert isinstance(tree, subtrees.CellTree) and tree.nodes.count() > 100
+    shares = tree.right_shares([known, other], [3, 8])
+    for depth in (3, 8):
+        plain = solver(known, trees.TreeSetting(impurity, depth, bins))
+        assert answers(tree.at(depth), other) == answers(plain, other)
+        assert shares[depth] == [trees.accuracy(plain.transform(part)) for part in (known, other)]
+    settings = [trees.TreeSetting(impurity, depth, bins) for depth in (2, 3, 8)]
+    found = {r.depth: [r.train_accuracy, r.accuracy] for r in trees.tree_grid(known, other, settings).collect()}
+    assert {d: found[d] for d in (3, 8)} == shares
+    assert set(tree.transform(other.limit(0)).columns) == {"id", "features", "label", "prediction"}
+
+
+def test_a_forest_answers_after_an_observed_job(spark):
+    seen = Observation()
+    rows = noisy(spark, 200, 2, 3)
+    rows.observe(seen, F.count(F.lit(1)).alias("n")).count()
+    assert seen.get["n"] == 200
+    assert len(answers(trees.train_forest(rows, 2, trees.TreeSetting("gini", 3, 10)), rows)) == 200
