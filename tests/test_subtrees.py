@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from datamill.operators import classify as trees
 from datamill.operators import subtrees
+from datamill.plans import standins
+from datamill.plans import trees as plans
 
 
 def noisy(spark, n, classes, kinds):
@@ -116,3 +118,22 @@ def test_a_forest_answers_after_an_observed_job(spark):
     rows.observe(seen, F.count(F.lit(1)).alias("n")).count()
     assert seen.get["n"] == 200
     assert len(answers(trees.train_forest(rows, 2, trees.TreeSetting("gini", 3, 10)), rows)) == 200
+
+
+def test_the_categorical_grid_ends_with_the_final_tree(spark, tmp_path):
+    """Trained on training and validation lines, it is judged on the test lines."""
+    lines = spark.range(600).select(
+        F.col("id").alias("l_orderkey"), F.lit(1).alias("l_linenumber"),
+        *[F.floor(F.rand(i) * 6).cast("double").alias(c) for i, c in enumerate(standins.NUMERIC)],
+        F.when(F.col("id") % 2 == 0, "F").otherwise("O").alias("l_linestatus"),
+        F.when(F.rand(9) < 0.3, "A").when(F.col("id") % 2 == 0, "N").otherwise("R").alias("l_returnflag"),
+    )
+    lines.coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    found = plans.tree_grid_categorical(spark, str(tmp_path)).collect()
+    assert [r.judged_on for r in found] == ["validation"] * 12 + ["test"]
+    final = found[-1]
+    assert tuple(final)[:3] == ("entropy", 30, 300) and final.train_accuracy is None
+    train, validation, test = plans.parts(spark, str(tmp_path))
+    stages = trees.categorical_features(["l_linestatus"], standins.NUMERIC).fit(plans.labelled(spark, str(tmp_path)))
+    plain = solver(stages.transform(train.unionByName(validation)), trees.TreeSetting("entropy", 30, 300))
+    assert final.accuracy == trees.accuracy(plain.transform(stages.transform(test)))
