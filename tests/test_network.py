@@ -5,6 +5,7 @@ import itertools
 import random
 import struct
 from collections import deque
+from pathlib import Path
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -227,3 +228,38 @@ def test_a_dense_graph_is_small_before_its_first_star(spark):
         net._written = real
     assert wrote[0][1] == len(edges) and max(n for _, n, _ in wrote[1:]) <= 1200
     assert {(r.component, r.n) for r in net.component_sizes(components).collect()} == {(0, 1200), (1200, 1)}
+
+
+def files(frame):
+    """Bytes of the files in the folder that written tables and checkpoints go to."""
+    folder = Path(frame.sparkSession.sparkContext.getCheckpointDir().removeprefix("file:"))
+    return sum(f.stat().st_size for f in folder.rglob("*") if f.is_file())
+
+
+def test_paths_leave_no_edges_on_disk(spark):
+    """Each written table goes when the next one is there; only fronts and numbers stay."""
+    n, edges = 2000, random_graph(8, 2000, 60_000)
+    vertices, frame = graph(spark, n, edges)
+    frame = cut(frame)
+    before = files(frame)
+    counts = net.path_length_counts(frame, vertices.filter("id < 3"))
+    assert counts.agg(F.sum("n")).first()[0] > n
+    assert files(frame) - before < 8 * len(edges)
+
+
+def test_components_and_chi_square_over_numbers(spark):
+    """Topics by the numbers of their ids give the edges and components that the ids give."""
+    rows = spark.createDataFrame(
+        [(1, "a"), (1, "b"), (2, "b"), (2, "c"), (2, None), (3, "x"), (3, "y"), (3, "x"), (None, "a"), (4, "z")], "record bigint, topic string"
+    )
+    vertices = net.graph_vertices(rows)
+    names = net.vertex_numbers(vertices)
+    by_no = {r.no: r.id for r in names.collect()}
+    assert sorted(by_no) == list(range(6)) and [by_no[i] for i in range(6)] == sorted(by_no.values())
+    numbered = net.numbered_rows(rows, names)
+    found = {(by_no[r.src], by_no[r.dst], r.cnt) for r in net.pair_edges(numbered, "no").collect()}
+    assert found == {tuple(r) for r in net.graph_edges(rows).collect()}
+    sources = names.select(F.col("no").alias("id"))
+    pairs = net.sample_path_lengths(net.pair_edges(numbered, "no"), sources, names)
+    plain = net.sample_path_lengths(net.graph_edges(rows), names.select("id"))
+    assert sorted(map(tuple, pairs.collect())) == sorted(map(tuple, plain.collect()))
