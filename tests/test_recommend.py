@@ -160,3 +160,34 @@ def test_half_step_scores_make_the_ratings_once(spark, monkeypatch):
     monkeypatch.setattr(recommender, "ratings", ratings)
     scores = recommender.als_half_step_scores(spark, "none")
     assert scores.count() == 10 and made == ["none"]
+
+
+def some_ratings(spark):
+    return spark.range(400).select(
+        (F.col("id") % 20).alias("user"), (F.col("id") * 7 % 31).alias("item"), (F.col("id") % 5 + 1.0).alias("rating")
+    )
+
+
+def test_files_of_earlier_solver_steps_go(spark, monkeypatch):
+    monkeypatch.setattr(rec, "SWEEP_SECONDS", 0.05, raising=False)
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    dense = rec.dense_ratings(some_ratings(spark))
+    dense = dense._replace(rows=dense.rows.localCheckpoint())
+    before = disk.getAllFiles().size()
+    rec.fit_factors(dense, 3, 12, 0.1, 1.0, 7)
+    # Twelve iterations write 24 shuffles of ten parts, an index and a data file each.
+    assert disk.getAllFiles().size() - before < 300
+
+
+def test_settings_of_many_ratings_are_fitted_one_at_a_time(spark, monkeypatch):
+    pools = []
+    real = rec.ThreadPool
+    monkeypatch.setattr(rec, "ThreadPool", lambda n: pools.append(n) or real(n))
+    rows = some_ratings(spark)
+    settings = [rec.Setting(2, 0.1, 1.0), rec.Setting(2, 0.1, 5.0)]
+    held_out = rows.filter("item % 4 = 0").select("user", "item").distinct()
+    grids = []
+    for most in (1_000_000, 100):
+        monkeypatch.setattr(rec, "BLOCK_RATINGS", most)
+        grids.append(rec.factor_grid(rows, held_out, rows.select("item").distinct(), settings, 2).collect())
+    assert pools == [rec.AT_ONCE, 1] and grids[0] == grids[1]
